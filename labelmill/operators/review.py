@@ -37,7 +37,7 @@ def _upsert(df: DataFrame, corrections: DataFrame, id_col: str) -> DataFrame:
         F.col(ROW_INDEX).alias(id_col), F.lit(True).alias("_corrected"),
         *[F.col(c).alias(f"_new_{c}") for c in changed],
     )
-    value = {c: F.when("_corrected", F.col(f"_new_{c}")).otherwise(F.col(c)) for c in changed}
+    value = {c: F.when(F.col("_corrected"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in changed}
     merged = df.join(new, id_col, "left")
     return merged.select(*[value[c].alias(c) if c in value else c for c in df.columns])
 

@@ -499,17 +499,18 @@ def _(df):
 
 # --- scores and queries ---
 
-PROBS = F.array("p1", "p2", "p3")
+def _probs():
+    return F.array("p1", "p2", "p3")
 
 
 @query("entropy_score", "probs")
 def _(df):
-    return df.select("row_id", active.entropy_score(PROBS).alias("score"))
+    return df.select("row_id", active.entropy_score(_probs()).alias("score"))
 
 
 @query("margin_score", "probs")
 def _(df):
-    return df.select("row_id", active.margin_score(PROBS).alias("score"))
+    return df.select("row_id", active.margin_score(_probs()).alias("score"))
 
 
 @query("random_score", "probs")
@@ -518,7 +519,7 @@ def _(df):
 
 
 def _query_pool(strategy: str) -> Callable:
-    return lambda df: active.query_pool(df.select("row_id", PROBS.alias("probs")), strategy, 25)
+    return lambda df: active.query_pool(df.select("row_id", _probs().alias("probs")), strategy, 25)
 
 
 for _name in ("entropy", "margin", "random"):
