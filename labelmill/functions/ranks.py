@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.functions.columns import ROW_ID
+from labelmill.storage import stage
 
 # Rows up to which one buffer of distinct values is accepted.
 EXACT_ROWS = 2_000_000
@@ -136,11 +137,15 @@ def order_statistics(
 ) -> dict[tuple[str, int], Found]:
     """Value at each 0-based rank of each numeric column, nulls left out.
 
-    Ranks beyond the number of present values are left out of the result.
+    Ranks beyond the number of present values are left out of the result. If
+    the search needs several passes, the numbers are written once to the shared
+    folder, so that a costly input plan is not run again for each pass.
     """
     cols = list(ranks)
     df = df.select(*cols)
     counts = counts or column_counts(df, cols)
+    if max(counts.values(), default=0) > bracket_rows:
+        df = stage(df, "numbers")
     brackets = {
         (c, r): _Bracket(c, r, 0, counts[c]) for c in cols for r in set(ranks[c]) if r < counts[c]
     }
@@ -161,8 +166,12 @@ def quantiles(
     method: str = "exact",
     exact_rows: int = EXACT_ROWS,
     bracket_rows: int = BRACKET_ROWS,
+    rows_at_most: int | None = None,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles per column; None for an empty column."""
+    """Linearly interpolated quantiles per column; None for an empty column.
+
+    A known upper bound of the row count saves the counting pass of a small table.
+    """
     cols = list(cols)
     if not cols:
         return {}
@@ -172,14 +181,19 @@ def quantiles(
             df, {c: F.percentile_approx(F.col(c).cast("double"), list(fractions)) for c in cols}
         )
         return {c: row[c] or [None] * len(fractions) for c in cols}
-    counts = column_counts(df, cols)
     result: dict[str, list[float | None]] = {c: [None] * len(fractions) for c in cols}
-    small = [c for c in cols if 0 < counts[c] <= exact_rows]
-    large = [c for c in cols if counts[c] > exact_rows]
+    if rows_at_most is not None and rows_at_most <= exact_rows:
+        small, large = cols, []
+    else:
+        if rows_at_most is not None:
+            df = stage(df, "numbers")
+        counts = column_counts(df, cols)
+        small = [c for c in cols if counts[c] <= exact_rows]
+        large = [c for c in cols if counts[c] > exact_rows]
     if small:
         points = F.array(*[F.lit(float(f)) for f in fractions])
         row = _one_row(df, {c: F.percentile(F.col(c).cast("double"), points) for c in small})
-        result |= {c: list(row[c]) for c in small}
+        result |= {c: list(row[c]) for c in small if row[c]}
     if large:
         position = {(c, f): f * (counts[c] - 1) for c in large for f in fractions}
         ranks = {
@@ -215,6 +229,7 @@ def rank_conditions(
 
     The rows themselves are never shuffled: a cut is a plain filter.
     """
+    df = df.select(key, id_col)
     total = column_counts(df, [key])[key]
     inner = [s for s in sizes if 0 < s < total]
     found = order_statistics(df, {key: [s - 1 for s in inner]}, {key: total}, bracket_rows)
@@ -240,5 +255,6 @@ def first_k(
     if k <= in_one_task:
         return df.orderBy(order, F.col(id_col)).limit(k)
     keyed = df.withColumn("_order", order)
-    (condition,) = rank_conditions(keyed, "_order", id_col, [k])
+    keys = stage(keyed.select("_order", id_col), "keys")
+    (condition,) = rank_conditions(keys, "_order", id_col, [k])
     return keyed.where(condition).drop("_order")

@@ -133,6 +133,8 @@ def clean(
     """
     strategy = DEFAULT_STRATEGY if strategy is None else strategy
     numeric = list(cols or numeric_columns(df, [id_col]))
+    # No step adds rows, so one count of the input bounds every later table.
+    how = {"rows_at_most": df.count(), **how}
     missing = strategy.get("missing", "median")
     if missing in ("median", "mean"):
         df = _impute(df, numeric, missing, **(how if missing == "median" else {}))

@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,36 +79,18 @@ def tfidf_transform(
 ) -> DataFrame:
     """Sparse rows (id, keep…, indices, values); a row without known terms is empty.
 
-    One shuffle, of term numbers only: the text stays where it was read. A list
-    is bounded by the row's own text. Weights are computed inside the row.
+    Narrow from scan to result: terms are looked up in the broadcast vocabulary
+    and weighted inside their row, so nothing is shuffled and no row reaches Python.
     """
-    idf = [r["idf"] for r in vocabulary.select("ix", "idf").orderBy("ix").collect()]
-    found = (
-        df.select(id_col, *keep, F.explode_outer(terms(F.col(text))).alias("term"))
-        .join(F.broadcast(vocabulary.select("term", "ix")), "term", "left")  # <= MAX_VOCABULARY
-        .groupBy(id_col, *keep)
-        .agg(F.array_sort(F.collect_list("ix")).alias("ixs"))
+    known = vocabulary.select("ix", "term", "idf").orderBy("ix").collect()
+    counter = CountVectorizerModel.from_vocabulary([r["term"] for r in known], "_terms", "_counts")
+    counted = counter.transform(df.select(id_col, *keep, terms(F.col(text)).alias("_terms")))
+    sparse = counted.select(id_col, *keep, F.unwrap_udt("_counts").alias("c"))
+    raw = F.zip_with(
+        "c.indices", "c.values",
+        lambda ix, tf: (F.lit(1.0) + F.log(tf)) * F.get(_lookup([r["idf"] for r in known]), ix),
     )
-    # Starts of the runs of equal numbers give the distinct terms and their frequencies.
-    places = F.when(F.size("ixs") > 0, F.sequence(F.lit(1), F.size("ixs"))).otherwise(
-        F.array().cast("array<int>")
-    )
-    starts = F.filter(
-        places, lambda p: (p == 1) | (F.get("ixs", p - 1) != F.get("ixs", p - 2))
-    )
-    ends = F.concat(F.slice("starts", 2, F.greatest(F.size("starts") - 1, F.lit(0))),
-                    F.array(F.size("ixs") + 1))
-    weighted = found.withColumn("starts", starts).select(
-        id_col, *keep,
-        F.transform("starts", lambda p: F.get("ixs", p - 1)).alias("indices"),
-        F.zip_with(
-            "starts",
-            F.when(F.size("starts") > 0, ends).otherwise(F.array().cast("array<int>")),
-            lambda start, end: F.lit(1.0) + F.log((end - start).cast("double")),
-        ).alias("tf"),
-    )
-    raw = F.zip_with("indices", "tf", lambda i, tf: tf * F.get(_lookup(idf), i))
-    rows = weighted.select(id_col, *keep, "indices", raw.alias("raw"))
+    rows = sparse.select(id_col, *keep, F.col("c.indices").alias("indices"), raw.alias("raw"))
     norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda acc, w: acc + w * w))
     # The norm is an argument, not part of the lambda, so it is computed once per row.
     norms = F.array_repeat(norm, F.size("raw"))

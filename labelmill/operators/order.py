@@ -13,6 +13,9 @@ from labelmill.functions.ranks import first_k, rank_conditions
 SEED = 42
 # The leading 16 of the key's 60 bits: 65,536 buckets at any table size.
 BUCKET_SHIFT = KEY_DIGITS * 4 - 16
+# Spark cuts groups on the map side up to this rank (its default threshold).
+LOCAL_LIMIT = 1000
+SALTS = 256
 
 
 def head_rows(df: DataFrame, n: int, id_col: str = ROW_ID) -> DataFrame:
@@ -101,9 +104,19 @@ def adaptive_sizes(n: int, n_iterations: int = 5) -> tuple[dict[str, int | None]
 
 
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int = 5) -> DataFrame:
-    """The first ``k`` rows of each group; every map task keeps ``k`` per group at most."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
+    """The first ``k`` rows of each group.
+
+    For a small ``k`` every map task keeps ``k`` rows per group before the
+    shuffle. For a larger one a hot group is first cut down in salted parts.
+    """
+    def first(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        return rows.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
+
+    if k <= LOCAL_LIMIT:
+        return first(df, keys)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    return first(first(salted, [*keys, "_salt"]).drop("_salt"), keys)
 
 
 def concat_tables(*dfs: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from labelmill.functions.ranks import quantiles
 IQR_FACTOR = 1.5
 IMBALANCE_LIMIT = 0.8
 BAR_PIXELS = 220  # width of the largest bar of a category chart
+START_CHARS = 32  # leading characters that order candidate values
+CANDIDATES = 5_000  # digests of candidate values that may be broadcast
 
 
 def _long(df: DataFrame, rows: Sequence[Sequence[Column]], names: Sequence[str]) -> DataFrame:
@@ -36,7 +38,7 @@ def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
         *[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)],
     )
     rows = [
-        [F.lit(c), F.col(f"m{i}"), F.round(F.col(f"m{i}") * F.lit(100.0) / F.col("rows"), 1)]
+        [F.lit(c), F.col(f"m{i}"), F.round(F.try_divide(F.col(f"m{i}") * F.lit(100.0), F.col("rows")), 1)]
         for i, c in enumerate(cols)
     ]
     return _long(totals, rows, ["column", "missing", "pct"]).where("missing > 0")
@@ -167,6 +169,38 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     )
 
 
+def _common_values(df: DataFrame, col: str, k: int) -> DataFrame:
+    """The ``k`` commonest values of a column, ties to the smaller value.
+
+    Values are counted by digest and start, so a column of long texts costs one
+    shuffle of short keys. The k-th (count, start) pair bounds the candidates;
+    only their full values are fetched and ranked, by a broadcast of their
+    digests if these are few, else by a join.
+    """
+    value = F.col(col)
+    digest, start = F.unhex(F.sha2(value, 256)), F.substring(value, 1, START_CHARS)
+    cells = df.where(value.isNotNull())
+    counts = cells.groupBy(digest.alias("digest"), start.alias("start")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    rows = counts.orderBy(F.desc("n"), "start").limit(max(k, CANDIDATES) + 1).collect()
+    if not rows:
+        return small_table(df.sparkSession, [], "value string, n bigint")
+    last = rows[min(k, len(rows)) - 1]
+    near = [(r["digest"], r["n"]) for r in rows if (-r["n"], r["start"]) <= (-last["n"], last["start"])]
+    if len(near) <= max(k, CANDIDATES):
+        candidates = F.broadcast(  # size just checked
+            df.sparkSession.createDataFrame(near, "digest binary, n bigint")
+        )
+    else:
+        wanted = (F.col("n") > last["n"]) | (
+            (F.col("n") == last["n"]) & (F.col("start") <= F.lit(last["start"]))
+        )
+        candidates = counts.where(wanted).select("digest", "n")
+    found = cells.select(value.alias("value"), digest.alias("digest")).join(candidates, "digest")
+    return found.groupBy("value").agg(F.first("n").alias("n")).orderBy(F.desc("n"), "value").limit(k)
+
+
 def top_categories(df: DataFrame, cols: Sequence[str] | None = None, k: int = 10) -> DataFrame:
     """The ``k`` commonest values of the first two string columns, with bar widths."""
     cols = list(cols or string_columns(df, [ROW_ID])[:2])
@@ -174,30 +208,53 @@ def top_categories(df: DataFrame, cols: Sequence[str] | None = None, k: int = 10
         return small_table(
             df.sparkSession, [], "column string, value string, n bigint, position int, bar int"
         )
-    counts = _cells(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    top = _stack([_common_values(df, c, k).withColumn("column", F.lit(c)) for c in cols])
+    # At most k rows per column from here on.
     order = Window.partitionBy("column").orderBy(F.desc("n"), "value")
-    top = counts.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
     largest = F.max("n").over(Window.partitionBy("column"))
     return top.select(
         "column",
         "value",
         "n",
-        "position",
+        F.row_number().over(order).alias("position"),
         F.floor(F.col("n") * BAR_PIXELS / largest).cast("int").alias("bar"),
     )
 
 
-def _totals(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
-    missing = F.lit(0)
-    for c in cols:
-        missing = missing + F.col(c).isNull().cast("int")
-    cells = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(missing), F.lit(0)).alias("missing"),
+def _totals(df: DataFrame, cols: Sequence[str], flags: dict[str, Column]) -> DataFrame:
+    """One row: rows, duplicates, and the sum of each flag over the rows.
+
+    One scan and one shuffle of digests: rows of equal content have equal flags,
+    so a flag is summed as its value times the size of the group.
+    """
+    groups = (
+        df.select(row_digest(df, cols).alias("digest"),
+                  *[f.cast("int").alias(name) for name, f in flags.items()])
+        .groupBy("digest", *flags)
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    both = cells.crossJoin(F.broadcast(duplicate_count(df, cols)))  # one row each
+
+    def add_up(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
+
+    return groups.agg(
+        add_up(F.col("n")).alias("rows"),
+        add_up(F.col("n") - 1).alias("duplicates"),
+        *[add_up(F.col("n") * F.col(name)).alias(name) for name in flags],
+    )
+
+
+def _add(cols: Sequence[Column]) -> Column:
+    total = F.lit(0)
+    for col in cols:
+        total = total + col
+    return total
+
+
+def _compared(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
+    missing = _add([F.col(c).isNull().cast("int") for c in cols])
     return _long(
-        both,
+        _totals(df, cols, {"missing": missing}),
         [
             [F.lit("Rows"), F.col("rows")],
             [F.lit("Missing values"), F.col("missing")],
@@ -211,8 +268,8 @@ def compare_tables(
     before: DataFrame, after: DataFrame, cols: Sequence[str] | None = None, id_col: str = ROW_ID
 ) -> DataFrame:
     """Rows, missing cells and duplicate rows before and after; ``better`` if not more."""
-    left = _totals(before, list(cols or content_columns(before, id_col)), "before")
-    right = _totals(after, list(cols or content_columns(after, id_col)), "after")
+    left = _compared(before, list(cols or content_columns(before, id_col)), "before")
+    right = _compared(after, list(cols or content_columns(after, id_col)), "after")
     better = F.when(F.col("after") <= F.col("before"), "better").otherwise("worse")
     return left.join(F.broadcast(right), "metric").select(  # three rows
         "metric", "before", "after", better.alias("verdict")
@@ -244,59 +301,41 @@ def _entries(
 def detect_issues(df: DataFrame, id_col: str = ROW_ID, **how) -> DataFrame:
     """The profile of one table as long rows (section, key, metric, value, text).
 
-    Shape, missing cells and outliers come from one aggregate over one scan.
+    Shape, duplicates, missing cells and outliers come from one scan.
     """
     cols = content_columns(df, id_col)
     numeric, strings = numeric_columns(df, [id_col]), string_columns(df, [id_col])
     bounds = bounds_of(df, numeric, **how)
-    totals = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)],
-        *[F.count_if(outside(F.col(c), bounds[c])).alias(f"o{i}") for i, c in enumerate(numeric)],
-    ).crossJoin(F.broadcast(duplicate_count(df, cols)))  # one row
-
-    def add_up(names: list[str]) -> Column:
-        total = F.lit(0)
-        for name in names:
-            total = total + F.col(name)
-        return total
-
-    shape = _entries(
-        totals,
-        "shape",
-        F.lit("table"),
-        [
-            ("rows", F.col("rows"), None),
-            ("cols", F.lit(len(cols)), None),
-            ("missing_cells", add_up([f"m{i}" for i in range(len(cols))]), None),
-            ("outlier_cells", add_up([f"o{i}" for i in range(len(numeric))]), None),
-            ("duplicates", F.col("duplicates"), None),
-        ],
-    )
-    per_column = [
-        F.struct(F.lit("missing").alias("section"), F.lit(c).alias("key"),
-                 F.col(f"m{i}").alias("n"), F.col("rows"))
-        for i, c in enumerate(cols)
-    ] + [
-        F.struct(F.lit("outliers").alias("section"), F.lit(c).alias("key"),
-                 F.col(f"o{i}").alias("n"), F.col("rows"))
+    missing = {f"m{i}": F.col(c).isNull() for i, c in enumerate(cols)}
+    outlying = {
+        f"o{i}": F.coalesce(outside(F.col(c), bounds[c]), F.lit(False))
         for i, c in enumerate(numeric)
+    }
+    totals = _totals(df, cols, {**missing, **outlying})
+    entries = [
+        ("shape", "table", "rows", F.col("rows"), F.lit(True)),
+        ("shape", "table", "cols", F.lit(len(cols)), F.lit(True)),
+        ("shape", "table", "missing_cells", _add([F.col(m) for m in missing]), F.lit(True)),
+        ("shape", "table", "outlier_cells", _add([F.col(o) for o in outlying]), F.lit(True)),
+        ("shape", "table", "duplicates", F.col("duplicates"), F.lit(True)),
     ]
-    found = totals.select(F.inline(F.array(*per_column))).where("n > 0")
-    pct = F.round(F.col("n") * F.lit(100.0) / F.col("rows"), 1)
-    missing = _entries(
-        found.where("section = 'missing'"), "missing", F.col("key"),
-        [("count", F.col("n"), None), ("pct", pct, None)],
-    )
-    outliers = _entries(
-        found.where("section = 'outliers'"), "outliers", F.col("key"),
-        [("count", F.col("n"), None)],
-    )
+    for name, c in zip(missing, cols):
+        pct = F.round(F.try_divide(F.col(name) * F.lit(100.0), F.col("rows")), 1)
+        entries.append(("missing", c, "count", F.col(name), F.col(name) > 0))
+        entries.append(("missing", c, "pct", pct, F.col(name) > 0))
+    for name, c in zip(outlying, numeric):
+        entries.append(("outliers", c, "count", F.col(name), F.col(name) > 0))
+    rows = [
+        [F.lit(section), F.lit(key), F.lit(metric), value.cast("double"),
+         F.lit(None).cast("string"), shown]
+        for section, key, metric, value, shown in entries
+    ]
+    found = _long(totals, rows, ["section", "key", "metric", "value", "text", "shown"])
     imbalance = _entries(
         class_imbalance(df, strings), "imbalance", F.col("column"),
         [("share", F.col("share"), F.col("value"))],
     )
-    return _stack([shape, missing, outliers, imbalance])
+    return _stack([found.where("shown").drop("shown"), imbalance])
 
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:

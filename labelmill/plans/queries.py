@@ -48,8 +48,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view of ``labelmill.plans.views`` over the tables of ``sf_dir``."""
-    for base in ("documents", "labels", "pages"):
-        spark.read.parquet(f"{sf_dir}/{base}.parquet").createOrReplaceTempView(base)
+    for base, key in (("documents", "doc_id"), ("labels", None), ("pages", None)):
+        read = tables.read_table(spark, f"{sf_dir}/{base}.parquet", spread_by=key)
+        read.createOrReplaceTempView(base)
     return spark.sql(f"WITH {with_views([name])} SELECT * FROM {name}")
 
 

@@ -42,12 +42,15 @@ DEMO_TEXTS = {
 }
 
 
-def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: str | None = None, spread_by: str | None = None
+) -> DataFrame:
     """CSV, JSON Lines or Parquet by file ending, with NaN read as missing.
 
     CSV fields may hold quotes and line breaks; such a file cannot be split, so
     large CSV input should come as many files. Give a schema to save the
-    inference pass.
+    inference pass. ``spread_by`` names a unique column over which a table of
+    fewer splits than cores is spread; a table with enough splits stays put.
     """
     name = path.rstrip("/").lower()
     reader = spark.read.schema(schema) if schema else spark.read
@@ -59,6 +62,9 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
         df = reader.json(path)
     else:
         df = reader.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, spread_by)
     return nan_to_null(df)
 
 
