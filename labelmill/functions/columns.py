@@ -52,6 +52,16 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(floats) if floats else df
 
 
+def one_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Fold -0.0 into 0.0, so that a value and a stored statistic of it compare alike."""
+    floats = {
+        c: F.col(c) + F.lit(0.0)
+        for c in cols
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
+    }
+    return df.withColumns(floats) if floats else df
+
+
 def as_text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(MISSING_AS_TEXT))
 

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.functions.columns import ROW_ID
+from labelmill.functions.columns import ROW_ID, one_zero
 from labelmill.storage import stage
 
 # Rows up to which one buffer of distinct values is accepted.
@@ -142,7 +142,7 @@ def order_statistics(
     folder, so that a costly input plan is not run again for each pass.
     """
     cols = list(ranks)
-    df = df.select(*cols)
+    df = one_zero(df.select(*cols), cols)
     counts = counts or column_counts(df, cols)
     if max(counts.values(), default=0) > bracket_rows:
         df = stage(df, "numbers")
@@ -229,7 +229,7 @@ def rank_conditions(
 
     The rows themselves are never shuffled: a cut is a plain filter.
     """
-    df = df.select(key, id_col)
+    df = one_zero(df.select(key, id_col), [key])
     total = column_counts(df, [key])[key]
     inner = [s for s in sizes if 0 < s < total]
     found = order_statistics(df, {key: [s - 1 for s in inner]}, {key: total}, bracket_rows)
@@ -254,7 +254,7 @@ def first_k(
     """The first ``k`` rows by (order, id): a sorted limit if small, else a filter."""
     if k <= in_one_task:
         return df.orderBy(order, F.col(id_col)).limit(k)
-    keyed = df.withColumn("_order", order)
+    keyed = one_zero(df.withColumn("_order", order), ["_order"])
     keys = stage(keyed.select("_order", id_col), "keys")
     (condition,) = rank_conditions(keys, "_order", id_col, [k])
     return keyed.where(condition).drop("_order")
