@@ -30,18 +30,20 @@ class Stages:
     n_select: int = 50
 
 
-def _rows(df: DataFrame, step: str, metrics: dict[str, Column]) -> DataFrame:
+def _rows(
+    df: DataFrame, step: str, metrics: dict[str, Column], action: Column | None = None
+) -> DataFrame:
     """(step, metric, value, text) rows from the one row of an aggregate."""
     entries = []
-    for name, col in metrics.items():
-        is_text = isinstance(col, str)
+    for name, col in {**({} if action is None else {"action": action}), **metrics}.items():
+        is_text = name == "action"
         entries.append(
             F.struct(
                 F.lit(step).alias("step"),
                 F.lit(name).alias("metric"),
                 F.lit(None).cast("double").alias("value") if is_text
                 else col.cast("double").alias("value"),
-                F.lit(col if is_text else None).cast("string").alias("text"),
+                (col if is_text else F.lit(None)).cast("string").alias("text"),
             )
         )
     return df.select(F.inline(F.array(*entries)))
@@ -91,15 +93,15 @@ def run_metrics(stages: Stages, id_col: str = ROW_ID) -> DataFrame:
     low = stages.labeled.agg(
         F.count_if(F.col(CONFIDENCE) < F.lit(float(stages.threshold))).alias("low")
     )
-    if stages.corrections is None:
-        review = _rows(
-            low, "review", {"action": "skipped", "low_conf": F.col("low"), "corrected": F.lit(0)}
-        )
-    else:
-        review = _rows(
-            _one_row(low, _counted(stages.corrections)), "review",
-            {"action": "corrected", "low_conf": F.col("low"), "corrected": n},
-        )
+    fixed = stages.corrections
+    review = _rows(
+        low.withColumn("n", F.lit(0)) if fixed is None else _one_row(low, _counted(fixed)),
+        "review",
+        {"low_conf": F.col("low"), "corrected": F.when(F.col("low") > 0, n).otherwise(0)},
+        F.when(F.col("low") == 0, "auto_skipped").otherwise(
+            "skipped" if fixed is None else "corrected"
+        ),
+    )
     enough = n >= MIN_SELECTABLE
     seed = F.greatest(F.lit(10), F.floor(F.lit(0.6) * n))
     chosen = F.when(enough, F.least(F.lit(stages.n_select), n - seed)).otherwise(n)
@@ -112,12 +114,12 @@ def run_metrics(stages: Stages, id_col: str = ROW_ID) -> DataFrame:
     if stages.al_corrections is not None:
         parts.append(
             _rows(_counted(stages.al_corrections), "al_review",
-                  {"action": "corrected", "corrected": n})
+                  {"corrected": n}, F.lit("corrected"))
         )
     else:
         parts.append(
             _rows(_counted(stages.final), "al_review",
-                  {"action": "skipped", "shown": n, "corrected": F.lit(0)})
+                  {"shown": n, "corrected": F.lit(0)}, F.lit("skipped"))
         )
     result = parts[0]
     for part in parts[1:]:

@@ -65,7 +65,8 @@ def curation_flow(
     annotated = annotate(cleaned, labeler, text, human, n=n_label, id_col=id_col)
     labeled = stage(annotated.labeled, "labeled")
     merged = labeled
-    if corrections is not None:
+    # Without a row to review, the queue is empty and corrections are not asked for.
+    if corrections is not None and not filter_low_confidence(labeled, threshold).isEmpty():
         merged = apply_corrections(labeled, corrections, threshold, correction_mode, id_col)
     selected = stage(
         select_informative(merged, n_select, text, LABEL, id_col, **fit), "selected"
