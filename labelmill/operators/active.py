@@ -92,9 +92,9 @@ def al_cycle(
 ) -> list[dict]:
     """One learning cycle over staged vectors; returns its history.
 
-    Only ids move between the sets. Each batch is appended to a written table, so
-    plans stay the same length and a lost executor costs no earlier iteration.
-    The last batch is queried but never evaluated.
+    Each batch is appended to a written table, so plans stay the same length, a
+    fit reads no more than the labelled rows, and a lost executor costs no
+    earlier iteration. A batch that would never be evaluated is not queried.
     """
     if strategy not in SCORES:
         raise ValueError(f"unknown strategy: {strategy!r}")
@@ -118,9 +118,9 @@ def al_cycle(
         ids = query_pool(
             predict(classifier, now_pool), strategy, batch, id_col, seed=f"{seed}:{i}"
         )
-        ids.select(id_col).write.mode("append").parquet(path)
-        picked = spark.read.schema(pool.select(id_col).schema).parquet(path)
-        now_labeled = labeled.unionByName(take_rows(pool, picked, id_col))
+        take_rows(now_pool, ids, id_col).write.mode("append").parquet(path)
+        picked = spark.read.schema(pool.schema).parquet(path)
+        now_labeled = labeled.unionByName(picked)
         now_pool = remove_rows(pool, picked, id_col)
         n_labeled, n_pool = n_labeled + batch, n_pool - batch
     return history
@@ -166,7 +166,7 @@ def compare_strategies(
     seen = rows if fit_on == "all" else parts.where(F.col("part") != "test")
     vocabulary = tfidf_fit(seen, text, max_features)
     features = tfidf_transform(parts, vocabulary, text, id_col, [label, "part"])
-    vectors = stage_vectors(features, vocabulary.count())
+    vectors = stage_vectors(features, vocabulary.count(), "part")
     labeled, pool, test = (
         vectors.where(F.col("part") == p).drop("part") for p in ("labeled", "pool", "test")
     )
@@ -215,7 +215,7 @@ def select_informative(
     parts = split_by_rank(valid, seed_pool_sizes(n), id_col, seed)
     vocabulary = tfidf_fit(valid, text, max_features)
     features = tfidf_transform(parts, vocabulary, text, id_col, [label, "part"])
-    vectors = stage_vectors(features, vocabulary.count())
+    vectors = stage_vectors(features, vocabulary.count(), "part")
     classifier = fit_classifier(vectors.where(F.col("part") == "seed"), label, **fit)
     pool = vectors.where(F.col("part") == "pool")
     picked = query_pool(predict(classifier, pool), "entropy", k, id_col)

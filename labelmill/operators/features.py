@@ -107,18 +107,21 @@ def feature_table(features: DataFrame, vocabulary: DataFrame, id_col: str = ROW_
     return cells.join(F.broadcast(names), "ix").select(id_col, "term", "weight")
 
 
-def stage_vectors(features: DataFrame, size: int, name: str = "vectors") -> DataFrame:
+def stage_vectors(features: DataFrame, size: int, part: str | None = None) -> DataFrame:
     """Write sparse rows once and read them back as MLlib vectors.
 
     A vector is stored as the struct (type 0, size, indices, values), so reading
-    the table with the vector type needs no Python on any row.
+    the table with the vector type needs no Python on any row. ``part`` names a
+    column of few values to lay the table out by: a filter on it then reads the
+    files of that part alone.
     """
     spark = features.sparkSession
     others = [f for f in features.schema.fields if f.name not in ("indices", "values")]
     vector = F.struct(
         F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), "indices", "values"
     )
-    path = new_stage_path(spark, name)
-    features.select(*[f.name for f in others], vector.alias("features")).write.parquet(path)
+    path = new_stage_path(spark, "vectors")
+    rows = features.select(*[f.name for f in others], vector.alias("features"))
+    rows.write.parquet(path, partitionBy=part)
     schema = T.StructType([*others, T.StructField("features", VectorUDT())])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)

@@ -45,16 +45,16 @@ def sample_savings(
     """
     if target is None:
         best = F.max(F.when(F.col("strategy") == baseline, F.col("accuracy")))
-        goal = history.agg((best * F.lit(TARGET_SHARE)).alias("target"))
+        goal = history.agg(best * F.lit(TARGET_SHARE)).scalar()
     else:
-        goal = history.agg(F.max(F.lit(float(target))).alias("target"))
+        goal = F.lit(float(target))
 
     def first_reach(name: str):
         hit = (F.col("strategy") == name) & (F.col("accuracy") >= F.col("target"))
         return F.min_by(F.when(hit, F.col("n_labeled")), F.when(hit, F.col("iteration")))
 
     mine, theirs = f"n_labeled_{strategy}", f"n_labeled_{baseline}"
-    reached = history.crossJoin(F.broadcast(goal)).agg(  # one row
+    reached = history.withColumn("target", goal).agg(
         F.max("target").alias("target"),
         first_reach(strategy).alias(mine),
         first_reach(baseline).alias(theirs),

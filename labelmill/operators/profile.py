@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -163,10 +163,8 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
         .groupBy(F.col(col).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    total = df.agg(F.count(F.col(col)).alias("total"))
-    return counts.crossJoin(F.broadcast(total)).select(  # one row
-        "value", "n", (F.col("n") / F.col("total")).alias("share")
-    )
+    total = df.agg(F.count(F.col(col))).scalar()
+    return counts.select("value", "n", (F.col("n") / total).alias("share"))
 
 
 def _common_values(df: DataFrame, col: str, k: int) -> DataFrame:
@@ -221,12 +219,15 @@ def top_categories(df: DataFrame, cols: Sequence[str] | None = None, k: int = 10
     )
 
 
-def _totals(df: DataFrame, cols: Sequence[str], flags: dict[str, Column]) -> DataFrame:
+def content_totals(
+    df: DataFrame, cols: Sequence[str], flags: Mapping[str, Column] | None = None
+) -> DataFrame:
     """One row: rows, duplicates, and the sum of each flag over the rows.
 
     One scan and one shuffle of digests: rows of equal content have equal flags,
     so a flag is summed as its value times the size of the group.
     """
+    flags = flags or {}
     groups = (
         df.select(row_digest(df, cols).alias("digest"),
                   *[f.cast("int").alias(name) for name, f in flags.items()])
@@ -254,7 +255,7 @@ def _add(cols: Sequence[Column]) -> Column:
 def _compared(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
     missing = _add([F.col(c).isNull().cast("int") for c in cols])
     return _long(
-        _totals(df, cols, {"missing": missing}),
+        content_totals(df, cols, {"missing": missing}),
         [
             [F.lit("Rows"), F.col("rows")],
             [F.lit("Missing values"), F.col("missing")],
@@ -311,7 +312,7 @@ def detect_issues(df: DataFrame, id_col: str = ROW_ID, **how) -> DataFrame:
         f"o{i}": F.coalesce(outside(F.col(c), bounds[c]), F.lit(False))
         for i, c in enumerate(numeric)
     }
-    totals = _totals(df, cols, {**missing, **outlying})
+    totals = content_totals(df, cols, {**missing, **outlying})
     entries = [
         ("shape", "table", "rows", F.col("rows"), F.lit(True)),
         ("shape", "table", "cols", F.lit(len(cols)), F.lit(True)),

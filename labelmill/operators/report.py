@@ -7,12 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.functions.columns import CONFIDENCE, LABEL, ROW_ID, content_columns
+from labelmill.functions.columns import LABEL, ROW_ID, content_columns
 from labelmill.operators.active import MIN_SELECTABLE
 from labelmill.operators.annotate import label_summary
 from labelmill.operators.filters import LOW_CONFIDENCE, drop_error_labels, filter_valid_labels
 from labelmill.operators.history import sample_savings
-from labelmill.operators.profile import duplicate_count, value_counts
+from labelmill.operators.profile import content_totals, value_counts
 
 
 @dataclass
@@ -30,23 +30,25 @@ class Stages:
     n_select: int = 50
 
 
-def _rows(
-    df: DataFrame, step: str, metrics: dict[str, Column], action: Column | None = None
-) -> DataFrame:
+Entry = tuple[str, str, Column | None, Column | None]
+
+
+def _rows(df: DataFrame, entries: list[Entry]) -> DataFrame:
     """(step, metric, value, text) rows from the one row of an aggregate."""
-    entries = []
-    for name, col in {**({} if action is None else {"action": action}), **metrics}.items():
-        is_text = name == "action"
-        entries.append(
-            F.struct(
-                F.lit(step).alias("step"),
-                F.lit(name).alias("metric"),
-                F.lit(None).cast("double").alias("value") if is_text
-                else col.cast("double").alias("value"),
-                (col if is_text else F.lit(None)).cast("string").alias("text"),
-            )
+    structs = [
+        F.struct(
+            F.lit(step).alias("step"),
+            F.lit(metric).alias("metric"),
+            (F.lit(None) if value is None else value).cast("double").alias("value"),
+            (F.lit(None) if text is None else text).cast("string").alias("text"),
         )
-    return df.select(F.inline(F.array(*entries)))
+        for step, metric, value, text in entries
+    ]
+    return df.select(F.inline(F.array(*structs)))
+
+
+def _values(step: str, metrics: dict[str, Column]) -> list[Entry]:
+    return [(step, name, value, None) for name, value in metrics.items()]
 
 
 def _counted(df: DataFrame, name: str = "n") -> DataFrame:
@@ -54,10 +56,11 @@ def _counted(df: DataFrame, name: str = "n") -> DataFrame:
 
 
 def _one_row(*dfs: DataFrame) -> DataFrame:
-    """Single-row aggregates side by side."""
+    """Single-row aggregates side by side, the later ones as scalar subqueries."""
     result = dfs[0]
     for df in dfs[1:]:
-        result = result.crossJoin(F.broadcast(df))
+        row = df.select(F.struct(*df.columns)).scalar()
+        result = result.withColumns({c: row.getField(c) for c in df.columns})
     return result
 
 
@@ -71,60 +74,46 @@ def _label_dist(df: DataFrame, step: str) -> DataFrame:
 
 
 def run_metrics(stages: Stages, id_col: str = ROW_ID) -> DataFrame:
-    """What each step took in and gave out: (step, metric, value, text)."""
-    n = F.col("n")
-    collect = _rows(_counted(stages.raw), "collect", {"rows": n, "cols": F.lit(
-        len(content_columns(stages.raw, id_col)))})
-    cleaning = _one_row(
-        _counted(stages.raw, "before"),
-        _counted(stages.clean, "after"),
-        duplicate_count(stages.raw, content_columns(stages.raw, id_col)),
-    )
-    clean = _rows(
-        cleaning, "clean",
-        {"rows_before": F.col("before"), "rows_after": F.col("after"),
-         "duplicates_removed": F.col("duplicates")},
-    )
-    summary = label_summary(stages.labeled, stages.threshold)
-    annotate = _rows(
-        summary, "annotate",
-        {c: F.col(c) for c in ("total", "low_confidence", "errors", "confidence_mean")},
-    )
-    low = stages.labeled.agg(
-        F.count_if(F.col(CONFIDENCE) < F.lit(float(stages.threshold))).alias("low")
-    )
-    fixed = stages.corrections
-    review = _rows(
-        low.withColumn("n", F.lit(0)) if fixed is None else _one_row(low, _counted(fixed)),
-        "review",
-        {"low_conf": F.col("low"), "corrected": F.when(F.col("low") > 0, n).otherwise(0)},
-        F.when(F.col("low") == 0, "auto_skipped").otherwise(
-            "skipped" if fixed is None else "corrected"
-        ),
+    """What each step took in and gave out: (step, metric, value, text).
+
+    Every table is scanned once; the figures meet in a single row.
+    """
+    raw_cols = content_columns(stages.raw, id_col)
+    fixed, relabeled = stages.corrections, stages.al_corrections
+    figures = _one_row(
+        content_totals(stages.raw, raw_cols),
+        _counted(stages.clean, "clean"),
+        label_summary(stages.labeled, stages.threshold),
+        _counted(filter_valid_labels(stages.reviewed), "valid"),
+        _counted(stages.final, "final"),
+        *([] if fixed is None else [_counted(fixed, "fixed")]),
+        *([] if relabeled is None else [_counted(relabeled, "relabeled")]),
     )
-    enough = n >= MIN_SELECTABLE
-    seed = F.greatest(F.lit(10), F.floor(F.lit(0.6) * n))
-    chosen = F.when(enough, F.least(F.lit(stages.n_select), n - seed)).otherwise(n)
-    select = _rows(
-        _counted(filter_valid_labels(stages.reviewed)), "al_select",
-        {"seed": F.when(enough, seed), "pool": F.when(enough, n - seed), "selected": chosen,
-         "total": F.when(enough, seed + chosen).otherwise(n)},
+    low, valid = F.col("low_confidence"), F.col("valid")
+    merged = F.lit(0) if fixed is None else F.col("fixed")
+    enough = valid >= MIN_SELECTABLE
+    seed = F.greatest(F.lit(10), F.floor(F.lit(0.6) * valid))
+    chosen = F.when(enough, F.least(F.lit(stages.n_select), valid - seed)).otherwise(valid)
+    review_action = F.when(low == 0, "auto_skipped").otherwise(
+        "skipped" if fixed is None else "corrected"
     )
-    parts = [collect, clean, annotate, _label_dist(stages.labeled, "annotate"), review, select]
-    if stages.al_corrections is not None:
-        parts.append(
-            _rows(_counted(stages.al_corrections), "al_review",
-                  {"corrected": n}, F.lit("corrected"))
-        )
-    else:
-        parts.append(
-            _rows(_counted(stages.final), "al_review",
-                  {"shown": n, "corrected": F.lit(0)}, F.lit("skipped"))
-        )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    entries = [
+        *_values("collect", {"rows": F.col("rows"), "cols": F.lit(len(raw_cols))}),
+        *_values("clean", {"rows_before": F.col("rows"), "rows_after": F.col("clean"),
+                           "duplicates_removed": F.col("duplicates")}),
+        *_values("annotate", {c: F.col(c) for c in (
+            "total", "low_confidence", "errors", "confidence_mean")}),
+        ("review", "action", None, review_action),
+        *_values("review", {"low_conf": low, "corrected": F.when(low > 0, merged).otherwise(0)}),
+        *_values("al_select", {
+            "seed": F.when(enough, seed), "pool": F.when(enough, valid - seed),
+            "selected": chosen, "total": F.when(enough, seed + chosen).otherwise(valid)}),
+        ("al_review", "action", None, F.lit("skipped" if relabeled is None else "corrected")),
+        *_values("al_review", {
+            "shown": F.col("final"),
+            "corrected": F.lit(0) if relabeled is None else F.col("relabeled")}),
+    ]
+    return _rows(figures, entries).unionByName(_label_dist(stages.labeled, "annotate"))
 
 
 def data_card(stages: Stages) -> DataFrame:
@@ -135,30 +124,28 @@ def data_card(stages: Stages) -> DataFrame:
         _counted(stages.labeled, "labeled"),
         _counted(drop_error_labels(stages.final), "final"),
     )
-    rows = _rows(counts, "card", {c: F.col(c) for c in ("raw", "clean", "labeled", "final")})
+    rows = _rows(counts, _values("card", {c: F.col(c) for c in counts.columns}))
     return rows.unionByName(_label_dist(stages.labeled, "card"))
 
 
 def final_metrics(stages: Stages, history: DataFrame, strategy: str = "entropy") -> DataFrame:
     """Stage figures, the last model scores, and the strategy comparison."""
     figures = _one_row(
-        _counted(stages.raw, "collected"),
-        duplicate_count(stages.raw, content_columns(stages.raw)),
+        content_totals(stages.raw, content_columns(stages.raw)),
         _counted(stages.clean, "clean"),
         label_summary(stages.labeled, stages.threshold),
         _counted(drop_error_labels(stages.final), "final"),
     )
-    by_stage = _rows(
-        figures, "stages",
-        {"rows_collected": F.col("collected"), "duplicates_removed": F.col("duplicates"),
-         "rows_clean": F.col("clean"), "rows_labeled": F.col("total"),
-         "confidence_mean": F.round("confidence_mean", 3), "error_share": F.col("error_share"),
-         "rows_final": F.col("final")},
-    )
+    by_stage = _rows(figures, _values("stages", {
+        "rows_collected": F.col("rows"), "duplicates_removed": F.col("duplicates"),
+        "rows_clean": F.col("clean"), "rows_labeled": F.col("total"),
+        "confidence_mean": F.round("confidence_mean", 3), "error_share": F.col("error_share"),
+        "rows_final": F.col("final")}))
     last = history.where(F.col("strategy") == strategy).agg(
         *[F.max_by(c, "iteration").alias(c) for c in ("accuracy", "f1", "n_labeled")]
     )
-    model = _rows(last, "model", {c: F.col(c) for c in ("accuracy", "f1", "n_labeled")})
     savings = sample_savings(history)
-    compared = _rows(savings, "strategies", {c: F.col(c) for c in savings.columns})
-    return by_stage.unionByName(model).unionByName(compared)
+    return (
+        by_stage.unionByName(_rows(last, _values("model", {c: F.col(c) for c in last.columns})))
+        .unionByName(_rows(savings, _values("strategies", {c: F.col(c) for c in savings.columns})))
+    )

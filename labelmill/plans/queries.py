@@ -584,7 +584,7 @@ def _vectors(df: DataFrame, label: str = "original_label") -> tuple[DataFrame, D
     parts = order.split_by_rank(rows, order.learning_sizes(rows.count()))
     vocabulary = features.tfidf_fit(rows)
     sparse = features.tfidf_transform(parts, vocabulary, keep=[label, "part"])
-    return features.stage_vectors(sparse, vocabulary.count()), vocabulary
+    return features.stage_vectors(sparse, vocabulary.count(), "part"), vocabulary
 
 
 @query("fit_classifier", "reviews")

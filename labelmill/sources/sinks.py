@@ -38,8 +38,8 @@ def write_tasks(tasks: DataFrame, path: str) -> None:
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Write a metrics table (a few rows per step) as JSON Lines."""
-    metrics.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """Write a metrics table as JSON Lines."""
+    metrics.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def write_learning_report(config: dict, history: DataFrame, savings: DataFrame, path: str) -> None:
@@ -56,10 +56,11 @@ def write_learning_report(config: dict, history: DataFrame, savings: DataFrame,
     # A history has a few records per strategy.
     records = history.agg(
         F.array_sort(F.collect_list(F.struct("strategy", *[c for c in history.columns
-                                                           if c != "strategy"]))).alias("histories")
+                                                           if c != "strategy"])))
     )
-    saved = savings.select(F.struct(*savings.columns).alias("savings"))
-    write_metrics(head.crossJoin(records).crossJoin(saved), path)
+    saved = savings.select(F.struct(*savings.columns))
+    report = head.withColumns({"histories": records.scalar(), "savings": saved.scalar()})
+    write_metrics(report, path)
 
 
 @dataclass

@@ -62,7 +62,7 @@ def vectors(spark, sf_dir):
     parts = order.split_by_rank(rows, order.learning_sizes(rows.count()))
     vocabulary = features.tfidf_fit(rows, max_features=300)
     sparse = features.tfidf_transform(parts, vocabulary, keep=["original_label", "part"])
-    return features.stage_vectors(sparse, vocabulary.count())
+    return features.stage_vectors(sparse, vocabulary.count(), "part")
 
 
 def gradient(fitted, rows):
