@@ -57,11 +57,9 @@ def _counted(df: DataFrame, name: str = "n") -> DataFrame:
 
 def _one_row(*dfs: DataFrame) -> DataFrame:
     """Single-row aggregates side by side, the later ones as scalar subqueries."""
-    result = dfs[0]
-    for df in dfs[1:]:
-        row = df.select(F.struct(*df.columns)).scalar()
-        result = result.withColumns({c: row.getField(c) for c in df.columns})
-    return result
+    first, *others = dfs
+    rows = {f"_{i}": df.select(F.struct(*df.columns)).scalar() for i, df in enumerate(others)}
+    return first.withColumns(rows).select(*first.columns, *[f"{name}.*" for name in rows])
 
 
 def _label_dist(df: DataFrame, step: str) -> DataFrame:
