@@ -1,7 +1,7 @@
 """Exact order statistics without sorting or collecting a whole column.
 
 ``percentile`` keeps one entry per distinct value in a single buffer, so it is
-used only up to a checked number of rows. Beyond that, every wanted rank is
+used only up to a checked number of cells at once. Beyond that, every wanted rank is
 bracketed by approximate quantiles, the bracket is verified by exact counts, and
 the search goes on inside it. Each pass is one aggregate with map-side combine,
 whatever the skew; a value that holds a third of the rows ends the search at
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from labelmill.functions.columns import ROW_ID, one_zero
 from labelmill.storage import stage
 
-# Rows up to which one buffer of distinct values is accepted.
+# Cells (rows times columns) whose distinct values may meet in one aggregate.
 EXACT_ROWS = 2_000_000
-# Rows of an open bracket that the driver may read.
+# Rows of the open brackets of all columns that the driver may read.
 BRACKET_ROWS = 20_000
 # Rows that may meet in the one task of a sorted limit.
 TOP_IN_ONE_TASK = 1_000
@@ -144,6 +144,7 @@ def order_statistics(
     cols = list(ranks)
     df = one_zero(df.select(*cols), cols)
     counts = counts or column_counts(df, cols)
+    bracket_rows = max(1, bracket_rows // max(1, len(cols)))
     if max(counts.values(), default=0) > bracket_rows:
         df = stage(df, "numbers")
     brackets = {
@@ -183,17 +184,20 @@ def quantiles(
         return {c: row[c] or [None] * len(fractions) for c in cols}
     result: dict[str, list[float | None]] = {c: [None] * len(fractions) for c in cols}
     if rows_at_most is not None and rows_at_most <= exact_rows:
-        small, large = cols, []
+        small, large, most = cols, [], rows_at_most
     else:
         if rows_at_most is not None:
             df = stage(df, "numbers")
         counts = column_counts(df, cols)
         small = [c for c in cols if counts[c] <= exact_rows]
         large = [c for c in cols if counts[c] > exact_rows]
-    if small:
-        points = F.array(*[F.lit(float(f)) for f in fractions])
-        row = _one_row(df, {c: F.percentile(F.col(c).cast("double"), points) for c in small})
-        result |= {c: list(row[c]) for c in small if row[c]}
+        most = max((counts[c] for c in small), default=0)
+    points = F.array(*[F.lit(float(f)) for f in fractions])
+    at_once = max(1, exact_rows // max(1, most))
+    for start in range(0, len(small), at_once):
+        group = small[start : start + at_once]
+        row = _one_row(df, {c: F.percentile(F.col(c).cast("double"), points) for c in group})
+        result |= {c: list(row[c]) for c in group if row[c]}
     if large:
         position = {(c, f): f * (counts[c] - 1) for c in large for f in fractions}
         ranks = {

@@ -8,6 +8,7 @@ from labelmill.operators.annotate import (
     GUIDE_CLASSES,
     GUIDE_ROLE,
     GUIDE_SAMPLES,
+    GUIDE_SECTIONS,
     GUIDE_TASK,
     MODEL,
     PROMPT_HEAD,
@@ -486,7 +487,7 @@ oracle("parse_label_responses", "SELECT row_id, raw, label_auto, confidence FROM
 oracle(
     "build_guide_prompt",
     f"""SELECT {lit(f"{GUIDE_ROLE}{GUIDE_TASK}sentiment classification{GUIDE_CLASSES}{list(CLASSES)}{GUIDE_SAMPLES}")}
-    || CAST(to_json(list(text ORDER BY row_id)) AS VARCHAR) AS prompt
+    || CAST(to_json(list(text ORDER BY row_id)) AS VARCHAR) || {lit(GUIDE_SECTIONS)} AS prompt
     FROM (SELECT row_id, text FROM reviews WHERE text IS NOT NULL ORDER BY {KEY} LIMIT 10)""",
     "reviews",
 )

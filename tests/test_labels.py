@@ -110,7 +110,8 @@ def test_missing_reply_is_an_error(spark, texts):
 
 def test_guide_prompt(texts):
     prompt = annotate.build_guide_prompt(texts, k=10).first()["prompt"]
-    assert json.loads(prompt[prompt.rindex("[", 0, prompt.index("good")):]) == ["good", "bad", "x" * 900]
+    start = prompt.rindex("[", 0, prompt.index("good"))
+    assert json.loads(prompt[start : prompt.rindex("]") + 1]) == ["good", "bad", "x" * 900]
     with pytest.raises(ValueError):
         annotate.build_guide_prompt(texts, k=10**6)
 
