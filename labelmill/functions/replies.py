@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.functions.columns import ERROR_LABEL
@@ -24,33 +24,41 @@ def strip_fences(raw: Column) -> Column:
     return F.trim(F.ltrim(text, F.lit(FENCE_NAME)), space)
 
 
-def read_reply(raw: Column) -> tuple[Column, Column]:
-    """(label, confidence) of a reply; anything unreadable is ('error', 0.0).
+def read_replies(df: DataFrame, raw: str, label: str, confidence: str) -> DataFrame:
+    """Add label and confidence of a reply; anything unreadable is ('error', 0.0).
 
     The text is parsed as the only element of an array, because the variant
-    parser would ignore what follows a complete value.
+    parser would ignore what follows a complete value. Intermediate values are
+    columns, so that each reply is parsed once.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), strip_fences(raw), F.lit("]")))
-    reply = F.try_variant_get(wrapped, "$[0]", "variant")
-    extra = F.try_variant_get(wrapped, "$[1]", "variant")
-    is_object = (
-        wrapped.isNotNull()
-        & extra.isNull()
-        & F.coalesce(F.schema_of_variant(reply).startswith("OBJECT"), F.lit(False))
+    others = [c for c in df.columns if c not in (label, confidence)]
+    wrapped = F.concat(F.lit("["), strip_fences(F.col(raw)), F.lit("]"))
+    parsed = df.select(*others, F.try_parse_json(wrapped).alias("_all"))
+    only = parsed.select(
+        *others,
+        F.when(
+            F.try_variant_get("_all", "$[1]", "variant").isNull(),
+            F.try_variant_get("_all", "$[0]", "variant"),
+        ).alias("_reply"),
     )
-    members = F.coalesce(
-        F.try_variant_get(reply, "$", "map<string, variant>"),
-        F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>")),
+    read = only.select(
+        *others,
+        F.coalesce(F.schema_of_variant("_reply").startswith("OBJECT"), F.lit(False)).alias("_ok"),
+        F.map_keys(F.try_variant_get("_reply", "$", "map<string, variant>")).alias("_keys"),
+        F.try_variant_get("_reply", "$.label", "string").alias("_label"),
+        F.try_variant_get("_reply", "$.confidence", "double").alias("_number"),
     )
-    has_label = F.map_contains_key(members, "label")
-    has_confidence = F.map_contains_key(members, "confidence")
-    label = F.when(has_label, F.try_variant_get(reply, "$.label", "string")).otherwise(ERROR_LABEL)
-    number = F.when(has_confidence, F.try_variant_get(reply, "$.confidence", "double")).otherwise(
-        F.lit(0.0)
-    )
-    good = is_object & number.isNotNull()
-    confidence = F.nanvl(number, F.lit(None).cast("double"))
-    return (
-        F.when(good, label).otherwise(ERROR_LABEL),
-        F.when(good, confidence).otherwise(F.lit(0.0)),
+
+    def has(key: str) -> Column:
+        return F.coalesce(F.array_contains("_keys", key), F.lit(False))
+
+    number = F.when(has("confidence"), F.col("_number")).otherwise(F.lit(0.0))
+    checked = read.withColumn("_number", F.when(F.col("_ok"), number))
+    good = F.col("_number").isNotNull()
+    found = F.when(has("label"), F.col("_label")).otherwise(ERROR_LABEL)
+    sure = F.nanvl("_number", F.lit(None).cast("double"))
+    return checked.select(
+        *others,
+        F.when(good, found).otherwise(ERROR_LABEL).alias(label),
+        F.when(good, sure).otherwise(F.lit(0.0)).alias(confidence),
     )
