@@ -43,8 +43,9 @@ def tfidf_fit(df: DataFrame, text: str = TEXT, max_features: int = MAX_FEATURES)
     """
     if max_features > MAX_VOCABULARY:
         raise ValueError(f"max_features above {MAX_VOCABULARY} cannot be broadcast")
-    words = F.split(F.lower(as_text(F.col(text))), NOT_WORD)
-    lists = df.select(F.posexplode(F.array(words, F.array_distinct(words))).alias("which", "words"))
+    split = df.select(F.split(F.lower(as_text(F.col(text))), NOT_WORD).alias("all"))
+    both = F.array("all", F.array_distinct("all"))
+    lists = split.select(F.posexplode(both).alias("which", "words"))
     counts = (
         lists.select("which", F.explode("words").alias("term"))
         .where(F.length("term") >= MIN_TERM_CHARS)
