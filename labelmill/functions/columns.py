@@ -17,6 +17,9 @@ ERROR_LABEL = "error"
 # How a missing value reads once it is turned into text.
 MISSING_AS_TEXT = "nan"
 
+# Rows of short columns a join side may have to be broadcast.
+BROADCAST_ROWS = 200_000
+
 # Hex digits of the md5 key: 15 fit a non-negative bigint, 13 fit a double exactly.
 KEY_DIGITS = 15
 UNIFORM_DIGITS = 13
@@ -100,6 +103,11 @@ def seeded_uniform(id_col: str, seed: int | str) -> Column:
     return _md5_hex(id_col, str(seed), UNIFORM_DIGITS) / F.lit(float(16**UNIFORM_DIGITS))
 
 
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a short table of short rows; leave the join of a longer one to Spark."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def small_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
     """A few driver-side scalars as a table."""
     return spark.createDataFrame([tuple(r) for r in rows], schema).coalesce(1)

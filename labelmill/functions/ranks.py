@@ -134,18 +134,20 @@ def order_statistics(
     ranks: Mapping[str, Sequence[int]],
     counts: Mapping[str, int] | None = None,
     bracket_rows: int = BRACKET_ROWS,
+    staged: bool = False,
 ) -> dict[tuple[str, int], Found]:
     """Value at each 0-based rank of each numeric column, nulls left out.
 
     Ranks beyond the number of present values are left out of the result. If
     the search needs several passes, the numbers are written once to the shared
-    folder, so that a costly input plan is not run again for each pass.
+    folder, so that a costly input plan is not run again for each pass; an input
+    that is ``staged`` already is read as it is.
     """
     cols = list(ranks)
     df = one_zero(df.select(*cols), cols)
     counts = counts or column_counts(df, cols)
     bracket_rows = max(1, bracket_rows // max(1, len(cols)))
-    if max(counts.values(), default=0) > bracket_rows:
+    if not staged and max(counts.values(), default=0) > bracket_rows:
         df = stage(df, "numbers")
     brackets = {
         (c, r): _Bracket(c, r, 0, counts[c]) for c in cols for r in set(ranks[c]) if r < counts[c]
@@ -183,11 +185,12 @@ def quantiles(
         )
         return {c: row[c] or [None] * len(fractions) for c in cols}
     result: dict[str, list[float | None]] = {c: [None] * len(fractions) for c in cols}
+    staged = False
     if rows_at_most is not None and rows_at_most <= exact_rows:
         small, large, most = cols, [], rows_at_most
     else:
         if rows_at_most is not None:
-            df = stage(df, "numbers")
+            df, staged = stage(df, "numbers"), True
         counts = column_counts(df, cols)
         small = [c for c in cols if counts[c] <= exact_rows]
         large = [c for c in cols if counts[c] > exact_rows]
@@ -204,7 +207,7 @@ def quantiles(
             c: sorted({g(position[c, f]) for f in fractions for g in (math.floor, math.ceil)})
             for c in large
         }
-        found = order_statistics(df, ranks, counts, bracket_rows)
+        found = order_statistics(df, ranks, counts, bracket_rows, staged)
         for c in large:
             result[c] = []
             for f in fractions:
@@ -215,19 +218,27 @@ def quantiles(
     return result
 
 
-def _cut_condition(df: DataFrame, key: str, id_col: str, size: int, at: Found) -> Column:
+def _cut_condition(
+    df: DataFrame, key: str, id_col: str, size: int, at: Found, staged: bool
+) -> Column:
     """Condition met by exactly the first ``size`` rows by (key, id)."""
     col = F.col(key)
     take = size - at.below
     if take == at.equal:
         return col <= F.lit(at.value)
     tied = df.where(col == F.lit(at.value)).select(id_col)
-    last = order_statistics(tied, {id_col: [take - 1]})[id_col, take - 1].value
+    found = order_statistics(tied, {id_col: [take - 1]}, {id_col: at.equal}, staged=staged)
+    last = found[id_col, take - 1].value
     return (col < F.lit(at.value)) | ((col == F.lit(at.value)) & (F.col(id_col) <= F.lit(last)))
 
 
 def rank_conditions(
-    df: DataFrame, key: str, id_col: str, sizes: Sequence[int], bracket_rows: int = BRACKET_ROWS
+    df: DataFrame,
+    key: str,
+    id_col: str,
+    sizes: Sequence[int],
+    bracket_rows: int = BRACKET_ROWS,
+    staged: bool = False,
 ) -> list[Column]:
     """For each size, a row condition that holds for exactly the first rows by (key, id).
 
@@ -236,7 +247,8 @@ def rank_conditions(
     df = one_zero(df.select(key, id_col), [key])
     total = column_counts(df, [key])[key]
     inner = [s for s in sizes if 0 < s < total]
-    found = order_statistics(df, {key: [s - 1 for s in inner]}, {key: total}, bracket_rows)
+    ranks = {key: [s - 1 for s in inner]}
+    found = order_statistics(df, ranks, {key: total}, bracket_rows, staged)
     conditions = []
     for s in sizes:
         if s <= 0:
@@ -244,7 +256,8 @@ def rank_conditions(
         elif s >= total:
             conditions.append(F.lit(True))
         else:
-            conditions.append(_cut_condition(df, key, id_col, s, found[key, s - 1]))
+            at = found[key, s - 1]
+            conditions.append(_cut_condition(df, key, id_col, s, at, staged))
     return conditions
 
 
@@ -260,5 +273,5 @@ def first_k(
         return df.orderBy(order, F.col(id_col)).limit(k)
     keyed = one_zero(df.withColumn("_order", order), ["_order"])
     keys = stage(keyed.select("_order", id_col), "keys")
-    (condition,) = rank_conditions(keys, "_order", id_col, [k])
+    (condition,) = rank_conditions(keys, "_order", id_col, [k], staged=True)
     return keyed.where(condition).drop("_order")

@@ -11,15 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelmill.functions.columns import ROW_ID, TEXT, as_text
+from labelmill.functions.columns import BROADCAST_ROWS, ROW_ID, TEXT, as_text, small_side
 from labelmill.storage import new_stage_path
 
 MAX_FEATURES = 5000
 # Fixed value: a term is a run of at least two word characters.
 NOT_WORD = r"[^\p{L}\p{N}_]+"
 MIN_TERM_CHARS = 2
-# Terms a broadcast vocabulary may have.
-MAX_VOCABULARY = 200_000
+# Terms a vocabulary held in memory may have.
+MAX_VOCABULARY = BROADCAST_ROWS
 
 
 def terms(text: Column) -> Column:
@@ -83,7 +83,9 @@ def tfidf_transform(
     Narrow from scan to result: terms are looked up in the broadcast vocabulary
     and weighted inside their row, so nothing is shuffled and no row reaches Python.
     """
-    known = vocabulary.select("ix", "term", "idf").orderBy("ix").collect()
+    known = vocabulary.select("ix", "term", "idf").orderBy("ix").limit(MAX_VOCABULARY + 1).collect()
+    if len(known) > MAX_VOCABULARY:
+        raise ValueError(f"a vocabulary of more than {MAX_VOCABULARY} terms")
     counter = CountVectorizerModel.from_vocabulary([r["term"] for r in known], "_terms", "_counts")
     counted = counter.transform(df.select(id_col, *keep, terms(F.col(text)).alias("_terms")))
     sparse = counted.select(id_col, *keep, F.unwrap_udt("_counts").alias("c"))
@@ -105,7 +107,7 @@ def feature_table(features: DataFrame, vocabulary: DataFrame, id_col: str = ROW_
     pairs = F.arrays_zip(F.col("indices").alias("ix"), F.col("values").alias("weight"))
     cells = features.select(id_col, F.inline(pairs).alias("ix", "weight"))
     names = vocabulary.select("ix", "term")
-    return cells.join(F.broadcast(names), "ix").select(id_col, "term", "weight")
+    return cells.join(small_side(names), "ix").select(id_col, "term", "weight")
 
 
 def stage_vectors(features: DataFrame, size: int, part: str | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.functions.columns import LABEL
+from labelmill.functions.columns import LABEL, small_side
 
 MAX_ITERATIONS = 1000
 TOLERANCE = 1e-5
@@ -111,6 +111,6 @@ def coefficient_table(classifier: Classifier, vocabulary: DataFrame) -> DataFram
         "class string, weights array<double>",
     )
     cells = weights.select("class", F.posexplode("weights").alias("ix", "weight"))
-    return cells.join(F.broadcast(vocabulary.select("ix", "term")), "ix").select(
+    return cells.join(small_side(vocabulary.select("ix", "term")), "ix").select(
         "class", "term", "weight"
     )
