@@ -252,28 +252,36 @@ def _add(cols: Sequence[Column]) -> Column:
     return total
 
 
-def _compared(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
-    missing = _add([F.col(c).isNull().cast("int") for c in cols])
-    return _long(
-        content_totals(df, cols, {"missing": missing}),
-        [
+def _missing_flags(cols: Sequence[str]) -> dict[str, Column]:
+    return {f"m{i}": F.col(c).isNull() for i, c in enumerate(cols)}
+
+
+def _compare(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The figures of two tables from their totals, side by side."""
+
+    def figures(totals: DataFrame, name: str) -> DataFrame:
+        missing = _add([F.col(c) for c in totals.columns if c.startswith("m")])
+        rows = [
             [F.lit("Rows"), F.col("rows")],
-            [F.lit("Missing values"), F.col("missing")],
+            [F.lit("Missing values"), missing],
             [F.lit("Duplicate rows"), F.col("duplicates")],
-        ],
-        ["metric", name],
-    )
+        ]
+        return _long(totals, rows, ["metric", name])
+
+    better = F.when(F.col("after") <= F.col("before"), "better").otherwise("worse")
+    both = figures(before, "before").join(F.broadcast(figures(after, "after")), "metric")
+    return both.select("metric", "before", "after", better.alias("verdict"))  # three rows
 
 
 def compare_tables(
     before: DataFrame, after: DataFrame, cols: Sequence[str] | None = None, id_col: str = ROW_ID
 ) -> DataFrame:
     """Rows, missing cells and duplicate rows before and after; ``better`` if not more."""
-    left = _compared(before, list(cols or content_columns(before, id_col)), "before")
-    right = _compared(after, list(cols or content_columns(after, id_col)), "after")
-    better = F.when(F.col("after") <= F.col("before"), "better").otherwise("worse")
-    return left.join(F.broadcast(right), "metric").select(  # three rows
-        "metric", "before", "after", better.alias("verdict")
+    left = list(cols or content_columns(before, id_col))
+    right = list(cols or content_columns(after, id_col))
+    return _compare(
+        content_totals(before, left, _missing_flags(left)),
+        content_totals(after, right, _missing_flags(right)),
     )
 
 
@@ -299,20 +307,30 @@ def _entries(
     return df.select(F.inline(F.array(*rows)))
 
 
-def detect_issues(df: DataFrame, id_col: str = ROW_ID, **how) -> DataFrame:
-    """The profile of one table as long rows (section, key, metric, value, text).
-
-    Shape, duplicates, missing cells and outliers come from one scan.
-    """
-    cols = content_columns(df, id_col)
-    numeric, strings = numeric_columns(df, [id_col]), string_columns(df, [id_col])
+def _issue_totals(df: DataFrame, cols: Sequence[str], numeric: Sequence[str], **how) -> DataFrame:
+    """Totals with one flag per column for missing (m…) and one for outlying (o…) values."""
     bounds = bounds_of(df, numeric, **how)
-    missing = {f"m{i}": F.col(c).isNull() for i, c in enumerate(cols)}
     outlying = {
         f"o{i}": F.coalesce(outside(F.col(c), bounds[c]), F.lit(False))
         for i, c in enumerate(numeric)
     }
-    totals = content_totals(df, cols, {**missing, **outlying})
+    return content_totals(df, cols, {**_missing_flags(cols), **outlying})
+
+
+def detect_issues(df: DataFrame, id_col: str = ROW_ID, **how) -> DataFrame:
+    """The profile of one table as long rows (section, key, metric, value, text).
+
+    Shape, duplicates, missing cells and outliers come from one scan.
+    """
+    cols, numeric = content_columns(df, id_col), numeric_columns(df, [id_col])
+    return _issues(df, id_col, _issue_totals(df, cols, numeric, **how))
+
+
+def _issues(df: DataFrame, id_col: str, totals: DataFrame) -> DataFrame:
+    cols, numeric = content_columns(df, id_col), numeric_columns(df, [id_col])
+    strings = string_columns(df, [id_col])
+    missing = [f"m{i}" for i in range(len(cols))]
+    outlying = [f"o{i}" for i in range(len(numeric))]
     entries = [
         ("shape", "table", "rows", F.col("rows"), F.lit(True)),
         ("shape", "table", "cols", F.lit(len(cols)), F.lit(True)),
@@ -357,16 +375,17 @@ def quality_report(
     """Profile, strategy, before/after comparison, categories and sample rows."""
     spark = before.sparkSession
     chosen = small_table(spark, sorted(strategy.items()), "step string, choice string")
-    compared = compare_tables(before, after, id_col=id_col)
+    cols, numeric = content_columns(before, id_col), numeric_columns(before, [id_col])
+    kept = content_columns(after, id_col)
+    # One table of totals serves the profile and the comparison.
+    totals = _issue_totals(before, cols, numeric, **how)
+    compared = _compare(totals, content_totals(after, kept, _missing_flags(kept)))
     top = top_categories(before, string_columns(before, [id_col])[:2])
-    numeric = numeric_columns(after)
-    cells = [
-        (c, F.col(c), None) if c in numeric else (c, None, F.col(c))
-        for c in content_columns(after, id_col)
-    ]
+    numbers = numeric_columns(after)
+    cells = [(c, F.col(c), None) if c in numbers else (c, None, F.col(c)) for c in kept]
     return _stack(
         [
-            detect_issues(before, id_col, **how),
+            _issues(before, id_col, totals),
             _entries(chosen, "strategy", F.col("step"), [("choice", None, F.col("choice"))]),
             _entries(
                 compared, "compare", F.col("metric"),
