@@ -186,17 +186,19 @@ def _common_values(df: DataFrame, col: str, k: int) -> DataFrame:
         return small_table(df.sparkSession, [], "value string, n bigint")
     last = rows[min(k, len(rows)) - 1]
     near = [(r["digest"], r["n"]) for r in rows if (-r["n"], r["start"]) <= (-last["n"], last["start"])]
+    full = cells.select(value.alias("value"), digest.alias("digest"))
     if len(near) <= max(k, CANDIDATES):
-        candidates = F.broadcast(  # size just checked
-            df.sparkSession.createDataFrame(near, "digest binary, n bigint")
-        )
+        few = df.sparkSession.createDataFrame(near, "digest binary, n bigint")
+        matched = full.join(F.broadcast(few), "digest")  # size just checked
+        found = matched.groupBy("digest").agg(F.min("value").alias("value"), F.min("n").alias("n"))
     else:
         wanted = (F.col("n") > last["n"]) | (
             (F.col("n") == last["n"]) & (F.col("start") <= F.lit(last["start"]))
         )
-        candidates = counts.where(wanted).select("digest", "n")
-    found = cells.select(value.alias("value"), digest.alias("digest")).join(candidates, "digest")
-    return found.groupBy("value").agg(F.first("n").alias("n")).orderBy(F.desc("n"), "value").limit(k)
+        # One value per digest before the join, so that a hot value stays one row.
+        found = full.groupBy("digest").agg(F.min("value").alias("value"))
+        found = found.join(counts.where(wanted).select("digest", "n"), "digest")
+    return found.select("value", "n").orderBy(F.desc("n"), "value").limit(k)
 
 
 def top_categories(df: DataFrame, cols: Sequence[str] | None = None, k: int = 10) -> DataFrame:

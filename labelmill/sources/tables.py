@@ -43,20 +43,25 @@ DEMO_TEXTS = {
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: str | None = None, spread_by: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str | None = None,
+    spread_by: str | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """CSV, JSON Lines or Parquet by file ending, with NaN read as missing.
 
     CSV fields may hold quotes and line breaks; such a file cannot be split, so
-    large CSV input should come as many files. Give a schema to save the
-    inference pass. ``spread_by`` names a unique column over which a table of
+    large CSV input should come as many files, or without line breaks in fields
+    and ``multiline=False``. Give a schema to save the inference pass. ``spread_by`` names a unique column over which a table of
     fewer splits than cores is spread; a table with enough splits stays put.
     """
     name = path.rstrip("/").lower()
     reader = spark.read.schema(schema) if schema else spark.read
     if name.endswith((".csv", ".csv.gz")):
         df = reader.csv(
-            path, header=True, multiLine=True, quote='"', escape='"', inferSchema=schema is None
+            path, header=True, multiLine=multiline, quote='"', escape='"',
+            inferSchema=schema is None,
         )
     elif name.endswith((".json", ".jsonl", ".json.gz")):
         df = reader.json(path)
