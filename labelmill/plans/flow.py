@@ -63,7 +63,7 @@ def curation_flow(
     text, human = resolve_text(raw), resolve_label(raw)
     cleaned = stage(clean(raw, strategy, id_col=id_col), "clean")
     annotated = annotate(cleaned, labeler, text, human, n=n_label, id_col=id_col)
-    labeled = stage(annotated.labeled, "labeled")
+    labeled = annotated.labeled
     merged = labeled
     # Without a row to review, the queue is empty and corrections are not asked for.
     if corrections is not None and not filter_low_confidence(labeled, threshold).isEmpty():

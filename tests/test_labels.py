@@ -1,6 +1,7 @@
 """Replies, prompts, tasks, review queues."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,23 @@ def test_function_labeler_and_limits(texts):
         annotate.auto_label(texts, labeler, modality="audio")
 
 
+def test_each_request_is_answered_once(spark, texts, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def answer(prompt):
+        if "bad" in prompt:
+            raise OSError("no reply")
+        (log / str(time.time_ns())).touch()
+        return '{"label": "neutral", "confidence": 0.6}'
+
+    done = annotate.annotate(texts, annotate.function_labeler(answer), n=None)
+    assert done.quality.first()["error_rate"] == 0.25
+    assert done.tasks.count() == 4 and done.guide_prompt.count() == 1
+    assert {r["value"]: r["n"] for r in done.label_dist.collect()} == {"neutral": 3, "error": 1}
+    assert len(list(log.iterdir())) == 3
+
+
 def test_missing_reply_is_an_error(spark, texts):
     replies = spark.createDataFrame(
         [(0, '{"label": "positive", "confidence": 1}'), (77, "{}")], "row_id long, raw string"

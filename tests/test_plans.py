@@ -50,6 +50,17 @@ def test_split_and_shuffle_read_the_id_alone(spark, sf_dir):
     assert re.search(r"ReadSchema: struct<doc_id:bigint>\n", text)
 
 
+def test_parts_of_the_vectors_are_pruned(spark, sf_dir):
+    rows = read_table(spark, f"{sf_dir}/documents.parquet").withColumnRenamed("doc_id", "row_id")
+    parts = order.split_by_rank(rows, {"labeled": 10, "pool": None})
+    vocabulary = features.tfidf_fit(rows, max_features=50)
+    sparse = features.tfidf_transform(parts, vocabulary, keep=["part"])
+    vectors = features.stage_vectors(sparse, 50, "part")
+    few = vectors.where("part = 'labeled'")
+    assert re.search(r"PartitionFilters: \[[^\]]*part#\d+ = labeled", plan(few))
+    assert few.count() == 10 and vectors.count() == rows.count()
+
+
 def test_profiles_read_what_they_use(spark, sf_dir):
     lineitem = read_table(spark, f"{sf_dir}/lineitem.parquet")
     text = plan(profile.value_counts(lineitem, "l_returnflag"))
