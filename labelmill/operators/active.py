@@ -23,7 +23,7 @@ from labelmill.operators.history import history_table, sample_savings
 from labelmill.operators.learn import Classifier, evaluate_fitted, fit_classifier, predict
 from labelmill.operators.order import SEED, learning_sizes, seed_pool_sizes, split_by_rank
 from labelmill.operators.review import remove_rows, take_rows
-from labelmill.storage import new_stage_path
+from labelmill.storage import new_stage_path, stage
 
 STRATEGIES = ("entropy", "random")
 ITERATIONS = 5
@@ -160,11 +160,15 @@ def compare_strategies(
     """
     spark = df.sparkSession
     rows = df.select(id_col, text, label).dropna(subset=[text, label])
-    n = rows.count()
+    ids = stage(rows.select(id_col), "ids")  # the texts are read for missing ones once
+    n = ids.count()
     sizes = dict(sizes or learning_sizes(n, n_start))
-    parts = split_by_rank(rows, sizes, id_col, seed)
-    seen = rows if fit_on == "all" else parts.where(F.col("part") != "test")
-    vocabulary = tfidf_fit(seen, text, max_features)
+    parts = split_by_rank(rows, sizes, id_col, seed, ids=ids)
+    n_test = n - sizes["labeled"] - sizes["pool"]
+    if fit_on == "all":
+        vocabulary = tfidf_fit(rows, text, max_features, n)
+    else:
+        vocabulary = tfidf_fit(parts.where(F.col("part") != "test"), text, max_features, n - n_test)
     features = tfidf_transform(parts, vocabulary, text, id_col, [label, "part"])
     vectors = stage_vectors(features, vocabulary.count(), "part")
     labeled, pool, test = (
@@ -184,7 +188,7 @@ def compare_strategies(
     config = {
         "n_start": sizes["labeled"], "n_iterations": n_iterations, "batch_size": batch_size,
         "strategies": list(strategies), "dataset_size": n,
-        "test_size": n - sizes["labeled"] - sizes["pool"],
+        "test_size": n_test,
     }
     return Comparison(
         history, sample_savings(history), config, fit_classifier(vectors, label, **fit),
@@ -213,7 +217,7 @@ def select_informative(
     if n < MIN_SELECTABLE:
         return valid
     parts = split_by_rank(valid, seed_pool_sizes(n), id_col, seed)
-    vocabulary = tfidf_fit(valid, text, max_features)
+    vocabulary = tfidf_fit(valid, text, max_features, n)
     features = tfidf_transform(parts, vocabulary, text, id_col, [label, "part"])
     vectors = stage_vectors(features, vocabulary.count(), "part")
     classifier = fit_classifier(vectors.where(F.col("part") == "seed"), label, **fit)

@@ -32,14 +32,17 @@ def tokenize(df: DataFrame, text: str = TEXT, name: str = "terms") -> DataFrame:
     return df.withColumn(name, terms(F.col(text)))
 
 
-def tfidf_fit(df: DataFrame, text: str = TEXT, max_features: int = MAX_FEATURES) -> DataFrame:
+def tfidf_fit(
+    df: DataFrame, text: str = TEXT, max_features: int = MAX_FEATURES, n: int | None = None
+) -> DataFrame:
     """Vocabulary (ix, term, doc_freq, total, idf) of the commonest terms.
 
     Each text is split once; its terms are counted from the full list (total) and
     from the distinct list (doc_freq). Counts combine on the map side, so neither
     a text nor a frequent term is ever gathered in one place. Ties at the cut go
     to the smaller term; ``ix`` follows the order of the terms. The result has at
-    most ``max_features`` rows and is held as a local table.
+    most ``max_features`` rows and is held as a local table. ``n`` is the number
+    of rows, if it is known.
     """
     if max_features > MAX_VOCABULARY:
         raise ValueError(f"max_features above {MAX_VOCABULARY} cannot be broadcast")
@@ -56,7 +59,7 @@ def tfidf_fit(df: DataFrame, text: str = TEXT, max_features: int = MAX_FEATURES)
         )
     )
     rows = counts.orderBy(F.desc("total"), "term").limit(max_features).collect()
-    n = df.count()
+    n = df.count() if n is None else n
     vocabulary = df.sparkSession.createDataFrame(
         [(i, r["term"], r["doc_freq"], r["total"])
          for i, r in enumerate(sorted(rows, key=lambda r: r["term"]))],
