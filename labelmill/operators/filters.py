@@ -41,12 +41,12 @@ def filter_low_confidence(
 
 def filter_valid_labels(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Rows with a label that is not the error label."""
-    return df.where(F.col(label).isNotNull() & (F.col(label) != ERROR_LABEL))
+    return df.where(F.col(label).isNotNull() & (F.col(label).cast("string") != ERROR_LABEL))
 
 
 def drop_error_labels(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Rows without the error label; rows without a label stay."""
-    return df.where(~F.col(label).eqNullSafe(ERROR_LABEL))
+    return df.where(~F.col(label).cast("string").eqNullSafe(ERROR_LABEL))
 
 
 def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -31,16 +31,18 @@ def fit_classifier(
     max_iter: int = MAX_ITERATIONS,
     tol: float = TOLERANCE,
 ) -> Classifier:
-    """L2-penalised logistic regression; classes are the sorted labels present.
+    """L2-penalised logistic regression; classes are the sorted labels present, as text.
 
     The penalty of ½‖w‖² + C·Σ loss is 1/(C·n) per row of the mean loss.
     """
-    seen = vectors.groupBy(label).count().orderBy(label).limit(MAX_CLASSES + 1).collect()
-    classes = [r[label] for r in seen]
+    truth = F.col(label).cast("string")
+    counts = vectors.groupBy(truth.alias("class")).count()
+    seen = counts.orderBy("class").limit(MAX_CLASSES + 1).collect()
+    classes = [r["class"] for r in seen]
     if not 2 <= len(classes) <= MAX_CLASSES or None in classes:
         raise ValueError(f"need 2 to {MAX_CLASSES} classes and no missing label: {classes[:5]}")
     n = sum(r["count"] for r in seen)
-    index = F.array_position(F.array(*[F.lit(k) for k in classes]), F.col(label)) - 1
+    index = F.array_position(F.array(*[F.lit(k) for k in classes]), truth) - 1
     rows = vectors.select(index.cast("double").alias("label"), "features")
     tasks = -(-n // ROWS_PER_TASK)
     if tasks < vectors.sparkSession.sparkContext.defaultParallelism:
@@ -71,7 +73,7 @@ def classification_metrics(
     Only the confusion counts leave the map side.
     """
     confusion = predictions.groupBy(
-        F.col(label).alias("truth"), F.col(prediction).alias("guess")
+        F.col(label).cast("string").alias("truth"), F.col(prediction).cast("string").alias("guess")
     ).agg(F.count(F.lit(1)).alias("n"))
     hit = F.col("truth").eqNullSafe(F.col("guess"))
     sides = F.array(

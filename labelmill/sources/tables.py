@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.functions.columns import ERROR_LABEL, LABEL, TEXT, nan_to_null
+from labelmill.functions.columns import LABEL, TEXT, nan_to_null
+from labelmill.operators.filters import filter_valid_labels
 from labelmill.operators.schema import TEXT_FALLBACKS
 
 CORRECTION_SCHEMA = "row_index bigint, text string, label_auto string, confidence double"
@@ -90,7 +91,7 @@ def first_usable_source(
         except AnalysisException:
             continue
         if label in df.columns:
-            df = df.where(F.col(label).isNotNull() & (F.col(label) != ERROR_LABEL))
+            df = filter_valid_labels(df, label)
         if text not in df.columns:
             found = next((c for c in TEXT_FALLBACKS if c in df.columns), None)
             df = df.withColumnRenamed(found, text) if found else df

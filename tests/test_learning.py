@@ -99,6 +99,20 @@ def test_one_class_is_refused(vectors):
         learn.fit_classifier(vectors.where("original_label = 'positive'"), "original_label")
 
 
+def test_number_labels_are_read_as_text(spark):
+    words = ["good fine", "bad poor", "plain dull"]
+    df = spark.createDataFrame(
+        [(i, f"{words[i % 3]} word{i % 7}", i % 3) for i in range(60)],
+        "row_id long, text string, label_auto int",
+    )
+    chosen = active.select_informative(df, 5)
+    assert chosen.count() == 36 + 5 and dict(chosen.dtypes)["label_auto"] == "int"
+    vocabulary = features.tfidf_fit(df)
+    sparse = features.tfidf_transform(df, vocabulary, keep=["label_auto"])
+    vectors = features.stage_vectors(sparse, vocabulary.count())
+    assert tuple(learn.evaluate(vectors, vectors).first()) == (1.0, 1.0)
+
+
 def test_two_classes_and_saved_model(spark, vectors, texts, tmp_path):
     two = vectors.where("original_label <> 'neutral'")
     fitted = learn.fit_classifier(two, "original_label")
@@ -109,6 +123,8 @@ def test_two_classes_and_saved_model(spark, vectors, texts, tmp_path):
     one, other = (learn.predict(c, vectors) for c in (fitted, loaded.classifier))
     assert one.exceptAll(other).count() == 0
     assert loaded.vocabulary.exceptAll(vocabulary).count() == 0
+    again = features.tfidf_transform(texts, loaded.vocabulary)
+    assert again.exceptAll(features.tfidf_transform(texts, vocabulary)).count() == 0
     row = one.first()
     assert sum(row["probs"]) == pytest.approx(1.0) and len(row["probs"]) == 2
 

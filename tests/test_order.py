@@ -147,6 +147,20 @@ def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     assert dict(inferred.dtypes) == {"row_id": "int", "text": "string", "x": "double"}
 
 
+def test_read_options(spark, sf_dir, tmp_path):
+    path = f"{sf_dir}/labels.parquet"
+    spread = tables.read_table(spark, path, spread_by="doc_id")
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread.exceptAll(tables.read_table(spark, path)).count() == 0
+    lines = str(tmp_path / "lines.csv")
+    sinks.write_table(spark.createDataFrame([(1, "a, b"), (2, "c")], "i int, s string"), lines, "csv")
+    back = tables.read_table(spark, lines, "i int, s string", multiline=False)
+    assert {tuple(r) for r in back.collect()} == {(1, "a, b"), (2, "c")}
+    rows = str(tmp_path / "rows.json")
+    sinks.write_table(spark.createDataFrame([(1, float("nan"))], "i int, x double"), rows, "json")
+    assert tables.read_table(spark, rows, "i int, x double").first()["x"] is None
+
+
 def test_first_usable_source(spark, tmp_path):
     def put(name, rows, cols):
         path = str(tmp_path / f"{name}.csv")

@@ -145,3 +145,17 @@ def test_remove_depends_on_column_order(spark):
     )
     left = clean.remove_outliers(df, ["x", "y"])
     assert {r["row_id"] for r in left.collect()} == set(range(50)) - {40, 41}
+
+
+def test_approximate_cleaning(dirty):
+    cleaned = clean.clean(dirty, method="approx")
+    assert abs(cleaned.count() - 999) <= 1
+    assert cleaned.where("toxic IS NULL").count() == 0
+
+
+def test_strategies_one_by_one(dirty):
+    kept = clean.clean(dirty, {"missing": "drop", "outliers": "none"})
+    assert kept.count() == 1100 - 669
+    filled = clean.clean(dirty, {"missing": "mean", "outliers": "none"})
+    mean = dirty.agg(F.avg("toxic")).first()[0]
+    assert {r[0] for r in filled.select("toxic").distinct().collect()} == {0.0, 1.0, mean}
