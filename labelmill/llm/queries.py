@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelmill.llm.decontaminate import contamination
+from labelmill.llm.html_text import page_text
 from labelmill.llm.language_id import fit, predict
 from labelmill.llm.line_dedup import drop_repeated_chunks
 from labelmill.llm.near_dedup import near_duplicates
 from labelmill.llm.packing import pack
 from labelmill.llm.quality import BASE, judge, ledger, mask
+from labelmill.llm.secret_scan import scan_secrets, span_list
+from labelmill.llm.suffix_dedup import drop_repeats, removed_bytes
 from labelmill.llm.unit_dedup import drop_repeated_units
 
 
@@ -21,6 +24,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(span_list("base"), 256).alias("base_sha256"), span_list("spans").alias("spans"), "n_layers", "n_cut")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer, ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     packed = pack(read(spark, sf_dir, "documents"), tokenizer, ranks)
@@ -33,6 +42,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), spans.alias("removed"), "text")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", removed_bytes(F.col("spans")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     hit = F.aggregate("ranges", F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"] + 1)
@@ -65,12 +79,19 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("n_lines").cast("long"), F.coalesce(lines, F.lit(0)).alias("n_removed"), F.coalesce(spans, F.lit("")).alias("removed"), "text")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_packing": op2_packing,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_near_dedup": op6_near_dedup,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
+    "op10_html_text": op10_html_text,
 }
