@@ -48,9 +48,11 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns only, matched by exact name, whatever other columns are called.
 
-    A further column whose name differs in case alone does not make the name ambiguous.
+    A further column whose name differs in case alone does not make the name ambiguous;
+    without an exact match, the first that differs in case only is taken.
     """
-    places = [df.columns.index(n) for n in names]
+    lower = [c.lower() for c in df.columns]
+    places = [df.columns.index(n) if n in df.columns else lower.index(n.lower()) for n in names]
     own = df.toDF(*[f"lm_{i}" for i in range(len(df.columns))])
     return own.select(*[F.col(f"lm_{i}").alias(n) for i, n in zip(places, names)])
 
@@ -73,7 +75,7 @@ def wide(df: DataFrame, **more: Column) -> tuple[DataFrame, list[str]]:
 
 
 def place(names: list[str], name: str) -> str:
-    return f"lm_{names.index(name)}"
+    return f"lm_{names.index(name) if name in names else [n.lower() for n in names].index(name.lower())}"
 
 
 def narrow(df: DataFrame, names: list[str]) -> DataFrame:

@@ -200,6 +200,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10, spans:
     edges = F.concat(F.transform(hits, lambda r: r["start"]), F.array(F.length(text).cast("long")))
     before = lambda i: F.coalesce(F.get(hits, i - 1)["end"], F.lit(0))
     cut = F.array_join(F.transform(edges, lambda e, i: F.substr(text, before(i) + 1, e - before(i))), "")
+    out, cut = out.withColumn("lm_cut", cut), F.col("lm_cut")
     new = {place(names, "text"): F.when(hits.isNull(), text).otherwise(cut)}
     if "n_chars" in names:
         new[place(names, "n_chars")] = F.when(hits.isNull(), F.col(place(names, "n_chars"))).otherwise(F.length(cut).cast(docs.schema["n_chars"].dataType))
