@@ -1,11 +1,10 @@
 """Exact order statistics without sorting or collecting a whole column.
 
-``percentile`` keeps one entry per distinct value in a single buffer, so it is
-used only up to a checked number of cells at once. Beyond that, every wanted rank is
-bracketed by approximate quantiles, the bracket is verified by exact counts, and
-the search goes on inside it. Each pass is one aggregate with map-side combine,
-whatever the skew; a value that holds a third of the rows ends the search at
-once, because bracket ends are counted and left out of the next bracket.
+Every wanted rank is bracketed by approximate quantiles, the bracket is verified by
+exact counts, and the search goes on inside it until few rows are left to read. Each
+pass is one aggregate with map-side combine, whatever the skew; a value that holds a
+third of the rows ends the search at once, because bracket ends are counted and left
+out of the next bracket. Tables of every size take this one way.
 """
 
 from __future__ import annotations
@@ -17,15 +16,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.functions.columns import ROW_ID, one_zero
+from labelmill.functions.columns import ROW_ID, nan_to_null, one_zero
 from labelmill.storage import stage
 
-# Cells (rows times columns) whose distinct values may meet in one aggregate.
-EXACT_ROWS = 2_000_000
 # Rows of the open brackets of all columns that the driver may read.
 BRACKET_ROWS = 20_000
-# Rows that may meet in the one task of a sorted limit.
-TOP_IN_ONE_TASK = 1_000
+# Leading bytes of a text that stand for it as a number in its order.
+PREFIX_BYTES = 7
 ACCURACY = 10_000
 
 
@@ -167,54 +164,35 @@ def quantiles(
     cols: Sequence[str],
     fractions: Sequence[float],
     method: str = "exact",
-    exact_rows: int = EXACT_ROWS,
     bracket_rows: int = BRACKET_ROWS,
-    rows_at_most: int | None = None,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles per column; None for an empty column.
-
-    A known upper bound of the row count saves the counting pass of a small table.
-    """
+    """Linearly interpolated quantiles per column; None for an empty column. NaN is missing."""
     cols = list(cols)
     if not cols:
         return {}
-    df = df.select(*cols)
+    df = nan_to_null(df.select(*cols))
     if method == "approx":
         row = _one_row(
             df, {c: F.percentile_approx(F.col(c).cast("double"), list(fractions)) for c in cols}
         )
         return {c: row[c] or [None] * len(fractions) for c in cols}
-    result: dict[str, list[float | None]] = {c: [None] * len(fractions) for c in cols}
-    staged = False
-    if rows_at_most is not None and rows_at_most <= exact_rows:
-        small, large, most = cols, [], rows_at_most
-    else:
-        if rows_at_most is not None:
-            df, staged = stage(df, "numbers"), True
-        counts = column_counts(df, cols)
-        small = [c for c in cols if counts[c] <= exact_rows]
-        large = [c for c in cols if counts[c] > exact_rows]
-        most = max((counts[c] for c in small), default=0)
-    points = F.array(*[F.lit(float(f)) for f in fractions])
-    at_once = max(1, exact_rows // max(1, most))
-    for start in range(0, len(small), at_once):
-        group = small[start : start + at_once]
-        row = _one_row(df, {c: F.percentile(F.col(c).cast("double"), points) for c in group})
-        result |= {c: list(row[c]) for c in group if row[c]}
-    if large:
-        position = {(c, f): f * (counts[c] - 1) for c in large for f in fractions}
-        ranks = {
-            c: sorted({g(position[c, f]) for f in fractions for g in (math.floor, math.ceil)})
-            for c in large
-        }
-        found = order_statistics(df, ranks, counts, bracket_rows, staged)
-        for c in large:
-            result[c] = []
-            for f in fractions:
-                at = position[c, f]
-                low = float(found[c, math.floor(at)].value)
-                high = float(found[c, math.ceil(at)].value)
-                result[c].append(low + (high - low) * (at - math.floor(at)))
+    # The input may be costly and is read in several passes.
+    df = stage(df, "numbers")
+    counts = column_counts(df, cols)
+    position = {(c, f): f * (counts[c] - 1) for c in cols if counts[c] for f in fractions}
+    ranks = {
+        c: sorted({g(position[c, f]) for f in fractions for g in (math.floor, math.ceil)})
+        for c in cols if counts[c]
+    }
+    found = order_statistics(df, ranks, counts, bracket_rows, staged=True) if ranks else {}
+    result: dict[str, list[float | None]] = {}
+    for c in cols:
+        result[c] = [None] * len(fractions)
+        for i, f in enumerate(fractions if counts[c] else ()):
+            at = position[c, f]
+            low = float(found[c, math.floor(at)].value)
+            high = float(found[c, math.ceil(at)].value)
+            result[c][i] = low + (high - low) * (at - math.floor(at))
     return result
 
 
@@ -266,12 +244,63 @@ def first_k(
     order: Column,
     k: int,
     id_col: str = ROW_ID,
-    in_one_task: int = TOP_IN_ONE_TASK,
+    bracket_rows: int = BRACKET_ROWS,
 ) -> DataFrame:
-    """The first ``k`` rows by (order, id): a sorted limit if small, else a filter."""
-    if k <= in_one_task:
-        return df.orderBy(order, F.col(id_col)).limit(k)
-    keyed = one_zero(df.withColumn("_order", order), ["_order"])
+    """The first ``k`` rows by (order, id), never more; a missing order (null, NaN) comes last.
+
+    Only (order, id) pairs are written and searched for the cut, for every ``k``;
+    the rows themselves are filtered where they are.
+    """
+    keyed = nan_to_null(df.withColumn("_order", order))
+    keyed = one_zero(keyed, ["_order"])
     keys = stage(keyed.select("_order", id_col), "keys")
-    (condition,) = rank_conditions(keys, "_order", id_col, [k], staged=True)
-    return keyed.where(condition).drop("_order")
+    size = _one_row(keys, {"rows": F.count(F.lit(1)), "present": F.count("_order")})
+    if k >= size["rows"]:
+        return keyed.drop("_order")
+    present = F.col("_order").isNotNull()
+    if k <= size["present"]:
+        (inside,) = rank_conditions(keys, "_order", id_col, [k], bracket_rows, staged=True)
+        wanted = present & inside
+    else:
+        rest, rank = keys.where(~present).select(id_col), k - size["present"] - 1
+        last = order_statistics(
+            rest, {id_col: [rank]}, {id_col: size["rows"] - size["present"]}, bracket_rows, True
+        )[id_col, rank].value
+        wanted = present | (F.col(id_col) <= F.lit(last))
+    return keyed.where(wanted).drop("_order")
+
+
+def text_prefix(text: Column) -> Column:
+    """The leading bytes of a text as a number that keeps the order of texts."""
+    digits = F.rpad(F.hex(F.substring(text.cast("binary"), 1, PREFIX_BYTES)), 2 * PREFIX_BYTES, "0")
+    return F.conv(digits, 16, 10).cast("bigint")
+
+
+def commonest(counts: DataFrame, n: str, text: str, k: int, bracket_rows: int = BRACKET_ROWS) -> DataFrame:
+    """Exactly the first ``k`` rows by (count descending, text); texts are distinct.
+
+    The cut is found by rank selection on the counts, then on the leading bytes of
+    the texts that share the last count, so only texts that agree in those meet in a
+    sorted limit.
+    """
+    rows = stage(counts.withColumn("_prefix", text_prefix(F.col(text))), "counts")
+    keys = rows.select((-F.col(n)).alias("_less"), "_prefix")
+    total = rows.count()
+    if k >= total:
+        return rows.drop("_prefix")
+    at = order_statistics(keys, {"_less": [k - 1]}, {"_less": total}, bracket_rows)["_less", k - 1]
+    count, rest = -at.value, k - at.below
+    above = F.col(n) > F.lit(count)
+    if rest == at.equal:
+        return rows.where(above | (F.col(n) == F.lit(count))).drop("_prefix")
+    tied = rows.where(F.col(n) == F.lit(count))
+    cut = order_statistics(tied, {"_prefix": [rest - 1]}, {"_prefix": at.equal}, bracket_rows)
+    cut = cut["_prefix", rest - 1]
+    same = tied.where(F.col("_prefix") == F.lit(cut.value)).select(text)
+    last = same.orderBy(text).limit(rest - cut.below).agg(F.max(text)).first()[0]
+    wanted = above | (
+        (F.col(n) == F.lit(count))
+        & ((F.col("_prefix") < F.lit(cut.value))
+           | ((F.col("_prefix") == F.lit(cut.value)) & (F.col(text) <= F.lit(last))))
+    )
+    return rows.where(wanted).drop("_prefix")

@@ -29,14 +29,15 @@ STRATEGIES = ("entropy", "random")
 ITERATIONS = 5
 BATCH = 10
 MIN_SELECTABLE = 20
+SCORE_DIGITS = 12
 
 
 def entropy_score(probs: Column) -> Column:
-    """-Σ p ln p of the renormalised probabilities; 0 ln 0 is 0."""
+    """-Σ p ln p of the renormalised probabilities; 0 ln 0 is 0, a sum of 0 gives 0."""
     total = F.aggregate(probs, F.lit(0.0), lambda acc, p: acc + p)
 
     def add(acc: Column, p: Column) -> Column:
-        q = p / total
+        q = F.try_divide(p, total)
         return acc - F.when(q > 0, q * F.log(q)).otherwise(F.lit(0.0))
 
     return F.aggregate(probs, F.lit(0.0), add)
@@ -70,11 +71,15 @@ def query_pool(
     probs: str = "probs",
     seed: int | str = SEED,
 ) -> DataFrame:
-    """Ids and scores of the ``k`` most informative rows; ties go to the lower id."""
+    """Ids and scores of the ``k`` most informative rows; ties go to the lower id.
+
+    Scores are rounded to SCORE_DIGITS, so that equal ones do not differ by the order
+    in which they were summed. A row without a score comes last.
+    """
     if strategy not in SCORES:
         raise ValueError(f"unknown strategy: {strategy!r}")
     score = SCORES[strategy](F.col(probs), id_col, seed)
-    scored = pool.select(id_col, score.alias("score"))
+    scored = pool.select(id_col, F.round(score, SCORE_DIGITS).alias("score"))
     return first_k(scored, -F.col("score"), k, id_col)
 
 

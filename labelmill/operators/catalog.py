@@ -14,10 +14,17 @@ from labelmill.operators.order import top_k_per_group
 CATALOG_COLUMNS = ("source", "title", "description", "url", "ref", "size_mb")
 HITS_PER_QUERY = 5
 CATALOG_ROWS = 50
+MAX_CATALOG = 1_000
+# Words of a preferred title.
 PREFERRED_TITLE = "sentiment|review|imdb"
 # Line breaks of a reply and the marks around a listed query.
 LINE_BREAK = "\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029]"
 LIST_MARKS = "- "
+TRANSLATION = "Put this wish for a dataset into English and answer with nothing else.\n"
+SEARCH = (
+    "Write {n} different queries that would find training datasets for the wish below, "
+    "each on its own line without marks or numbers.\n"
+)
 
 # Page address of a dataset by source.
 URL_PREFIXES = {
@@ -26,6 +33,18 @@ URL_PREFIXES = {
 }
 
 
+def build_translation_prompts(df: DataFrame, wish: str = "wish") -> DataFrame:
+    """One request per row to put a search wish into English."""
+    others = [c for c in df.columns if c != wish]
+    return df.select(*others, F.concat(F.lit(TRANSLATION), wish).alias("prompt"))
+
+
+def build_search_prompts(df: DataFrame, wish: str = "wish", n: int = 6) -> DataFrame:
+    """One request per row for ``n`` search queries; ``split_queries`` reads the reply."""
+    others = [c for c in df.columns if c != wish]
+    return df.select(*others, F.concat(F.lit(SEARCH.format(n=n)), wish).alias("prompt"))
+
+
 def split_queries(df: DataFrame, reply: str = "reply") -> DataFrame:
     """One search query per non-blank line of a reply, without list marks.
 
@@ -59,7 +78,9 @@ def dedup_by_key(df: DataFrame, key: str = "url", order: str = "pos") -> DataFra
 
 
 def limit_catalog(catalog: DataFrame, n: int = CATALOG_ROWS, order: str = "pos") -> DataFrame:
-    """The first ``n`` records in search order."""
+    """The first ``n`` records in search order, ``order`` being unique; a short list by purpose."""
+    if n > MAX_CATALOG:
+        raise ValueError(f"a catalogue lists at most {MAX_CATALOG} records")
     return catalog.orderBy(order).limit(n)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from labelmill.functions.columns import (
     ROW_ID,
     content_columns,
+    nan_to_null,
     numeric_columns,
     row_digest,
     small_table,
@@ -17,6 +18,7 @@ from labelmill.functions.columns import (
 from labelmill.functions.ranks import quantiles
 from labelmill.operators.profile import IQR_FACTOR, bounds_of
 
+# Names of the steps.
 DEFAULT_STRATEGY = {"missing": "median", "duplicates": "drop", "outliers": "clip_iqr"}
 
 
@@ -33,13 +35,15 @@ def _fill_scalars(df: DataFrame, cols: Sequence[str], how: str, **method) -> dic
 def column_fill_values(
     df: DataFrame, cols: Sequence[str] | None = None, how: str = "median", **method
 ) -> DataFrame:
-    """Median or mean of each numeric column, missing values left out."""
+    """Median or mean of each numeric column, missing values (NaN too) left out."""
+    df = nan_to_null(df)
     cols = list(cols or numeric_columns(df, [ROW_ID]))
     rows = list(_fill_scalars(df, cols, how, **method).items())
     return small_table(df.sparkSession, rows, "column string, fill double")
 
 
 def _impute(df: DataFrame, cols: Sequence[str] | None, how: str, **method) -> DataFrame:
+    df = nan_to_null(df)
     cols = list(cols or numeric_columns(df, [ROW_ID]))
     fills = _fill_scalars(df, cols, how, **method)
     return df.withColumns(
@@ -57,7 +61,7 @@ def impute_mean(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def drop_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with a missing value in any (listed) column."""
-    return df.dropna(subset=list(cols or df.columns))
+    return nan_to_null(df).dropna(subset=list(cols or df.columns))
 
 
 def drop_duplicates(
@@ -65,17 +69,14 @@ def drop_duplicates(
 ) -> DataFrame:
     """One row per distinct content, the one with the lowest id.
 
-    One shuffle: copies meet in the map-side combine first, so a content that
-    holds a third of the rows reaches the reducer once per map task.
+    Copies meet in the map-side combine first, so a content that holds a third of the
+    rows reaches the reducer once per map task. With further columns, the lowest ids
+    are found first and their rows picked by id.
     """
     cols = list(cols or content_columns(df, id_col))
-    rest = [c for c in df.columns if c not in cols and c != id_col]
-    if not rest:
-        kept = df.groupBy(*cols).agg(F.min(id_col).alias(id_col))
-    else:
-        first = F.min_by(F.struct(*rest), F.col(id_col)).alias("_rest")
-        kept = df.groupBy(*cols).agg(F.min(id_col).alias(id_col), first)
-        kept = kept.select("*", "_rest.*")
+    kept = df.groupBy(*cols).agg(F.min(id_col).alias(id_col))
+    if set(df.columns) > {*cols, id_col}:
+        return df.join(kept.select(id_col), id_col, "left_semi").select(*df.columns)
     return kept.select(*df.columns)
 
 
@@ -132,9 +133,8 @@ def clean(
     is shuffled once, by the dedup itself.
     """
     strategy = DEFAULT_STRATEGY if strategy is None else strategy
+    df = nan_to_null(df)
     numeric = list(cols or numeric_columns(df, [id_col]))
-    # No step adds rows, so one count of the input bounds every later table.
-    how = {"rows_at_most": df.count(), **how}
     missing = strategy.get("missing", "median")
     if missing in ("median", "mean"):
         df = _impute(df, numeric, missing, **(how if missing == "median" else {}))

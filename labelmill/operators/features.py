@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelmill.functions.columns import BROADCAST_ROWS, ROW_ID, TEXT, as_text, small_side
+from labelmill.functions.ranks import commonest
 from labelmill.storage import new_stage_path
 
 MAX_FEATURES = 5000
@@ -37,28 +38,26 @@ def tfidf_fit(
 ) -> DataFrame:
     """Vocabulary (ix, term, doc_freq, total, idf) of the commonest terms.
 
-    Each text is split once; its terms are counted from the full list (total) and
-    from the distinct list (doc_freq). Counts combine on the map side, so neither
-    a text nor a frequent term is ever gathered in one place. Ties at the cut go
+    Each text is split once and its terms are sorted and counted: all of them give
+    the total, the first of equal ones doc_freq. Counts combine on the map side, so
+    neither a text nor a frequent term is ever gathered in one place; the cut is
+    found by rank selection, so the driver reads the chosen terms only. Ties at the cut go
     to the smaller term; ``ix`` follows the order of the terms. The result has at
     most ``max_features`` rows and is held as a local table. ``n`` is the number
     of rows, if it is known.
     """
     if max_features > MAX_VOCABULARY:
         raise ValueError(f"max_features above {MAX_VOCABULARY} cannot be broadcast")
-    split = df.select(F.split(F.lower(as_text(F.col(text))), NOT_WORD).alias("all"))
-    both = F.array("all", F.array_distinct("all"))
-    lists = split.select(F.posexplode(both).alias("which", "words"))
+    split = df.select(F.array_sort(F.split(F.lower(as_text(F.col(text))), NOT_WORD)).alias("all"))
+    # Of equal neighbours the first stands for the row.
+    flagged = F.transform("all", lambda t, i: F.struct(t.alias("term"), (~t.eqNullSafe(F.get(F.col("all"), i - 1))).alias("first")))
     counts = (
-        lists.select("which", F.explode("words").alias("term"))
+        split.select(F.inline(flagged))
         .where(F.length("term") >= MIN_TERM_CHARS)
         .groupBy("term")
-        .agg(
-            F.count_if(F.col("which") == 1).alias("doc_freq"),
-            F.count_if(F.col("which") == 0).alias("total"),
-        )
+        .agg(F.count_if("first").alias("doc_freq"), F.count(F.lit(1)).alias("total"))
     )
-    rows = counts.orderBy(F.desc("total"), "term").limit(max_features).collect()
+    rows = commonest(counts, "total", "term", max_features).collect()
     n = df.count() if n is None else n
     vocabulary = df.sparkSession.createDataFrame(
         [(i, r["term"], r["doc_freq"], r["total"])

@@ -14,8 +14,8 @@ from labelmill.functions.columns import LABEL, small_side
 MAX_ITERATIONS = 1000
 TOLERANCE = 1e-5
 MAX_CLASSES = 1000
-# Labelled rows per task of a fit.
-ROWS_PER_TASK = 20_000
+# Cells (classes times terms) that a coefficient table brings to the driver.
+MAX_COEFFICIENTS = 10_000_000
 
 
 @dataclass
@@ -44,9 +44,6 @@ def fit_classifier(
     n = sum(r["count"] for r in seen)
     index = F.array_position(F.array(*[F.lit(k) for k in classes]), truth) - 1
     rows = vectors.select(index.cast("double").alias("label"), "features")
-    tasks = -(-n // ROWS_PER_TASK)
-    if tasks < vectors.sparkSession.sparkContext.defaultParallelism:
-        rows = rows.coalesce(tasks)
     regression = LogisticRegression(
         maxIter=max_iter, regParam=1.0 / (c * n), elasticNetParam=0.0,
         standardization=False, tol=tol,
@@ -105,6 +102,9 @@ def evaluate_fitted(classifier: Classifier, test: DataFrame, label: str = LABEL)
 
 def coefficient_table(classifier: Classifier, vocabulary: DataFrame) -> DataFrame:
     """Fitted weights as (class, term, weight); a two-class model has one row set."""
+    size = classifier.model.numFeatures * max(1, classifier.model.numClasses)
+    if size > MAX_COEFFICIENTS:
+        raise ValueError(f"{size} coefficients; at most {MAX_COEFFICIENTS} are tabled")
     matrix = classifier.model.coefficientMatrix.toArray()
     names = classifier.classes if len(matrix) > 1 else classifier.classes[1:]
     # The matrix is on the driver already: classes times vocabulary.

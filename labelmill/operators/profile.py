@@ -10,17 +10,22 @@ from pyspark.sql import functions as F
 from labelmill.functions.columns import (
     ROW_ID,
     content_columns,
+    nan_to_null,
     numeric_columns,
     row_digest,
+    small_side,
     small_table,
     string_columns,
 )
-from labelmill.functions.ranks import quantiles
+from labelmill.functions.ranks import commonest, quantiles
+from labelmill.storage import stage
 
 IQR_FACTOR = 1.5
 IMBALANCE_LIMIT = 0.8
 BAR_PIXELS = 220  # width of the largest bar of a category chart
 START_CHARS = 32  # leading characters that order candidate values
+EXPLAIN = "Say in a few sentences why the cleaning steps below suit this table.\nFindings: "
+EXPLAIN_STEPS = "\nSteps: "
 CANDIDATES = 5_000  # digests of candidate values that may be broadcast
 
 
@@ -33,7 +38,7 @@ def _long(df: DataFrame, rows: Sequence[Sequence[Column]], names: Sequence[str])
 def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Null cells per column with at least one, and their share of the rows in %."""
     cols = list(cols or content_columns(df))
-    totals = df.agg(
+    totals = nan_to_null(df).agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)],
     )
@@ -46,6 +51,7 @@ def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 
 def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Rows beyond the first of each distinct content. Only digests are shuffled."""
+    df = nan_to_null(df)
     cols = list(cols or content_columns(df))
     groups = df.select(row_digest(df, cols).alias("digest")).groupBy("digest").count()
     return groups.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicates"))
@@ -88,6 +94,7 @@ def outlier_counts(
     cols = list(cols or numeric_columns(df, [ROW_ID]))
     if not cols:
         return small_table(df.sparkSession, [], "column string, outliers bigint")
+    df = nan_to_null(df)
     bounds = bounds_of(df, cols, k, **how)
     totals = df.agg(
         *[F.count_if(outside(F.col(c), bounds[c])).alias(f"o{i}") for i, c in enumerate(cols)]
@@ -98,6 +105,7 @@ def outlier_counts(
 
 def table_shape(df: DataFrame, cols: Sequence[str] | None = None, **how) -> DataFrame:
     """Rows, columns, missing cells and outlying values of the table."""
+    df = nan_to_null(df)
     cols = list(cols or content_columns(df))
     numeric = [c for c in numeric_columns(df) if c in cols]
     bounds = bounds_of(df, numeric, **how)
@@ -133,9 +141,11 @@ def class_imbalance(
     long texts are grouped only where one value dominates them.
     """
     cols = list(cols or string_columns(df, [ROW_ID]))
+    pairs = [F.struct(F.lit(c).alias("column"), F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias("hash")) for c in cols]
     hashed = (
-        _cells(df, cols)
-        .groupBy("column", F.xxhash64("value").alias("hash"))
+        df.select(F.inline(F.array(*pairs)))
+        .where(F.col("hash").isNotNull())
+        .groupBy("column", "hash")
         .count()
         .groupBy("column")
         .agg((F.max("count") / F.sum("count")).alias("top_share"))
@@ -170,34 +180,27 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def _common_values(df: DataFrame, col: str, k: int) -> DataFrame:
     """The ``k`` commonest values of a column, ties to the smaller value.
 
-    Values are counted by digest and start, so a column of long texts costs one
-    shuffle of short keys. The k-th (count, start) pair bounds the candidates;
-    only their full values are fetched and ranked, by a broadcast of their
-    digests if these are few, else by a join.
+    Values are counted by digest, start and digest text, so a column of long texts
+    costs one shuffle of short keys. The cut is found by rank selection; values that
+    share the last count and start are candidates together. Only the candidates' full
+    values are fetched, one per digest, and ranked.
     """
     value = F.col(col)
-    digest, start = F.unhex(F.sha2(value, 256)), F.substring(value, 1, START_CHARS)
+    digest = F.sha2(value, 256)
     cells = df.where(value.isNotNull())
-    counts = cells.groupBy(digest.alias("digest"), start.alias("start")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    rows = counts.orderBy(F.desc("n"), "start").limit(max(k, CANDIDATES) + 1).collect()
-    if not rows:
+    keyed = cells.select(F.concat(F.substring(value, 1, START_CHARS), F.lit("\u0000"), digest).alias("key"))
+    counts = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "values")
+    first = commonest(counts, "n", "key", k)
+    cut = first.agg(F.min("n").alias("n")).first()["n"]
+    if cut is None:
         return small_table(df.sparkSession, [], "value string, n bigint")
-    last = rows[min(k, len(rows)) - 1]
-    near = [(r["digest"], r["n"]) for r in rows if (-r["n"], r["start"]) <= (-last["n"], last["start"])]
-    full = cells.select(value.alias("value"), digest.alias("digest"))
-    if len(near) <= max(k, CANDIDATES):
-        few = df.sparkSession.createDataFrame(near, "digest binary, n bigint")
-        matched = full.join(F.broadcast(few), "digest")  # size just checked
-        found = matched.groupBy("digest").agg(F.min("value").alias("value"), F.min("n").alias("n"))
-    else:
-        wanted = (F.col("n") > last["n"]) | (
-            (F.col("n") == last["n"]) & (F.col("start") <= F.lit(last["start"]))
-        )
-        # One value per digest before the join, so that a hot value stays one row.
-        found = full.groupBy("digest").agg(F.min("value").alias("value"))
-        found = found.join(counts.where(wanted).select("digest", "n"), "digest")
+    # a start shared beyond the cut leaves the order to the rest of the value
+    end = first.where(F.col("n") == cut).agg(F.max("key")).first()[0].split("\u0000")[0]
+    start = F.substring_index("key", "\u0000", 1)
+    near = counts.where((F.col("n") > cut) | ((F.col("n") == cut) & (start <= F.lit(end))))
+    near = near.select(F.substring_index("key", "\u0000", -1).alias("digest"), "n")
+    full = cells.select(value.alias("value"), digest.alias("digest")).join(small_side(near, CANDIDATES), "digest")
+    found = full.groupBy("digest").agg(F.min("value").alias("value"), F.min("n").alias("n"))
     return found.select("value", "n").orderBy(F.desc("n"), "value").limit(k)
 
 
@@ -231,7 +234,7 @@ def content_totals(
     """
     flags = flags or {}
     groups = (
-        df.select(row_digest(df, cols).alias("digest"),
+        nan_to_null(df).select(row_digest(df, cols).alias("digest"),
                   *[f.cast("int").alias(name) for name, f in flags.items()])
         .groupBy("digest", *flags)
         .agg(F.count(F.lit(1)).alias("n"))
@@ -311,6 +314,7 @@ def _entries(
 
 def _issue_totals(df: DataFrame, cols: Sequence[str], numeric: Sequence[str], **how) -> DataFrame:
     """Totals with one flag per column for missing (m…) and one for outlying (o…) values."""
+    df = nan_to_null(df)
     bounds = bounds_of(df, numeric, **how)
     outlying = {
         f"o{i}": F.coalesce(outside(F.col(c), bounds[c]), F.lit(False))
@@ -359,6 +363,18 @@ def _issues(df: DataFrame, id_col: str, totals: DataFrame) -> DataFrame:
     return _stack([found.where("shown").drop("shown"), imbalance])
 
 
+def build_strategy_prompt(issues: DataFrame, strategy: Mapping[str, str]) -> DataFrame:
+    """One request to explain a cleaning strategy: the long rows of ``detect_issues`` and the steps as JSON.
+
+    A profile has a few rows per column of the table.
+    """
+    rows = F.array_sort(F.collect_list(F.struct("section", "key", "metric", "value", "text")))
+    steps = F.create_map(*[F.lit(x) for pair in sorted(strategy.items()) for x in pair])
+    return issues.agg(rows.alias("rows")).select(
+        F.concat(F.lit(EXPLAIN), F.to_json("rows"), F.lit(EXPLAIN_STEPS), F.to_json(steps)).alias("prompt")
+    )
+
+
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     result = parts[0]
     for part in parts[1:]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,8 @@ class Stages:
     al_corrections: DataFrame | None = None
     threshold: float = LOW_CONFIDENCE
     n_select: int = 50
+    strategy: Mapping[str, str] | None = None
+    approved: bool = False
 
 
 Entry = tuple[str, str, Column | None, Column | None]
@@ -71,10 +74,20 @@ def _label_dist(df: DataFrame, step: str) -> DataFrame:
     )
 
 
-def run_metrics(stages: Stages, id_col: str = ROW_ID) -> DataFrame:
+def _last_scores(history: DataFrame, strategy: str) -> DataFrame:
+    """Scores after the last iteration of a strategy, in one row."""
+    return history.where(F.col("strategy") == strategy).agg(
+        *[F.max_by(c, "iteration").alias(c) for c in ("accuracy", "f1", "n_labeled")]
+    )
+
+
+def run_metrics(
+    stages: Stages, id_col: str = ROW_ID, history: DataFrame | None = None, strategy: str = "entropy"
+) -> DataFrame:
     """What each step took in and gave out: (step, metric, value, text).
 
-    Every table is scanned once; the figures meet in a single row.
+    Every table is scanned once; the figures meet in a single row. With a learning
+    ``history``, the train step's scores and savings follow.
     """
     raw_cols = content_columns(stages.raw, id_col)
     fixed, relabeled = stages.corrections, stages.al_corrections
@@ -99,6 +112,9 @@ def run_metrics(stages: Stages, id_col: str = ROW_ID) -> DataFrame:
         *_values("collect", {"rows": F.col("rows"), "cols": F.lit(len(raw_cols))}),
         *_values("clean", {"rows_before": F.col("rows"), "rows_after": F.col("clean"),
                            "duplicates_removed": F.col("duplicates")}),
+        *[("clean", f"strategy_{k}", None, F.lit(v)) for k, v in (stages.strategy or {}).items()],
+        ("clean_review", "action", None, F.lit("approved" if stages.approved else "skipped")),
+        ("clean_review", "rows", F.col("clean"), None),
         *_values("annotate", {c: F.col(c) for c in (
             "total", "low_confidence", "errors", "confidence_mean")}),
         ("review", "action", None, review_action),
@@ -106,12 +122,19 @@ def run_metrics(stages: Stages, id_col: str = ROW_ID) -> DataFrame:
         *_values("al_select", {
             "seed": F.when(enough, seed), "pool": F.when(enough, valid - seed),
             "selected": chosen, "total": F.when(enough, seed + chosen).otherwise(valid)}),
+        ("al_select", "strategy", None, F.when(enough, strategy).otherwise("passthrough")),
         ("al_review", "action", None, F.lit("skipped" if relabeled is None else "corrected")),
         *_values("al_review", {
             "shown": F.col("final"),
             "corrected": F.lit(0) if relabeled is None else F.col("relabeled")}),
     ]
-    return _rows(figures, entries).unionByName(_label_dist(stages.labeled, "annotate"))
+    found = _rows(figures, entries).unionByName(_label_dist(stages.labeled, "annotate"))
+    if history is None:
+        return found
+    last, savings = _last_scores(history, strategy), sample_savings(history)
+    return found.unionByName(
+        _rows(last, _values("train", {c: F.col(c) for c in last.columns}))
+    ).unionByName(_rows(savings, _values("train", {c: F.col(c) for c in savings.columns})))
 
 
 def data_card(stages: Stages) -> DataFrame:
@@ -133,15 +156,17 @@ def final_metrics(stages: Stages, history: DataFrame, strategy: str = "entropy")
         _counted(stages.clean, "clean"),
         label_summary(stages.labeled, stages.threshold),
         _counted(drop_error_labels(stages.final), "final"),
+        _counted(filter_valid_labels(stages.reviewed), "valid"),
     )
+    valid = F.col("valid")
+    seed = F.greatest(F.lit(10), F.floor(F.lit(0.6) * valid))
+    chosen = F.when(valid >= MIN_SELECTABLE, F.least(F.lit(stages.n_select), valid - seed)).otherwise(valid)
     by_stage = _rows(figures, _values("stages", {
         "rows_collected": F.col("rows"), "duplicates_removed": F.col("duplicates"),
         "rows_clean": F.col("clean"), "rows_labeled": F.col("total"),
         "confidence_mean": F.round("confidence_mean", 3), "error_share": F.col("error_share"),
-        "rows_final": F.col("final")}))
-    last = history.where(F.col("strategy") == strategy).agg(
-        *[F.max_by(c, "iteration").alias(c) for c in ("accuracy", "f1", "n_labeled")]
-    )
+        "rows_selected": chosen, "rows_final": F.col("final")}))
+    last = _last_scores(history, strategy)
     savings = sample_savings(history)
     return (
         by_stage.unionByName(_rows(last, _values("model", {c: F.col(c) for c in last.columns})))

@@ -14,6 +14,13 @@ QUEUE_COLUMNS = (TEXT, LABEL, CONFIDENCE)
 ROW_INDEX = "row_index"
 
 
+def require_unique(df: DataFrame, key: str, what: str) -> None:
+    """Raise if a key occurs twice, since a join would then multiply rows."""
+    repeated = df.groupBy(key).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"{key} {repeated[0][key]} occurs more than once in the {what}")
+
+
 def review_queue(
     df: DataFrame, id_col: str = ROW_ID, cols: Sequence[str] = QUEUE_COLUMNS
 ) -> DataFrame:
@@ -53,8 +60,10 @@ def apply_corrections(
 
     ``upsert`` (default) changes the corrected rows and keeps every other row.
     ``replace`` keeps only rows at or above the threshold and appends the
-    corrected ones, which carry the queue's columns alone.
+    corrected ones, which carry the queue's columns alone. A row corrected twice is
+    an error.
     """
+    require_unique(corrections, ROW_INDEX, "corrections")
     if mode == "upsert":
         return _upsert(df, corrections, id_col)
     if mode != "replace":
@@ -67,7 +76,8 @@ def apply_corrections(
 def replace_with_reviewed(
     df: DataFrame, corrections: DataFrame, mode: str = "replace", id_col: str = ROW_ID
 ) -> DataFrame:
-    """The reviewed rows in place of the table, or merged into it (``upsert``)."""
+    """The reviewed rows in place of the table, or merged into it (``upsert``); each once."""
+    require_unique(corrections, ROW_INDEX, "corrections")
     if mode == "upsert":
         return _upsert(df, corrections, id_col)
     return corrections.withColumnRenamed(ROW_INDEX, id_col)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from labelmill.functions.columns import LABEL, ROW_ID
 from labelmill.operators.active import Comparison, compare_strategies, select_informative
-from labelmill.operators.annotate import SAMPLE_ROWS, Annotated, Labeler, annotate
+from labelmill.operators.annotate import Annotated, Labeler, annotate
 from labelmill.operators.clean import DEFAULT_STRATEGY, clean
 from labelmill.operators.filters import (
     LOW_CONFIDENCE,
@@ -47,16 +47,19 @@ def curation_flow(
     reviewed: DataFrame | None = None,
     strategy: Mapping[str, str] = DEFAULT_STRATEGY,
     threshold: float = LOW_CONFIDENCE,
-    n_label: int | None = SAMPLE_ROWS,
+    n_label: int | None = None,
     n_select: int = 50,
     n_iterations: int = 5,
     batch_size: int = 10,
     correction_mode: str = "upsert",
+    approved: bool = False,
     id_col: str = ROW_ID,
     **fit,
 ) -> Curated:
     """Run every step; a reviewer's decisions arrive as tables, None skips a review.
 
+    ``approved`` says that a reviewer approved the cleaned table.
+
     Each stage table is written once to the shared folder and read from there.
     """
     raw = normalize_columns(df)
@@ -80,7 +83,8 @@ def curation_flow(
         text=text, label=LABEL, id_col=id_col, **fit,
     )
     stages = Stages(
-        raw, cleaned, labeled, merged, final, corrections, reviewed, threshold, n_select
+        raw, cleaned, labeled, merged, final, corrections, reviewed, threshold, n_select,
+        dict(strategy), approved,
     )
     return Curated(
         stages=stages,
@@ -89,7 +93,7 @@ def curation_flow(
         queue=review_queue(filter_low_confidence(labeled, threshold), id_col),
         selected=selected,
         comparison=comparison,
-        metrics=run_metrics(stages, id_col),
+        metrics=run_metrics(stages, id_col, comparison.history),
         card=data_card(stages),
         report=final_metrics(stages, comparison.history),
         dataset=drop_error_labels(final),

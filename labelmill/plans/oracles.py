@@ -5,23 +5,18 @@ from __future__ import annotations
 from labelmill.functions.replies import WHITESPACE
 from labelmill.operators.annotate import (
     CLASSES,
-    GUIDE_CLASSES,
-    GUIDE_ROLE,
-    GUIDE_SAMPLES,
-    GUIDE_SECTIONS,
-    GUIDE_TASK,
+    GUIDE,
     MODEL,
     PROMPT_HEAD,
     PROMPT_TAIL,
     PROMPT_TEXT,
     TASK_FROM,
-    TASK_MODEL_PREFIX,
     TASK_TO,
     TASK_TYPE,
 )
+from labelmill.operators.catalog import SEARCH, TRANSLATION
 from labelmill.operators.filters import TEXT_KEYWORDS
 from labelmill.plans.views import with_views
-from labelmill.sources.tables import DEMO_TEXTS
 
 ORACLES: dict[str, str] = {}
 
@@ -53,20 +48,10 @@ LOW = "confidence < 0.7"
 
 # --- sources and sinks ---
 
-oracle("read_table", "SELECT event_id, user_id, event_type, ROUND(value, 6) AS value, props FROM events")
+SHOWN_TS = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts"
+oracle("read_table", f"SELECT * REPLACE (ROUND(value, 6) AS value, {SHOWN_TS}) FROM events")
 oracle("read_csv_table", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 oracle("first_usable_source", "SELECT text, role FROM conversations WHERE role <> 'error'")
-_demo = ", ".join(
-    f"({c * 6 + t}, {lit(text)}, {lit(label)})"
-    for c, (label, texts) in enumerate(DEMO_TEXTS.items())
-    for t, text in enumerate(texts)
-)
-oracle(
-    "synthetic_reviews",
-    f"""SELECT r.i AS row_id, d.text, d.label AS original_label
-    FROM (SELECT CAST(range AS BIGINT) AS i FROM range((SELECT COUNT(*) FROM documents))) r
-    JOIN (VALUES {_demo}) d(k, text, label) ON d.k = (r.i % 3) * 6 + r.i % 6""",
-)
 oracle("write_table", f"SELECT {LABELED} FROM labeled", "labeled")
 oracle(
     "export_review_queue",
@@ -79,7 +64,7 @@ _good = "label_auto IS NOT NULL AND label_auto NOT IN ('', 'error')"
 _tasks = ", ".join(
     f"CASE WHEN {_good} THEN {value} END AS {name}"
     for name, value in (
-        ("model_version", lit(TASK_MODEL_PREFIX + MODEL)), ("score", "ROUND(confidence, 6)"),
+        ("model_version", lit(MODEL)), ("score", "ROUND(confidence, 6)"),
         ("from_name", lit(TASK_FROM)), ("to_name", lit(TASK_TO)), ("type", lit(TASK_TYPE)),
         ("choice", "label_auto"),
     )
@@ -100,7 +85,7 @@ for _name in ("write_metrics", "label_summary"):
 
 oracle(
     "normalize_columns",
-    'SELECT doc_id, text, lang AS original_label, source AS "class" FROM documents',
+    'SELECT doc_id, text, lang AS original_label, source AS "class", n_chars AS "Text_Chars" FROM documents',
 )
 oracle("resolve_columns", "SELECT conv_id, turn, text, role AS label FROM conversations")
 oracle(
@@ -156,6 +141,7 @@ oracle(
     SELECT row_index, text, NULL, label_auto, confidence FROM corrections""",
     "corrections",
 )
+oracle("replace_with_reviewed_upsert", MERGED, "corrections")
 oracle(
     "replace_with_reviewed",
     "SELECT row_index AS row_id, text, label_auto, confidence FROM corrections",
@@ -188,6 +174,11 @@ _all = ", ".join(COLS)
 DUPLICATES = f"""(SELECT COUNT(*) FROM dirty_reviews)
  - (SELECT COUNT(*) FROM (SELECT DISTINCT {_all} FROM dirty_reviews))"""
 oracle("duplicate_count", f"SELECT {DUPLICATES} AS duplicates", "dirty_reviews")
+oracle(
+    "duplicate_count_times",
+    """SELECT (SELECT COUNT(*) FROM events)
+    - (SELECT COUNT(*) FROM (SELECT DISTINCT * EXCLUDE (event_id) FROM events)) AS duplicates""",
+)
 _outside = {c: f"COUNT(*) FILTER (WHERE {c} < lo_{c} OR {c} > hi_{c})" for c in NUMERIC}
 oracle(
     "table_shape",
@@ -302,17 +293,19 @@ oracle(
 oracle("drop_duplicates", _deduped("dirty_reviews"), "dirty_reviews")
 oracle(
     "clip_iqr",
-    f"""SELECT event_id, user_id, ROUND(LEAST(GREATEST(value, lo_value), hi_value), 6) AS value
-    FROM events, b""",
+    f"""SELECT * EXCLUDE (lo_value, hi_value)
+    REPLACE (ROUND(LEAST(GREATEST(value, lo_value), hi_value), 6) AS value, {SHOWN_TS}) FROM events, b""",
     ctes=_bounds("events", ("value",), "b"),
 )
 oracle(
     "remove_outliers",
-    "SELECT * EXCLUDE (lo_quality, hi_quality) FROM s1, b2 WHERE quality BETWEEN lo_quality AND hi_quality",
+    "SELECT * EXCLUDE (lo_toxic, hi_toxic) FROM s2, b3 WHERE toxic BETWEEN lo_toxic AND hi_toxic",
     "reviews",
     f"""{_bounds("reviews", ("n_chars",), "b1")},
     s1 AS (SELECT reviews.* FROM reviews, b1 WHERE n_chars BETWEEN lo_n_chars AND hi_n_chars),
-    {_bounds("s1", ("quality",), "b2")}""",
+    {_bounds("s1", ("quality",), "b2")},
+    s2 AS (SELECT s1.* FROM s1, b2 WHERE quality BETWEEN lo_quality AND hi_quality),
+    {_bounds("s2", ("toxic",), "b3")}""",
 )
 CLEANED = f"""filled AS ({_filled("dirty_reviews", MEDIAN)}),
 deduped AS ({_deduped("filled")}),
@@ -321,10 +314,12 @@ cleaned AS ({_clipped("deduped", "cb")})"""
 oracle("clean", "SELECT * FROM cleaned", "dirty_reviews", CLEANED)
 oracle(
     "clean_remove",
-    f"SELECT row_id, {_shown} FROM deduped, b WHERE n_chars BETWEEN lo_n_chars AND hi_n_chars",
+    f"SELECT row_id, {_shown} FROM s1, b2 WHERE quality BETWEEN lo_quality AND hi_quality",
     "dirty_reviews",
-    f"""filled AS ({_filled("dirty_reviews", MEAN, ("n_chars",))}),
-    deduped AS ({_deduped("filled")}), {_bounds("deduped", ("n_chars",), "b")}""",
+    f"""filled AS ({_filled("dirty_reviews", MEAN, ("n_chars", "quality"))}),
+    deduped AS ({_deduped("filled")}), {_bounds("deduped", ("n_chars",), "b")},
+    s1 AS (SELECT deduped.* FROM deduped, b WHERE n_chars BETWEEN lo_n_chars AND hi_n_chars),
+    {_bounds("s1", ("quality",), "b2")}""",
 )
 
 
@@ -363,6 +358,7 @@ _issues.append(
 )
 RAW_BOUNDS = _bounds("dirty_reviews", NUMERIC, "rb")
 oracle("detect_issues", " UNION ALL ".join(_issues), "dirty_reviews", RAW_BOUNDS)
+oracle("build_strategy_prompt", " UNION ALL ".join(_issues), "dirty_reviews", RAW_BOUNDS)
 _report = [
     *_issues,
     *[
@@ -442,6 +438,11 @@ oracle(
     "hits",
     f"top5 AS (SELECT * FROM hits QUALIFY {_first5})",
 )
+oracle(
+    "build_search_prompts",
+    f"""SELECT item_id, {lit(SEARCH.format(n=6))} || text AS prompt, 'search' AS kind FROM benchmark
+    UNION ALL SELECT item_id, {lit(TRANSLATION)} || text, 'translation' FROM benchmark""",
+)
 _breaks = lit("\r\n") + " || '|[' || " + lit("\n\x0b\x0c\r\x1c\x1d\x1e\x85  ") + " || ']'"
 oracle(
     "split_queries",
@@ -486,8 +487,8 @@ parsed AS (
 oracle("parse_label_responses", "SELECT row_id, raw, label_auto, confidence FROM parsed", "responses", PARSED)
 oracle(
     "build_guide_prompt",
-    f"""SELECT {lit(f"{GUIDE_ROLE}{GUIDE_TASK}sentiment classification{GUIDE_CLASSES}{list(CLASSES)}{GUIDE_SAMPLES}")}
-    || CAST(to_json(list(text ORDER BY row_id)) AS VARCHAR) || {lit(GUIDE_SECTIONS)} AS prompt
+    f"""SELECT {lit(GUIDE.format(task="sentiment classification", labels=", ".join(CLASSES), language="Russian"))}
+    || CAST(to_json(list(text ORDER BY row_id)) AS VARCHAR) AS prompt
     FROM (SELECT row_id, text FROM reviews WHERE text IS NOT NULL ORDER BY {KEY} LIMIT 10)""",
     "reviews",
 )
@@ -500,6 +501,21 @@ oracle("label_quality", f"SELECT {_quality.format('human_label')} FROM labeled",
 _auto = """SELECT r.*, p.label_auto, p.confidence
 FROM reviews r JOIN parsed p ON p.row_id = r.row_id"""
 oracle("auto_label", _auto, "responses", PARSED)
+oracle(
+    "auto_label_strict",
+    """SELECT r.*, CASE WHEN known THEN p.label_auto ELSE 'error' END AS label_auto,
+    CASE WHEN known THEN p.confidence ELSE 0 END AS confidence
+    FROM reviews r JOIN (SELECT *, COALESCE(label_auto IN ('positive', 'neutral'), TRUE) AS known
+                         FROM parsed) p ON p.row_id = r.row_id""",
+    "responses", PARSED,
+)
+oracle(
+    "annotate_label_dist",
+    f"""SELECT label_auto AS value, COUNT(*) AS n,
+    ROUND(COUNT(*) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 6) AS share
+    FROM ({_auto}) WHERE label_auto IS NOT NULL GROUP BY label_auto""",
+    "responses", PARSED,
+)
 oracle(
     "annotate", f"SELECT {_quality.format('original_label')} FROM ({_auto})", "responses", PARSED
 )
@@ -554,6 +570,15 @@ for _name, _score in SCORE.items():
         "probs",
     )
 
+oracle(
+    "query_pool_missing",
+    f"""SELECT row_id, ROUND(score, 6) AS score
+    FROM (SELECT row_id, CASE WHEN row_id % 3 <> 0 THEN {SCORE['margin']} END AS score FROM probs)
+    ORDER BY ROUND(score, 12) DESC NULLS LAST, row_id
+    LIMIT (SELECT COUNT(*) - COUNT(*) // 5 FROM probs)""",
+    "probs",
+)
+
 # --- metrics and histories ---
 
 oracle(
@@ -577,6 +602,12 @@ savings AS (
   SELECT ROUND(target, 4) AS target_accuracy, e AS n_labeled_entropy, r AS n_labeled_random,
     r - e AS samples_saved, ROUND((r - e) / CAST(r AS DOUBLE) * 100, 1) AS savings_pct FROM reached)"""
 oracle("sample_savings", "SELECT * FROM savings", "history", SAVINGS)
+oracle(
+    "write_learning_report",
+    """SELECT CAST(10 AS BIGINT) AS batch_size, strategy, iteration, n_labeled,
+    ROUND(accuracy, 6) AS accuracy, ROUND(f1, 6) AS f1 FROM history""",
+    "history",
+)
 oracle(
     "learning_curve_pivot",
     "SELECT n_labeled, "
@@ -622,6 +653,12 @@ _steps = [
     _metric("clean", "rows_before", "COUNT(*)", "dirty_reviews"),
     _metric("clean", "rows_after", "COUNT(*)", "cleaned"),
     _metric("clean", "duplicates_removed", f"({DUPLICATES})"),
+    *[
+        _metric("clean", f"strategy_{k}", "NULL", text=f"'{v}'")
+        for k, v in (("missing", "median"), ("duplicates", "drop"), ("outliers", "clip_iqr"))
+    ],
+    _metric("clean_review", "action", "NULL", text="'approved'"),
+    _metric("clean_review", "rows", "COUNT(*)", "cleaned"),
     *[
         _metric("annotate", c, f"ROUND({c}, 6)", "summary")
         for c in ("total", "low_confidence", "errors", "confidence_mean")
@@ -634,11 +671,23 @@ _steps = [
     _metric("al_select", "pool", "CASE WHEN n >= 20 THEN n - seed END", "valid"),
     _metric("al_select", "selected", "CASE WHEN n >= 20 THEN LEAST(50, n - seed) ELSE n END", "valid"),
     _metric("al_select", "total", "CASE WHEN n >= 20 THEN seed + LEAST(50, n - seed) ELSE n END", "valid"),
+    _metric("al_select", "strategy", "NULL", "valid", "CASE WHEN n >= 20 THEN 'entropy' ELSE 'passthrough' END"),
     _metric("al_review", "action", "NULL", text="'skipped'"),
     _metric("al_review", "shown", "COUNT(*)", "final"),
     _metric("al_review", "corrected", "0"),
 ]
-oracle("run_metrics", " UNION ALL ".join(_steps), "dirty_reviews corrections", STAGES)
+_last = "history WHERE strategy = 'entropy'"
+_steps += [
+    _metric("train", c, f"ROUND(arg_max({c}, iteration), 6)", _last)
+    for c in ("accuracy", "f1", "n_labeled")
+] + [
+    _metric("train", c, c, "savings")
+    for c in ("target_accuracy", "n_labeled_entropy", "n_labeled_random", "samples_saved", "savings_pct")
+]
+oracle(
+    "run_metrics", " UNION ALL ".join(_steps), "dirty_reviews corrections history",
+    f"{STAGES}, {SAVINGS}",
+)
 _card = [
     _metric("card", "raw", "COUNT(*)", "dirty_reviews"),
     _metric("card", "clean", "COUNT(*)", "cleaned"),
@@ -647,7 +696,6 @@ _card = [
     _dist("card"),
 ]
 oracle("data_card", " UNION ALL ".join(_card), "dirty_reviews corrections", STAGES)
-_last = "history WHERE strategy = 'entropy'"
 _final = [
     _metric("stages", "rows_collected", "COUNT(*)", "dirty_reviews"),
     _metric("stages", "duplicates_removed", f"({DUPLICATES})"),
@@ -655,6 +703,7 @@ _final = [
     _metric("stages", "rows_labeled", "total", "summary"),
     _metric("stages", "confidence_mean", "ROUND(confidence_mean, 3)", "summary"),
     _metric("stages", "error_share", "error_share", "summary"),
+    _metric("stages", "rows_selected", "CASE WHEN n >= 20 THEN LEAST(50, n - seed) ELSE n END", "valid"),
     _metric("stages", "rows_final", "COUNT(*)", "final"),
     *[
         _metric("model", c, f"ROUND(arg_max({c}, iteration), 6)", _last)

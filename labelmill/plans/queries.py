@@ -30,7 +30,7 @@ from labelmill.operators import (
 from labelmill.plans.flow import curation_flow
 from labelmill.plans.views import with_views
 from labelmill.sources import sinks, tables
-from labelmill.storage import new_stage_path
+from labelmill.storage import new_stage_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,8 @@ BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
 ).split()
+#: How a time is shown, so that engines compare alike.
+TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 HUBS = {"HubA": "https://a.example/", "HubB": "https://b.example/"}
 QUERIES: dict[str, Query] = {}
 
@@ -48,10 +50,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view of ``labelmill.plans.views`` over the tables of ``sf_dir``."""
-    for base, key in (("documents", "doc_id"), ("labels", None), ("pages", None)):
-        read = tables.read_table(spark, f"{sf_dir}/{base}.parquet", spread_by=key)
-        read.createOrReplaceTempView(base)
-    return spark.sql(f"WITH {with_views([name])} SELECT * FROM {name}")
+    bases = {
+        base: tables.read_table(spark, f"{sf_dir}/{base}.parquet", spread_by=key)
+        for base, key in (("documents", "doc_id"), ("labels", None), ("pages", None))
+    }
+    # the tables go in as arguments, no temp view of the session is replaced
+    ctes = "".join(f"{base} AS (SELECT * FROM {{lm_{base}}}), " for base in bases)
+    views = with_views([name]).replace("{", "{{").replace("}", "}}")
+    sql = f"WITH {ctes}{views} SELECT * FROM {name}"
+    return spark.sql(sql, **{f"lm_{base}": df for base, df in bases.items()})
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -77,7 +84,7 @@ def query(name: str, base: str | None = None) -> Callable:
 
 @query("read_table")
 def _(spark, sf):
-    return table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "props")
+    return table(spark, sf, "events").withColumn("ts", F.date_format("ts", TIME))
 
 
 @query("read_csv_table")
@@ -86,7 +93,8 @@ def _(spark, sf):
     documents = table(spark, sf, "documents")
     sinks.write_table(documents, path, "csv")
     return tables.read_table(
-        spark, path, "doc_id bigint, text string, lang string, source string, n_chars bigint"
+        spark, path, "doc_id bigint, text string, lang string, source string, n_chars bigint",
+        multiline=True,
     )
 
 
@@ -96,11 +104,6 @@ def _(spark, sf):
     return tables.first_usable_source(spark, candidates, label="role").select("text", "role")
 
 
-@query("synthetic_reviews")
-def _(spark, sf):
-    return tables.synthetic_reviews(spark, table(spark, sf, "documents").count())
-
-
 @query("write_table", "labeled")
 def _(df):
     path = new_stage_path(df.sparkSession, "labeled")
@@ -161,7 +164,7 @@ def _(spark, sf):
     documents = table(spark, sf, "documents")
     return schema.normalize_columns(
         documents.select("doc_id", F.col("text").alias("Review"), F.col("lang").alias("Category"),
-                         F.col("source").alias("class"))
+                         F.col("source").alias("class"), F.col("n_chars").alias("Text_Chars"))
     )
 
 
@@ -236,6 +239,13 @@ def _(spark, sf):
     )
 
 
+@query("replace_with_reviewed_upsert")
+def _(spark, sf):
+    return review.replace_with_reviewed(
+        view(spark, sf, "labeled"), view(spark, sf, "corrections"), mode="upsert"
+    )
+
+
 @query("replace_with_reviewed")
 def _(spark, sf):
     return review.replace_with_reviewed(view(spark, sf, "labeled"), view(spark, sf, "corrections"))
@@ -254,6 +264,12 @@ def _(df):
     return profile.duplicate_count(df)
 
 
+@query("duplicate_count_times")
+def _(spark, sf):
+    """Events without their id, times included."""
+    return profile.duplicate_count(table(spark, sf, "events").drop("event_id"))
+
+
 @query("table_shape", "dirty_reviews")
 def _(df):
     return profile.table_shape(df)
@@ -298,7 +314,7 @@ def _(df):
 
 @query("compare_tables", "dirty_reviews")
 def _(df):
-    return profile.compare_tables(df, clean.clean(df))
+    return profile.compare_tables(df, stage(clean.clean(df), "clean"))
 
 
 @query("detect_issues", "dirty_reviews")
@@ -306,9 +322,19 @@ def _(df):
     return profile.detect_issues(df)
 
 
+@query("build_strategy_prompt", "dirty_reviews")
+def _(df):
+    prompt = profile.build_strategy_prompt(profile.detect_issues(df), clean.DEFAULT_STRATEGY)
+    found = F.from_json(
+        F.regexp_extract("prompt", r"Findings: (\[.*\])\nSteps: ", 1),
+        "array<struct<section string, key string, metric string, value double, text string>>",
+    )
+    return prompt.select(F.inline(found))
+
+
 @query("quality_report", "dirty_reviews")
 def _(df):
-    return profile.quality_report(df, clean.clean(df), clean.DEFAULT_STRATEGY)
+    return profile.quality_report(df, stage(clean.clean(df), "clean"), clean.DEFAULT_STRATEGY)
 
 
 # --- cleaning ---
@@ -336,13 +362,12 @@ def _(df):
 
 @query("clip_iqr")
 def _(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "user_id", "value")
-    return clean.clip_iqr(events, ["value"])
+    return clean.clip_iqr(table(spark, sf, "events"), ["value"]).withColumn("ts", F.date_format("ts", TIME))
 
 
 @query("remove_outliers", "reviews")
 def _(df):
-    return clean.remove_outliers(df, ["n_chars", "quality"])
+    return clean.remove_outliers(df, ["n_chars", "quality", "toxic"])
 
 
 @query("clean", "dirty_reviews")
@@ -353,7 +378,7 @@ def _(df):
 @query("clean_remove", "dirty_reviews")
 def _(df):
     strategy = {"missing": "mean", "duplicates": "drop", "outliers": "remove"}
-    return clean.clean(df, strategy, ["n_chars"])
+    return clean.clean(df, strategy, ["n_chars", "quality"])
 
 
 # --- order ---
@@ -421,6 +446,15 @@ def _(df):
     return catalog.build_catalog(df, HUBS)
 
 
+@query("build_search_prompts")
+def _(spark, sf):
+    wishes = table(spark, sf, "benchmark").withColumnRenamed("text", "wish")
+    both = catalog.build_search_prompts(wishes).withColumn("kind", F.lit("search"))
+    return both.unionByName(
+        catalog.build_translation_prompts(wishes).withColumn("kind", F.lit("translation"))
+    )
+
+
 @query("split_queries")
 def _(spark, sf):
     bullets = F.concat(F.lit("- "), F.replace("text", F.lit("\n"), F.lit("\n- ")))
@@ -465,14 +499,26 @@ def _(df):
 @query("auto_label")
 def _(spark, sf):
     labeler = annotate.stored_replies(view(spark, sf, "responses"))
-    return annotate.auto_label(view(spark, sf, "reviews"), labeler, n=None)
+    return annotate.auto_label(view(spark, sf, "reviews"), labeler)
+
+
+@query("auto_label_strict")
+def _(spark, sf):
+    labeler = annotate.stored_replies(view(spark, sf, "responses"))
+    return annotate.auto_label(view(spark, sf, "reviews"), labeler, labels=("positive", "neutral"), strict=True)
+
+
+@query("annotate_label_dist")
+def _(spark, sf):
+    labeler = annotate.stored_replies(view(spark, sf, "responses"))
+    return annotate.annotate(view(spark, sf, "reviews"), labeler, human="original_label").label_dist
 
 
 @query("annotate")
 def _(spark, sf):
     labeler = annotate.stored_replies(view(spark, sf, "responses"))
     reviews = view(spark, sf, "reviews")
-    return annotate.annotate(reviews, labeler, human="original_label", n=None).quality
+    return annotate.annotate(reviews, labeler, human="original_label").quality
 
 
 # --- features ---
@@ -527,6 +573,14 @@ for _name in ("entropy", "margin", "random"):
     query(f"query_pool_{_name}", "probs")(_query_pool(_name))
 
 
+@query("query_pool_missing", "probs")
+def _(df):
+    """Every third row has no probabilities; more rows are asked for than have some."""
+    probs = F.when(F.col("row_id") % 3 != 0, _probs())
+    n = df.count()
+    return active.query_pool(df.select("row_id", probs.alias("probs")), "margin", n - n // 5)
+
+
 # --- metrics and histories ---
 
 
@@ -540,6 +594,15 @@ def _(df):
     return history.sample_savings(df)
 
 
+@query("write_learning_report", "history")
+def _(df):
+    path = new_stage_path(df.sparkSession, "report")
+    sinks.write_learning_report({"batch_size": 10}, df, history.sample_savings(df), path)
+    found = df.sparkSession.read.json(path)
+    rows = found.select("config.batch_size", F.inline("histories"))
+    return rows.select("batch_size", "strategy", "iteration", "n_labeled", "accuracy", "f1")
+
+
 @query("learning_curve_pivot", "history")
 def _(df):
     return history.learning_curve_pivot(df)
@@ -554,15 +617,16 @@ def _(df):
 def _stages(spark: SparkSession, sf: str) -> report.Stages:
     raw, labeled = view(spark, sf, "dirty_reviews"), view(spark, sf, "labeled")
     corrections = view(spark, sf, "corrections")
-    merged = review.apply_corrections(labeled, corrections)
+    merged = stage(review.apply_corrections(labeled, corrections), "merged")
     return report.Stages(
-        raw, clean.clean(raw), labeled, merged, filters.drop_error_labels(merged), corrections
+        raw, stage(clean.clean(raw), "clean"), labeled, merged, filters.drop_error_labels(merged), corrections,
+        strategy=clean.DEFAULT_STRATEGY, approved=True,
     )
 
 
 @query("run_metrics")
 def _(spark, sf):
-    return report.run_metrics(_stages(spark, sf))
+    return report.run_metrics(_stages(spark, sf), history=view(spark, sf, "history"))
 
 
 @query("data_card")
@@ -624,7 +688,7 @@ def _(df):
         vectors.where(F.col("part") == p).drop("part") for p in ("labeled", "pool", "test")
     )
     records = active.al_cycle(
-        labeled, pool, test, "margin", n_iterations=3, label="original_label"
+        labeled, pool, test, "margin", label="original_label"
     )
     return history.history_table(df.sparkSession, {"margin": records})
 
@@ -652,5 +716,5 @@ def _(spark, sf):
         )
     )
     return curation_flow(
-        raw, labeler, view(spark, sf, "corrections"), n_label=None, n_iterations=3
+        raw, labeler, view(spark, sf, "corrections")
     ).report

@@ -52,31 +52,32 @@ SELECT row_id, text, original_label AS human_label,
 FROM reviews
 """
 
-# A reviewer's answers for part of the queue (short texts were looked at).
+# A reviewer's answers for part of the queue.
 CORRECTIONS = """
 SELECT row_id AS row_index, text, 'neutral' AS label_auto, CAST(1 AS DOUBLE) AS confidence
-FROM labeled WHERE confidence < 0.7 AND LENGTH(text) < 2000
+FROM labeled WHERE confidence < 0.7 AND row_id % 3 <> 0
 """
 
-# Search results with repeated refs and missing descriptions.
+# Search results named after pages, with repeated refs and missing descriptions.
 HITS = """
 SELECT page_id AS pos, page_id % 6 AS query_id,
        CASE WHEN page_id % 2 = 0 THEN 'HubA' ELSE 'HubB' END AS source,
-       CONCAT('user', CAST(page_id % 40 AS VARCHAR(10)), '/set', CAST(page_id % 60 AS VARCHAR(10))) AS ref,
-       CASE page_id % 7 WHEN 0 THEN 'Movie Review corpus' WHEN 1 THEN 'Sentiment tweets'
-            WHEN 2 THEN 'Street images' WHEN 3 THEN 'IMDB tables' WHEN 4 THEN 'Audio clips'
-            WHEN 5 THEN 'NLP starter' ELSE 'Weather' END AS title,
+       CONCAT(SUBSTR(url, 1, 18), '/set', CAST(LENGTH(html) % 60 AS VARCHAR(10))) AS ref,
+       CONCAT(CASE LENGTH(html) % 7 WHEN 0 THEN 'Movie Review corpus: ' WHEN 1 THEN 'Sentiment tweets: '
+            WHEN 2 THEN 'Street images: ' WHEN 3 THEN 'IMDB tables: ' WHEN 4 THEN 'Audio clips: '
+            WHEN 5 THEN 'NLP starter: ' ELSE 'Weather: ' END,
+            regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title,
        CASE WHEN page_id % 11 = 0 THEN NULL WHEN page_id % 13 = 0 THEN 'text classification set'
-            ELSE 'assorted files' END AS description
+            ELSE CONCAT('files at ', url) END AS description
 FROM pages
 """
 
-# Three class probabilities per row.
+# Three class probabilities per row, from the letters of its text.
 PROBS = """
 SELECT row_id, a / (a + b + c) AS p1, b / (a + b + c) AS p2, c / (a + b + c) AS p3
-FROM (SELECT row_id, CAST((row_id * 13) % 97 AS DOUBLE) AS a,
-             CAST((row_id * 29) % 89 AS DOUBLE) AS b,
-             CAST((row_id * 41) % 83 + 1 AS DOUBLE) AS c FROM reviews) x
+FROM (SELECT row_id, CAST(LENGTH(text) % 97 AS DOUBLE) AS a,
+             CAST(LENGTH(REPLACE(text, 'e', '')) % 89 AS DOUBLE) AS b,
+             CAST(LENGTH(REPLACE(text, 'n', '')) % 83 + 1 AS DOUBLE) AS c FROM reviews) x
 """
 
 # Truth against prediction.

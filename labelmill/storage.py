@@ -8,26 +8,34 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.
+    """This application's part of the folder that ``spark.checkpoint.dir`` names.
 
-    Only a local session may go without the setting; it gets a folder of its
-    own. On a cluster a machine-local folder would be lost with the machine.
+    Only a local session may go without the setting; it gets a folder of its own.
+    On a cluster a machine-local folder would be lost with the machine. The setting
+    itself is never changed.
     """
+    app = spark.sparkContext.applicationId
     folder = spark.conf.get(CHECKPOINT_KEY, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="labelmill-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
+        folder = _local.setdefault(app, tempfile.mkdtemp(prefix="labelmill-"))
+    return f"{folder.rstrip('/')}/{app}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete what this application staged; tables that rest on it cannot be read any more."""
+    jvm, folder = spark.sparkContext._jvm, shared_folder(spark)
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def new_stage_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -23,7 +23,7 @@ def test_flow(spark, sf_dir, tmp_path):
     fixes = labels.where("row_index % 18 = 0")
     done = curation_flow(
         raw.withColumnRenamed("text", "Review"), labeler, fixes,
-        n_label=None, n_select=15, n_iterations=2, tol=1e-3, max_features=200,
+        n_select=15, n_iterations=2, tol=1e-3, max_features=200,
     )
     metrics = {(r["step"], r["metric"], r["text"]): r["value"] for r in done.metrics.collect()}
     n = raw.count()
@@ -60,5 +60,5 @@ def test_flow_without_reviews(spark, sf_dir):
     )
     assert done.queue.count() == 0
     actions = {r["step"]: r["text"] for r in done.metrics.where("metric = 'action'").collect()}
-    assert actions == {"review": "auto_skipped", "al_review": "skipped"}
+    assert actions == {"clean_review": "skipped", "review": "auto_skipped", "al_review": "skipped"}
     assert done.stages.labeled.count() == 150

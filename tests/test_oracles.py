@@ -4,8 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from labelmill.plans.queries import QUERIES
 
-SLOW = {"al_cycle", "compare_strategies", "curation_flow", "save_model", "evaluate"}
 
 
 @pytest.fixture(scope="session")
@@ -13,7 +13,7 @@ def con(sf_dir):
     return check.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, sf_dir, name):
     assert check.compare(spark, con, sf_dir, name) == ""
 

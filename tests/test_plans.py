@@ -6,9 +6,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from labelmill.operators import clean, features, order, profile
-from labelmill.plans.queries import view
+from labelmill.plans.queries import QUERIES, view
 from labelmill.sources.tables import read_table
 
 # Offsets of at most 65,536 buckets are summed in one task.
@@ -26,9 +25,9 @@ def plan(df):
     return out.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - MODELS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODELS))
 def test_no_python_no_cartesian_no_global_window(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     assert not re.search(r"EvalPython|MapInPandas|FlatMapGroupsInPandas", text)
     assert "CartesianProduct" not in text
     lines = text.splitlines()
@@ -68,13 +67,13 @@ def test_profiles_read_what_they_use(spark, sf_dir):
 
 
 def test_filters_reach_the_scan(spark, sf_dir):
-    text = plan(entry.queries()["take_rows"](spark, sf_dir))
+    text = plan(QUERIES["take_rows"](spark, sf_dir))
     assert "EqualTo(toxic,1)" in text.replace("1.0", "1")
 
 
 def test_hot_groups_are_cut_before_the_shuffle(spark, sf_dir):
     for name in ("top_k_per_group", "dedup_by_key", "build_catalog"):
-        text = plan(entry.queries()[name](spark, sf_dir))
+        text = plan(QUERIES[name](spark, sf_dir))
         assert re.search(r"WindowGroupLimit .* Partial", text), name
 
 
@@ -84,6 +83,13 @@ def test_dedup_is_one_shuffle_with_a_combine(spark, sf_dir):
     assert "partial_min(row_id" in text
 
 
-def test_small_results_are_sorted_limits(spark, sf_dir):
-    for name in ("head_rows", "sample_k", "query_pool_entropy", "limit_catalog"):
-        assert "TakeOrderedAndProject" in plan(entry.queries()[name](spark, sf_dir)), name
+def test_first_rows_are_filters(spark, sf_dir):
+    for name in ("head_rows", "sample_k", "query_pool_entropy"):
+        text = plan(QUERIES[name](spark, sf_dir))
+        assert "TakeOrdered" not in text and "Sort" not in text.replace("SortMergeJoin", ""), name
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODELS))
+def test_sorted_limits_are_short(spark, sf_dir, name):
+    limits = re.findall(r"(?:TakeOrderedAndProject|CollectLimit)\D*?limit=(\d+)", plan(QUERIES[name](spark, sf_dir)))
+    assert all(int(n) <= 1000 for n in limits)

@@ -45,7 +45,7 @@ def test_known_cleaning(dirty):
 
 def test_narrowed_bounds_clean_alike(dirty):
     usual = clean.clean(dirty)
-    narrowed = clean.clean(dirty, exact_rows=10, bracket_rows=20)
+    narrowed = clean.clean(dirty, bracket_rows=20)
     assert usual.exceptAll(narrowed).count() == 0 == narrowed.exceptAll(usual).count()
 
 
@@ -59,6 +59,30 @@ def test_cleaning_properties(dirty):
     assert clean.impute_mean(dirty).where("quality IS NULL").count() == 0
 
 
+def test_duplicates_are_counted_as_they_are_dropped(spark):
+    rows = [(i, f"2024-01-01 00:00:00.00000{i % 3}", bytes([i % 2]), [f"2024-01-01 00:00:00.00000{i % 2}"], 0.0 if i % 4 else -0.0) for i in range(24)]
+    df = spark.createDataFrame(rows, "row_id long, t string, b binary, ts array<string>, x double")
+    df = df.selectExpr("row_id", "timestamp(t) AS t", "timestamp_ntz(t) AS n", "b", "transform(ts, v -> timestamp(v)) AS ts", "x", "struct(timestamp(t) AS inner) AS s", "CAST(x AS DECIMAL(5, 2)) AS d", "date(t) AS day")
+    kept = clean.drop_duplicates(df).count()
+    assert kept == 6 and profile.duplicate_count(df).first()[0] == df.count() - kept
+    assert clean.drop_duplicates(df, ["b"]).count() == 2
+    assert {r["row_id"] for r in clean.drop_duplicates(df, ["b"]).collect()} == {0, 1}
+
+
+def test_nan_is_cleaned_like_null(spark):
+    values = [float(i) for i in range(20)]
+    bad = {"nan": [*values, *[float("nan")] * 10], "null": [*values, *[None] * 10]}
+    got = {}
+    for kind, column in bad.items():
+        df = spark.createDataFrame(list(enumerate(column)), "row_id long, x double")
+        got[kind] = [rows(f(df), *c) for f, c in (
+            (profile.missing_counts, ("column", "missing")), (profile.iqr_bounds, ("column", "q3")),
+            (clean.column_fill_values, ("column", "fill")), (clean.clean, ("row_id", "x")),
+            (profile.table_shape, ("rows", "missing_cells")), (clean.drop_missing, ("row_id", "x")),
+        )]
+    assert got["nan"] == got["null"] and got["nan"][0] == {"x": 10}
+
+
 def test_unknown_strategy_is_a_no_op(dirty):
     same = clean.clean(dirty, {"missing": "?", "duplicates": "?", "outliers": "?"})
     assert same.exceptAll(dirty).count() == 0 and same.count() == dirty.count()
