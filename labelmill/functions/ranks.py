@@ -286,8 +286,8 @@ def commonest(counts: DataFrame, n: str, text: str, k: int, bracket_rows: int =
     rows = stage(counts.withColumn("_prefix", text_prefix(F.col(text))), "counts")
     keys = rows.select((-F.col(n)).alias("_less"), "_prefix")
     total = rows.count()
-    if k >= total:
-        return rows.drop("_prefix")
+    if k >= total or k <= 0:
+        return rows.drop("_prefix").where(F.lit(k > 0))
     at = order_statistics(keys, {"_less": [k - 1]}, {"_less": total}, bracket_rows)["_less", k - 1]
     count, rest = -at.value, k - at.below
     above = F.col(n) > F.lit(count)

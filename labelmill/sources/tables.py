@@ -52,6 +52,7 @@ def first_usable_source(
     text: str = TEXT,
     label: str = LABEL,
     min_rows: int = 10,
+    multiline: bool | None = None,
 ) -> DataFrame | None:
     """The first candidate that exists, has text and label, and more than ``min_rows`` rows.
 
@@ -59,7 +60,7 @@ def first_usable_source(
     """
     for path in paths:
         try:
-            df = read_table(spark, path)
+            df = read_table(spark, path, multiline=multiline)
         except AnalysisException:
             continue
         if label in df.columns:

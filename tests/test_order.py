@@ -178,8 +178,8 @@ def test_first_usable_source(spark, tmp_path):
     unlabelled = put("unlabelled", [("t", "a")] * 20, ["text", "other"])
     good = put("good", [("t", "a")] * 11, ["review", "label_auto"])
     paths = [str(tmp_path / "absent.csv"), few, errors, unlabelled, good]
-    assert tables.first_usable_source(spark, paths).columns == ["text", "label_auto"]
-    assert tables.first_usable_source(spark, paths[:-1]) is None
+    assert tables.first_usable_source(spark, paths, multiline=True).columns == ["text", "label_auto"]
+    assert tables.first_usable_source(spark, paths[:-1], multiline=True) is None
 
 
 def test_shared_folder_comes_from_the_session(spark):

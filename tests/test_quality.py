@@ -62,7 +62,7 @@ def test_cleaning_properties(dirty):
 def test_duplicates_are_counted_as_they_are_dropped(spark):
     rows = [(i, f"2024-01-01 00:00:00.00000{i % 3}", bytes([i % 2]), [f"2024-01-01 00:00:00.00000{i % 2}"], 0.0 if i % 4 else -0.0) for i in range(24)]
     df = spark.createDataFrame(rows, "row_id long, t string, b binary, ts array<string>, x double")
-    df = df.selectExpr("row_id", "timestamp(t) AS t", "timestamp_ntz(t) AS n", "b", "transform(ts, v -> timestamp(v)) AS ts", "x", "struct(timestamp(t) AS inner) AS s", "CAST(x AS DECIMAL(5, 2)) AS d", "date(t) AS day")
+    df = df.selectExpr("row_id", "timestamp(t) AS t", "CAST(t AS TIMESTAMP_NTZ) AS n", "b", "transform(ts, v -> timestamp(v)) AS ts", "x", "struct(timestamp(t) AS inner) AS s", "CAST(x AS DECIMAL(5, 2)) AS d", "date(t) AS day")
     kept = clean.drop_duplicates(df).count()
     assert kept == 6 and profile.duplicate_count(df).first()[0] == df.count() - kept
     assert clean.drop_duplicates(df, ["b"]).count() == 2
