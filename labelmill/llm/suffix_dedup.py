@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import buffers, map_arrow, pieces, row_key, texts
+from labelmill.llm.common import KeyFilter, buffers, map_arrow, pieces, row_key, texts
 from labelmill.llm.induced import Files, blocks, repeats, suffix_order
 from labelmill.llm.words import U, mix, randoms
 from labelmill.storage import stage
@@ -33,8 +33,8 @@ LENGTH = 400
 SEED = 64
 #: Windows in a row; longer runs (periodic text) are cut, which makes their contexts alike.
 ROW = 1024
-#: Bytes of contexts in a shard, by which the number of shards follows the input.
-SHARD_BYTES = 8_000_000
+#: There is a shard for so many bytes of contexts, but at most SHARDS for each shuffle partition.
+SHARD_BYTES, SHARDS = 1_000_000, 8
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -189,28 +189,43 @@ def _sorted_shard(length: int):
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """The texts (doc_id, rk, text) and per document its repeated windows: runs array<struct<start, end>> of bytes."""
+    """The texts (doc_id, rk, text) and per document its repeated windows: runs array<struct<start, end>> of bytes.
+
+    Every join is by keys of the few rows that repeat something; a filter of the
+    keys spares the others the shuffle.
+    """
     base = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     base = base.select("doc_id", row_key(F.col("text"), F.col("doc_id")).alias("rk"), "text")
     rows = stage(map_arrow(base, _rows(length), "doc_id long, rk long, key long, print long, start long, n long, twice boolean"), "rows")
     example = F.min(F.struct("doc_id", "rk", "start", "n")).alias("at")
     contexts = stage(rows.groupBy("key", "print").agg(F.count("*").alias("met"), F.max("twice").alias("twice"), example), "contexts")
     open_keys = contexts.groupBy("key").agg(F.count("*").alias("kinds"), F.max("twice").alias("again")).where("kinds > 1 or again").select("key")
-    chosen = stage(contexts.join(open_keys, "key").select("key", "print", "at.doc_id", "at.rk", "at.start", "at.n"), "chosen")
+    open_keys = stage(open_keys, "keys")
+    chosen = KeyFilter(open_keys, "key").rows(contexts.select("key", "print", "at.*"), "key").join(open_keys, "key", "left_semi")
+    chosen = stage(chosen, "chosen")
     size = chosen.agg(F.sum(F.col("n") + length)).first()[0] or 0
     cuts = chosen.groupBy("doc_id", "rk").agg(F.collect_list(F.struct("key", "print", "start", "n")).alias("cuts"))
-    cuts = cuts.select(F.col("doc_id").alias("id"), F.col("rk").alias("k"), "cuts")
     # rows equal in doc_id and text give the same contexts: one example is enough
-    own = base.join(cuts, (base.rk == cuts.k) & base.doc_id.eqNullSafe(cuts.id)).select("text", "cuts")
+    own = KeyFilter(chosen, "rk").rows(base, "rk").join(_renamed(cuts), _same_document(), "inner").select("text", "cuts")
     bodies = map_arrow(own, _contexts(length), "key long, print long, body binary")
-    shards = bodies.repartition(max(1, -(-size // SHARD_BYTES)), "key")
-    found = stage(map_arrow(shards, _sorted_shard(length), "key long, print long, first long, count long"), "found")
+    most = SHARDS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = bodies.repartition(max(1, min(-(-size // SHARD_BYTES), most)), "key")
+    found = map_arrow(shards, _sorted_shard(length), "key long, print long, first long, count long")
     whole = contexts.where("met > 1").select("key", "print", F.lit(0).cast("long").alias("first"), F.col("at.n").alias("count"))
-    marks = found.union(whole)
-    runs = rows.join(marks, ["key", "print"]).select("doc_id", "rk", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("first") + F.col("count") + (length - 1)).alias("end"))
+    marks = stage(found.union(whole), "marks")
+    held = KeyFilter(marks, "key", "print").rows(rows.select("doc_id", "rk", "key", "print", "start"), "key", "print")
+    runs = held.join(marks, ["key", "print"]).select("doc_id", "rk", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("first") + F.col("count") + (length - 1)).alias("end"))
     return base, runs.groupBy("doc_id", "rk").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
 
 
+def _renamed(per_document: DataFrame) -> DataFrame:
+    return per_document.withColumnsRenamed({"doc_id": "id", "rk": "k"})
+
+
+def _same_document() -> Column:
+    return (F.col("rk") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("id"))
+
+
 def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per row: doc_id, n_bytes, spans (maximal removed byte runs), kept (the remaining bytes).
 
@@ -219,8 +234,11 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     bytes. Every row stays; other columns are not read.
     """
     base, runs = repeated_windows(docs, length)
-    runs = runs.select(F.col("doc_id").alias("id"), F.col("rk").alias("k"), "runs")
-    both = base.join(runs, (base.rk == runs.k) & base.doc_id.eqNullSafe(runs.id), "left").select("doc_id", "text", F.coalesce("runs", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("runs"))
+    runs = stage(runs, "runs")
+    touched = KeyFilter(runs, "rk")
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    both = touched.rows(base, "rk").join(_renamed(runs), _same_document(), "left").select("doc_id", "text", F.coalesce("runs", none).alias("runs"))
+    both = both.union(touched.rows(base, "rk", inside=False).select("doc_id", "text", none.alias("runs")))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", span), ("kept", pa.binary())])
 
