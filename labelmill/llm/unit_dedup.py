@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import map_rows, row_key, texts
+from labelmill.llm.common import KeyFilter, map_rows, row_key, texts
 from labelmill.storage import stage
 
 #: Units with fewer words stay: short ones repeat by chance.
@@ -59,7 +59,8 @@ def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WOR
     every = found.select("doc_id", "rk", F.explode("units").alias("u")).select("doc_id", "rk", "u.*").distinct()
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "rk", "start")
     first = every.groupBy("hi", "lo").agg(F.min(order).alias("keep"), F.count("*").alias("n")).where("n > 1").drop("n")
-    gone = every.join(first, ["hi", "lo"]).where(~order.eqNullSafe(F.col("keep")))
+    first = stage(first, "first")
+    gone = KeyFilter(first, "hi", "lo").rows(every, "hi", "lo").join(first, ["hi", "lo"]).where(~order.eqNullSafe(F.col("keep")))
     gone = gone.groupBy("doc_id", "rk").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
     gone = gone.select(F.col("doc_id").alias("id"), F.col("rk").alias("key"), "removed")
     out = found.select("doc_id", "rk", F.size("units").cast("long").alias("n_units"))
