@@ -7,11 +7,16 @@ coordinate k of a set is the least value of the second permutation at (place + k
 Bands of the signature propose pairs. Every proposed link is confirmed on the full
 shingle sets.
 
-Copies with equal sets are one node. In a bucket, members are compared with a hub
-only (the smallest, then the next, …) and members that are already in the hub's
-component are left out; so a large group of near copies costs a few comparisons per
-member. After HUBS rounds what is left, pairs of a bucket in different components,
-is compared in full: no link is dropped.
+Copies with equal sets are one node. A bucket's members are not paired with each
+other: each is compared with the bucket's hub, the member that shares most buckets
+with others. Where that leaves several components, members x and y are looked up by
+their differences from the hub h. With D(x) the symmetric difference of x and h,
+a link of x and y needs |D(x) & D(y)| >= (|D(x)| + |D(y)| - r * (|x| + |y|)) / 2 with
+r = (1 - s) / (1 + s) for a similarity s; that is above zero unless both are linked
+with h. So x and y share a member of D early in any fixed order: among the first
+(1 - s) / s * |x| + 1 of D(x). Rare shingles go first, so near copies with edits of
+their own, which a pairwise comparison would meet in squares, hardly meet at all.
+Nothing is capped and no link is dropped.
 """
 
 from __future__ import annotations
@@ -31,7 +36,6 @@ from labelmill.storage import stage
 PLACES = 1 << 20
 #: 32 bands of 4: at a similarity of 0.85 a pair is missed with probability 6e-11, at 0.8 with 5e-8.
 BANDS, ROWS = 32, 4
-HUBS = 4
 _circle: dict[int, np.ndarray] = {}
 
 
@@ -130,38 +134,63 @@ def _components(own: DataFrame, nodes: DataFrame, words: int, percent: int) -> D
     ids = nodes.join(labels.select("node"), "node", "left_semi").select("node").distinct()
     chosen = own.join(ids, own.doc_id == ids.node).select("node", "text")
     sets = stage(map_arrow(chosen, _full_sets(words), "node long, items array<long>"), "sets")
-    tried = None
-    for turn in range(HUBS + 1):
-        live = members.join(labels, "node")
-        apart = live.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("bucket")
-        live = stage(live.join(apart, "bucket"), "live")
-        if live.isEmpty():
-            break
-        if turn < HUBS:
-            pairs = _hub_pairs(live, turn)
-        else:
-            other = live.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            pairs = live.withColumnRenamed("node", "a").join(other, "bucket").where("a < b and comp <> cb").select("a", "b", "n", "nb")
-        # the sizes alone may forbid the similarity
-        pairs = pairs.where(100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")).select("a", "b").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        links = stage(_linked(pairs, sets, percent), "links")
-        labels = merge_labels(labels, links)
-        tried = pairs if tried is None else tried.union(pairs)
-    return labels
-
-
-def _hub_pairs(live: DataFrame, turn: int) -> DataFrame:
-    """Each bucket's members against its member number ``turn``, unless in one component with it."""
-    least = live.groupBy("bucket").agg(F.min("node").alias("hub"))
-    for _ in range(turn):
-        later = live.join(least, "bucket").where("node > hub")
-        least = later.groupBy("bucket").agg(F.min("node").alias("hub"))
-    hub = least.join(live.select("bucket", F.col("node").alias("hub"), F.col("n").alias("nb"), F.col("comp").alias("cb")), ["bucket", "hub"])
-    pairs = live.join(hub, "bucket").where("node <> hub and comp <> cb")
-    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), "n", "nb")
+    # a member's standing is the number of members that it shares buckets with
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    standing = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("s"))
+    top = members.join(standing, "node").groupBy("bucket").agg(F.max(F.struct("s", (-F.col("node")).alias("low"))).alias("top"))
+    hubs = top.select("bucket", (-F.col("top.low")).alias("hub"))
+    groups = stage(members.join(hubs, "bucket").where("node <> hub").select("hub", "node", "n").distinct(), "groups")
+    pairs = groups.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+    labels = merge_labels(labels, stage(_linked(pairs, sets, percent), "links"))
+    by = lambda name, comp: labels.select(F.col("node").alias(name), F.col("comp").alias(comp))
+    found = groups.join(by("node", "comp"), "node").join(by("hub", "top"), "hub")
+    apart = found.groupBy("hub").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("hub")
+    live = stage(found.join(apart, "hub").select("hub", "node", "comp"), "live")
+    if live.isEmpty():
+        return labels
+    candidates = stage(_alike(live, sets, percent), "pairs")
+    return merge_labels(labels, stage(_linked(candidates, sets, percent), "links"))
+
+
+def _alike(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a group that are in different components and may be linked, by their differences from the hub."""
+    used = live.select("node").union(live.select("hub")).distinct()
+    items = sets.join(used, "node", "left_semi").select("node", F.explode("items").alias("item"))
+    common = items.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = items.join(common, "item", "left").groupBy("node").agg(F.collect_list(F.struct("item", F.coalesce("df", F.lit(1)).alias("df"))).alias("items"))
+    ranked = stage(ranked.select("node", "items.item", "items.df"), "ranked")
+    hub = ranked.select(F.col("node").alias("hub"), F.col("item").alias("hub_item"), F.col("df").alias("hub_df"))
+    both = live.join(ranked, "node").join(hub, "hub")
+    schema = pa.schema([(n, pa.int64()) for n in ("hub", "node", "comp", "n", "d", "item", "place")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            get = lambda name, i: np.asarray(batch.column(name)[i].values)
+            out = [[] for _ in schema]
+            for i in range(len(batch)):
+                x, h = get("item", i), get("hub_item", i)
+                new, gone = ~np.isin(x, h), ~np.isin(h, x)
+                order = np.concatenate((get("df", i)[new], -get("hub_df", i)[gone]))
+                side = np.repeat([0, 1], [new.sum(), gone.sum()])
+                item = np.concatenate((x[new], h[gone]))
+                first = np.lexsort((item, order, side))[: (100 - percent) * len(x) // percent + 1]
+                shown = np.flatnonzero(order[first] != 1)  # a shingle of one text alone meets nothing
+                same = [batch.column(c)[i].as_py() for c in ("hub", "node", "comp")] + [len(x), len(item)]
+                for column, value in zip(out, same):
+                    column.append(np.full(len(shown), value))
+                out[5].append(item[first[shown]])
+                out[6].append(shown)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], schema=schema)
+
+    rows = stage(map_arrow(both, run, "hub long, node long, comp long, n long, d long, item long, place long"), "differences")
+    other = rows.select("hub", "item", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("place").alias("pb"))
+    plus, minus = 100 + percent, 100 - percent
+    enough = 2 * plus * F.least(F.col("d") - F.col("place"), F.col("db") - F.col("pb")) >= plus * (F.col("d") + F.col("db")) - minus * (F.col("n") + F.col("nb"))
+    sized = 100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")
+    # the conditions stand in the join: what fails them is never a row
+    alike = rows.join(other, [rows.hub == other.hub, rows.item == other.item, F.col("node") < F.col("b"), F.col("comp") != F.col("cb"), enough, sized])
+    return alike.select(F.col("node").alias("a"), "b").distinct()
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
