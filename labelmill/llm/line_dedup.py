@@ -12,6 +12,8 @@ different chunks remove nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,16 +35,22 @@ def chunk_bounds(text: Column) -> Column:
     """array<struct<first, last>>: the lines of each chunk, counted from 0."""
     hashes = F.transform(F.split(text, "\n"), line_hash)
 
-    def chunks(h: Column) -> Column:
+    def ends(h: Column) -> Column:
         last = F.size(h) - 1
-        ends = F.filter(
+        return F.filter(
             F.sequence(F.lit(0), last),
             lambda i: (i == last) | ((i > 0) & (F.pmod(F.get(h, i - 1) * FACTOR + F.get(h, i), F.lit(MODULUS)) == 0)),
         )
-        return F.transform(ends, lambda e, k: F.struct(F.when(k == 0, F.lit(0)).otherwise(F.get(ends, k - 1) + 1).alias("first"), e.alias("last")))
 
-    # computed once, then used by name
-    return F.get(F.transform(F.array(hashes), chunks), F.lit(0))
+    def chunks(e: Column) -> Column:
+        return F.transform(e, lambda x, k: F.struct((F.coalesce(F.get(e, k - 1), F.lit(-1)) + 1).alias("first"), x.alias("last")))
+
+    return named(named(hashes, ends), chunks)
+
+
+def named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def chunk_text(lines: Column, chunk: Column) -> Column:
@@ -90,7 +98,13 @@ def drop_repeated_chunks(docs: DataFrame, details: bool = False) -> DataFrame:
     gone = repeated_chunks(docs).select(F.col("doc_id").alias("lm_id"), F.col("rk").alias("lm_rk"), F.col("removed").alias("lm_removed"))
     out = own.join(gone, (F.col("lm_key") == F.col("lm_rk")) & doc_id.eqNullSafe(F.col("lm_id")), "left")
     removed = F.col("lm_removed")
-    left = F.filter(F.split(text, "\n"), lambda line, i: ~F.exists(removed, lambda r: (i >= r["first"]) & (i <= r["last"])))
+
+    def remaining(lines: Column) -> Column:
+        edges = F.concat(F.transform(removed, lambda r: r["first"]), F.array(F.size(lines)))
+        after = lambda i: F.coalesce(F.get(removed, i - 1)["last"] + 1, F.lit(0))
+        return F.flatten(F.transform(edges, lambda e, i: F.slice(lines, after(i) + 1, e - after(i))))
+
+    left = named(F.split(text, "\n"), remaining)
     new = {place(names, "text"): F.when(removed.isNull(), text).otherwise(F.array_join(left, "\n"))}
     if "n_chars" in names:
         n = F.col(place(names, "n_chars"))

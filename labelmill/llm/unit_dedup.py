@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import KeyFilter, map_rows, row_key, texts
+from labelmill.llm.common import KeyFilter, map_arrow, map_rows, pieces, row_key, texts
 from labelmill.storage import stage
 
 #: Units with fewer words stay: short ones repeat by chance.
@@ -74,7 +74,17 @@ def drop_repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MI
     own = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("own", row_key(F.col("text"), F.col("doc_id")))
     found = found.select(F.col("doc_id").alias("id"), "rk", "n_units", "removed")
     both = own.join(found, (own.own == found.rk) & own.doc_id.eqNullSafe(found.id))
-    edges = F.concat(F.transform("removed", lambda r: r["start"]), F.array(F.length("text").cast("long")))
-    kept = F.transform(edges, lambda e, i: F.substr(F.col("text"), F.coalesce(F.get(F.col("removed"), i - 1)["end"], F.lit(0)) + 1, e - F.coalesce(F.get(F.col("removed"), i - 1)["end"], F.lit(0))))
-    text = F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(kept, ""))
-    return both.select("doc_id", "n_units", "removed", text.alias("text"))
+    spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    schema = pa.schema([("doc_id", pa.int64()), ("n_units", pa.int64()), ("removed", spans), ("text", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in pieces(batch.column("text")):
+                part, left = batch.slice(a, b - a), []
+                for text, gone in zip(part.column("text").to_pylist(), part.column("removed").to_pylist()):
+                    edges = [0, *(x for r in gone for x in (r["start"], r["end"])), len(text)]
+                    left.append("".join(text[x:y] for x, y in zip(edges[::2], edges[1::2])))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "n_units", "removed")), pa.array(left, pa.string())], schema=schema)
+
+    kinds = "doc_id long, n_units long, removed array<struct<start:long,end:long>>, text string"
+    return map_arrow(both.select("doc_id", "n_units", "removed", "text"), run, kinds)
