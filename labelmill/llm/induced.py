@@ -26,7 +26,7 @@ class Files:
 
     def array(self, n: int, kind: type) -> np.ndarray:
         self.n += 1
-        return np.memmap(self.folder / f"{self.n}.bin", kind, "w+", shape=(max(n, 1),))[:n]
+        return np.memmap(self.folder / f"{self.n}.bin", kind, "w+", shape=(max(n, 1),)).view(np.ndarray)[:n]
 
 
 def blocks(n: int, size: int = BLOCK) -> Iterator[slice]:
@@ -60,12 +60,18 @@ def _heads(text: np.ndarray, symbols: int) -> np.ndarray:
 
 def _ranks_within(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each push how many earlier ones have its symbol; the symbols and their numbers."""
-    order = np.argsort(symbols, kind="stable")
+    n = len(symbols)
+    order = symbols.argsort(kind="stable")
     ranked = symbols[order]
-    first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    sizes = np.diff(np.append(first, len(ranked)))
-    within = np.empty(len(symbols), np.int64)
-    within[order] = np.arange(len(symbols)) - np.repeat(first, sizes)
+    new = np.empty(n, bool)
+    new[:1] = True
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    first = new.nonzero()[0]
+    sizes = np.empty(len(first), np.int64)
+    np.subtract(first[1:], first[:-1], out=sizes[:-1])
+    sizes[-1:] = n - first[-1:]
+    within = np.empty(n, np.int64)
+    within[order] = np.arange(n) - first.repeat(sizes)
     return within, ranked[first], sizes
 
 
@@ -75,25 +81,25 @@ def _pass(queue: np.ndarray, text: np.ndarray, small: np.ndarray, free: np.ndarr
     while done < n:
         size = min(size, n - done)
         block = queue[done : done + size] if forward else queue[n - done - size : n - done][::-1]
-        place = np.flatnonzero(block > 0)
+        place = (block > 0).nonzero()[0]
         before = block[place].astype(np.int64) - 1
         push = small[before] != forward
         place, before = place[push], before[push]
         taken = size
         if len(before):
             symbols = text[before]
-            within, kinds, sizes = _ranks_within(symbols)
-            goal = free[symbols] + within if forward else free[symbols] - 1 - within
-            ahead = int(goal.min()) - done if forward else n - 1 - int(goal.max()) - done
+            goal = free[symbols]
+            # the first push of a symbol goes to its first free place: nothing comes nearer
+            ahead = int(goal.min()) - done if forward else n - int(goal.max()) - done
             if ahead < size:
                 taken = ahead
-                some = int(np.searchsorted(place, taken))
-                before, goal, symbols = before[:some], goal[:some], symbols[:some]
-                kinds, sizes = np.unique(symbols, return_counts=True)
-            queue[goal] = before
+                some = int(place.searchsorted(taken))
+                before, symbols, goal = before[:some], symbols[:some], goal[:some]
+            within, kinds, sizes = _ranks_within(symbols)
+            queue[goal + within if forward else goal - 1 - within] = before
             free[kinds] += sizes if forward else -sizes
         done += taken
-        size = min(BLOCK, max(256, 2 * taken))
+        size = min(BLOCK, max(256, 3 * taken // 2))
 
 
 def _induce(queue: np.ndarray, text: np.ndarray, small: np.ndarray, heads: np.ndarray, seeds: np.ndarray) -> None:
@@ -149,7 +155,7 @@ def suffix_order(text: np.ndarray, symbols: int, files: Files) -> np.ndarray:
     if name == m:
         order = sorted_ones
     else:
-        reduced = files.array(m, place)
+        reduced = files.array(m, np.uint16 if name <= 1 << 16 else place)
         for b in blocks(m):
             reduced[b] = rank[sampled[b].astype(np.int64) // 2] - 1
         inner = suffix_order(reduced, name, files)
@@ -187,7 +193,7 @@ def repeats(text: np.ndarray, order: np.ndarray, starts: np.ndarray, length: int
     Neighbours are compared eight bytes at a time while they agree.
     """
     width = 8 if length >= 8 else 1
-    words = np.ndarray((len(text) - width + 1,), "<u8" if width == 8 else np.uint8, np.ascontiguousarray(text) if not isinstance(text, np.memmap) else text, strides=(1,))
+    words = np.ndarray((len(text) - width + 1,), "<u8" if width == 8 else np.uint8, np.ascontiguousarray(text), strides=(1,))
     found = []
     steps = [*range(0, length - width + 1, width)]
     if steps[-1] != length - width:
