@@ -160,6 +160,17 @@ def filter_rows(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray], text: s
     return narrow(kept, names)
 
 
+def joined(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping or touching runs as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(runs):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
 def pieces(column: pa.Array, size: int = PIECE_BYTES) -> list[tuple[int, int]]:
     """Row ranges of about ``size`` text bytes each; a longer text stands alone."""
     _, offsets = buffers(column)

@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import buffers, filter_rows, map_arrow, narrow, pieces, place, row_key, texts, wide
+from labelmill.llm.common import buffers, filter_rows, joined, map_arrow, narrow, pieces, place, row_key, texts, wide
 from labelmill.llm.words import NOT_ALNUM, U, mix, randoms, word_hashes
 from labelmill.storage import stage
 
@@ -78,7 +78,7 @@ class Windows:
             if owners:
                 sure.append((a, b))
                 items |= owners
-        return merged(sure), sorted(x for x in items if x is not None)
+        return joined(sure), sorted(x for x in items if x is not None)
 
 
 def rolling(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -90,16 +90,6 @@ def rolling(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
-def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(ranges):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
-        else:
-            out.append((a, b))
-    return out
-
-
 def benchmark_blocks(benchmark: DataFrame, n: int) -> Iterable[Broadcast]:
     """Broadcasts of windows, each of items with at most BLOCK_CHARS characters (or one longer item)."""
     spark = benchmark.sparkSession

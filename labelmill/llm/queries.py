@@ -37,7 +37,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = drop_repeated_units(read(spark, sf_dir, "documents"), unit="sentence")
+    found = drop_repeated_units(read(spark, sf_dir, "documents"), unit="passage")
     spans = F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"])), ",")
     return found.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), spans.alias("removed"), "text")
 

@@ -1,4 +1,4 @@
-"""Substring dedup by unit digests: lines, paragraphs or sentences of lines.
+"""Substring dedup by unit digests: lines, paragraphs, sentences of lines, or lines with their sentences.
 
 Units are normalised (lower case, runs of anything but letters and digits become one
 blank) and hashed; digests are grouped over all documents. The earliest occurrence,
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import KeyFilter, map_arrow, map_rows, pieces, row_key, texts
+from labelmill.llm.common import KeyFilter, joined, map_arrow, map_rows, pieces, row_key, texts
 from labelmill.storage import stage
 
 #: Units with fewer words stay: short ones repeat by chance.
@@ -30,7 +30,15 @@ _other = re.compile(r"[\W_]+")
 
 
 def units(text: str, unit: str, min_words: int) -> Iterable[tuple[int, int, bytes]]:
-    """(start, end, digest) of each unit with enough words; offsets in code points."""
+    """(start, end, digest) of each unit with enough words; offsets in code points.
+
+    ``passage`` gives lines and, within them, sentences: a repeated line goes as a
+    whole, of another line the repeated sentences.
+    """
+    if unit == "passage":
+        found = {(a, b): d for kind in ("sentence", "line") for a, b, d in units(text, kind, min_words)}
+        yield from ((a, b, found[a, b]) for a, b in sorted(found))
+        return
     for m in SPLITS[unit].finditer(text):
         plain = _other.sub(" ", m.group().lower()).strip()
         if plain.count(" ") + 1 >= min_words and plain:
@@ -69,7 +77,7 @@ def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WOR
 
 
 def drop_repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, n_units, removed (offsets in the original text) and the remaining text of every row."""
+    """doc_id, n_units, removed (maximal runs, offsets in the original) and the remaining text of every row."""
     found = repeated_units(docs, unit, min_words).distinct()
     own = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("own", row_key(F.col("text"), F.col("doc_id")))
     found = found.select(F.col("doc_id").alias("id"), "rk", "n_units", "removed")
@@ -80,11 +88,13 @@ def drop_repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MI
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in pieces(batch.column("text")):
-                part, left = batch.slice(a, b - a), []
-                for text, gone in zip(part.column("text").to_pylist(), part.column("removed").to_pylist()):
-                    edges = [0, *(x for r in gone for x in (r["start"], r["end"])), len(text)]
+                part, left, shown = batch.slice(a, b - a), [], []
+                for text, runs in zip(part.column("text").to_pylist(), part.column("removed").to_pylist()):
+                    gone = joined([(r["start"], r["end"]) for r in runs])
+                    edges = [0, *(x for r in gone for x in r), len(text)]
                     left.append("".join(text[x:y] for x, y in zip(edges[::2], edges[1::2])))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "n_units", "removed")), pa.array(left, pa.string())], schema=schema)
+                    shown.append([{"start": x, "end": y} for x, y in gone])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_units"), pa.array(shown, spans), pa.array(left, pa.string())], schema=schema)
 
     kinds = "doc_id long, n_units long, removed array<struct<start:long,end:long>>, text string"
     return map_arrow(both.select("doc_id", "n_units", "removed", "text"), run, kinds)

@@ -10,7 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from labelmill.llm import induced
-from labelmill.llm.suffix_dedup import drop_repeats, joined, least
+from labelmill.llm.common import joined
+from labelmill.llm.suffix_dedup import drop_repeats, least
 
 
 @settings(max_examples=150, deadline=None)

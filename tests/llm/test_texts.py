@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelmill.llm import decontaminate as d
+from labelmill.llm.common import joined
 from labelmill.llm.html_text import page_text, visible_text
 from labelmill.llm.line_dedup import drop_repeated_chunks
 from labelmill.llm.oracles import ORACLES
@@ -29,14 +30,14 @@ def brute_units(rows, unit, min_words):
             seen.add(digest)
         gone[doc_id, text] = spans
     for doc_id, text in rows:
-        spans, kept, last = gone[doc_id, text], "", 0
+        spans, kept, last = joined(gone[doc_id, text]), "", 0
         for a, b in spans:
             kept, last = kept + (text or "")[last:a], b
         out.append((doc_id, spans, kept + (text or "")[last:]))
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("unit", ["line", "paragraph", "sentence"])
+@pytest.mark.parametrize("unit", ["line", "paragraph", "sentence", "passage"])
 def test_units_equal_brute_force(spark, sf_dir, unit):
     docs = spark.read.parquet(f"{sf_dir}/../sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
