@@ -26,10 +26,12 @@ def plan(df):
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - MODELS))
-def test_no_python_no_cartesian_no_global_window(spark, sf_dir, name):
+def test_no_python_no_cartesian_no_global_window_no_long_limit(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     assert not re.search(r"EvalPython|MapInPandas|FlatMapGroupsInPandas", text)
     assert "CartesianProduct" not in text
+    limits = re.findall(r"(?:TakeOrderedAndProject|CollectLimit)\D*?limit=(\d+)", text)
+    assert all(int(n) <= 1000 for n in limits)
     lines = text.splitlines()
     for above, below, further in zip(lines, lines[1:], lines[2:]):
         if re.search(r"\bWindow \[", above) and name not in BOUNDED_WINDOW:
@@ -87,9 +89,3 @@ def test_first_rows_are_filters(spark, sf_dir):
     for name in ("head_rows", "sample_k", "query_pool_entropy"):
         text = plan(QUERIES[name](spark, sf_dir))
         assert "TakeOrdered" not in text and "Sort" not in text.replace("SortMergeJoin", ""), name
-
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODELS))
-def test_sorted_limits_are_short(spark, sf_dir, name):
-    limits = re.findall(r"(?:TakeOrderedAndProject|CollectLimit)\D*?limit=(\d+)", plan(QUERIES[name](spark, sf_dir)))
-    assert all(int(n) <= 1000 for n in limits)
