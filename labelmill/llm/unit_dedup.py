@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from labelmill.llm.common import KeyFilter, joined, map_arrow, map_rows, pieces, row_key, texts
 from labelmill.storage import stage
 
-#: Units with fewer words stay: short ones repeat by chance.
+#: Units with fewer words stay where they stand alone: short ones repeat by chance.
 MIN_WORDS = 8
 SPLITS = {
     "line": re.compile(r"[^\n]+"),
@@ -27,22 +27,80 @@ SPLITS = {
     "sentence": re.compile(r"[^\s](?:[^\n.!?]|[.!?](?!\s))*[.!?]?"),
 }
 _other = re.compile(r"[\W_]+")
+#: Scripts without blanks between words (Thai to Khmer, kana, Han); two of their characters count as a word.
+_dense = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def normal(text: str) -> tuple[str, int]:
+    """The normalised text and its number of words."""
+    plain = _other.sub(" ", text.lower()).strip()
+    n = plain.count(" ") + 1 if plain else 0
+    return plain, n if plain.isascii() else max(n, len(_dense.findall(plain)) // 2)
+
+
+def digest(plain: str) -> bytes:
+    return hashlib.md5(plain.encode("utf-8", "replace")).digest()
 
 
 def units(text: str, unit: str, min_words: int) -> Iterable[tuple[int, int, bytes]]:
     """(start, end, digest) of each unit with enough words; offsets in code points.
 
     ``passage`` gives lines and, within them, sentences: a repeated line goes as a
-    whole, of another line the repeated sentences.
+    whole, of another line the repeated sentences. What is too short by itself is
+    covered by runs (``short_runs``).
     """
     if unit == "passage":
         found = {(a, b): d for kind in ("sentence", "line") for a, b, d in units(text, kind, min_words)}
-        yield from ((a, b, found[a, b]) for a, b in sorted(found))
+        found |= {(a, b): d for a, b, d in short_runs(text, min_words)}
+        first: dict[bytes, int] = {}
+        for a, b in sorted(found, key=lambda x: (x[0], -x[1])):
+            d = found[a, b]
+            # what overlaps the first unit of the same words is no further occurrence
+            if d not in first or a >= first[d]:
+                yield a, b, d
+            first.setdefault(d, b)
         return
     for m in SPLITS[unit].finditer(text):
-        plain = _other.sub(" ", m.group().lower()).strip()
-        if plain.count(" ") + 1 >= min_words and plain:
-            yield m.start(), m.end(), hashlib.md5(plain.encode("utf-8", "replace")).digest()
+        plain, n = normal(m.group())
+        if n >= min_words and plain:
+            yield m.start(), m.end(), digest(plain)
+
+
+def short_runs(text: str, min_words: int) -> Iterable[tuple[int, int, bytes]]:
+    """(start, end, digest) of the shortest runs of sentences with enough words that start or end at a shorter one.
+
+    Every sentence of a repeated passage with enough words lies in such a run inside
+    the passage: with enough words up to it, in the run that ends there, else in the
+    one that starts with the passage. A text with fewer words is one unit, equal
+    only to whole texts.
+    """
+    parts = [(m.start(), m.end(), *normal(m.group())) for m in SPLITS["sentence"].finditer(text)]
+    parts = [x for x in parts if x[3]]
+    if not parts:
+        return
+    if sum(x[3] for x in parts) < min_words:
+        yield parts[0][0], parts[-1][1], digest(" ".join(x[2] for x in parts))
+        return
+    runs, low, high, words = set(), 0, 0, 0
+    for low, part in enumerate(parts):  # parts[low:high] is the shortest run from low on
+        while words < min_words and high < len(parts):
+            words += parts[high][3]
+            high += 1
+        if words < min_words:
+            break
+        if part[3] < min_words:
+            runs.add((low, high))
+        words -= part[3]
+    low = words = 0
+    for high, part in enumerate(parts, 1):  # and the shortest one that ends before high
+        words += part[3]
+        while words - parts[low][3] >= min_words:
+            words -= parts[low][3]
+            low += 1
+        if words >= min_words and part[3] < min_words:
+            runs.add((low, high))
+    for low, high in runs:
+        yield parts[low][0], parts[high - 1][1], digest(" ".join(x[2] for x in parts[low:high]))
 
 
 def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
@@ -64,12 +122,13 @@ def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WOR
     kinds = "doc_id long, rk long, units array<struct<start:long,end:long,hi:long,lo:long>>"
     found = map_rows(keyed, lambda k, t: rows([(x["doc_id"], x["rk"]) for x in k], t), kinds, ["doc_id", "rk", "units"], [pa.int64(), pa.int64(), pa.list_(item)])
     found = stage(found, "units")
-    every = found.select("doc_id", "rk", F.explode("units").alias("u")).select("doc_id", "rk", "u.*").distinct()
+    every = found.select("doc_id", "rk", F.explode("units").alias("u")).select("doc_id", "rk", "u.*")
+    again = stage(every.groupBy("hi").count().where("count > 1").select("hi"), "again")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "rk", "start")
-    first = every.groupBy("hi", "lo").agg(F.min(order).alias("keep"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = KeyFilter(again, "hi").rows(every, "hi").groupBy("hi", "lo").agg(F.min(order).alias("keep"), F.count("*").alias("n")).where("n > 1").drop("n")
     first = stage(first, "first")
     gone = KeyFilter(first, "hi", "lo").rows(every, "hi", "lo").join(first, ["hi", "lo"]).where(~order.eqNullSafe(F.col("keep")))
-    gone = gone.groupBy("doc_id", "rk").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
+    gone = gone.groupBy("doc_id", "rk").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed"))
     gone = gone.select(F.col("doc_id").alias("id"), F.col("rk").alias("key"), "removed")
     out = found.select("doc_id", "rk", F.size("units").cast("long").alias("n_units"))
     out = out.join(gone, (out.rk == gone.key) & out.doc_id.eqNullSafe(gone.id), "left")

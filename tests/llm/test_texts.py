@@ -59,6 +59,24 @@ def test_units_of_odd_rows(odd, odd_rows, nothing):
     assert drop_repeated_units(nothing).count() == 0
 
 
+def test_passages_of_short_lines_go_with_the_production_setting(spark):
+    verse = "\n".join(f"  line {i} of a song" if i % 3 else f"ho {i}" for i in range(12))
+    chinese = "这是一个没有空格的句子它在两个文件里都出现过"
+    rows = [
+        (1, f"Own words one.\n{verse}\nA first end."), (2, f"Other start here\nand more\n{verse}\nno\nsecond end"),
+        (3, "Short copy"), (4, "short copy!"), (5, f"甲乙\n{chinese}\n丙丁"), (6, f"x\n{chinese}\ny"),
+        (7, "    an indented line with more than eight words stays here"), (8, "Yes. No. One two. Three four five. Go on."), (9, "Well then: so. Yes. No. One two. Three four five. Go on. Not this"),
+        (10, "\n".join(["la la la la"] * 5)),
+    ]
+    got = {r.doc_id: r.text for r in drop_repeated_units(spark.createDataFrame(rows, "doc_id long, text string"), "passage").collect()}
+    first = {1, 3, 5, 7, 8}
+    assert all(got[i] == t for i, t in rows if i in first)
+    assert got[2].split() == "Other start here and more no second end".split()
+    assert got[4] == "" and got[6].split() == ["x", "y"]
+    assert got[9].split() == "Well then: so. Not this".split()
+    assert got[10].split("\n")[:2] == ["la la la la"] * 2 and not got[10].split("\n", 2)[2].strip()
+
+
 # line dedup ------------------------------------------------------------------
 def test_shared_lines_are_found_after_a_shift(spark):
     shared = [f"shared line number {i} with some words" for i in range(30)]
