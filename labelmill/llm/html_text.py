@@ -23,13 +23,17 @@ from labelmill.llm.common import map_rows, texts
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|--!>|\Z)|<![^>]*>?|<\?[^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?|[^<]+|<",
+    # a quote opens a value only after the = of a name, elsewhere it is an ordinary character
+    r"|<([a-zA-Z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?)?)*+)>?|[^<]+|<",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s>\"'][^\s>]*+))?)?")
 HIDING = re.compile(r"(?i)(?:^|;)\s*(display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)")
 SHOWING = re.compile(r"(?i)(?:^|;)\s*visibility\s*:\s*visible\s*(?:;|$)")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+VISIBILITY = re.compile(r"(?i)(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)([^;]*)")
+#: Of media queries only these hold on every screen.
+ALWAYS = re.compile(r"(?i)\s*@(?:media\s*(?:(?:only\s+)?(?:all|screen))?|layer\b[^,]*)\s*\Z")
+CSS_PART = re.compile(r"""((?:[^{};"']|"(?:[^"\\\n]|\\.)*+"?|'(?:[^'\\\n]|\\.)*+'?)*+)([{};]|\Z)""", re.S)
 SIMPLE = re.compile(r"(?:[a-zA-Z][a-zA-Z0-9]*|[.#][\w-]+)\Z")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -38,7 +42,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
 NOT_SHOWN = frozenset(
     "area audio base canvas datalist embed head iframe link meta noembed noframes noscript object param rp script "
-    "source style svg math template title track video".split()
+    "source style template title track video".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -47,6 +51,8 @@ BLOCKS = frozenset(
 )
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul".split())
 CLOSES_P = BLOCKS - frozenset("body html caption tbody thead tfoot tr td th option optgroup legend".split())
+#: In drawings and formulas these hold what is not shown in place.
+NOT_DRAWN = frozenset("desc metadata defs symbol clippath mask pattern marker annotation annotation-xml".split())
 #: Opening the key closes the open elements named, up to the nearest of the limits.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -75,6 +81,7 @@ class Element:
     context: Context | None = None
     count: int = 0
     step: int = 1
+    foreign: str = ""
 
 
 @dataclass
@@ -147,13 +154,46 @@ class Context:
         return self.lines
 
 
-def rules(css: str) -> set[str]:
-    """Simple selectors (a tag, a class, an id) that a style sheet does not display."""
-    out = set()
-    for selectors, body in RULE.findall(re.sub(r"/\*.*?(\*/|\Z)", "", css, flags=re.S)):
-        if HIDING.search(body):
-            out |= {s for s in map(str.strip, selectors.split(",")) if SIMPLE.match(s)}
-    return out
+def rules(css: str, so_far: dict[tuple[str, str], tuple[bool, bool]] | None = None) -> set[str]:
+    """Simple selectors (a tag, a class, an id) that a style sheet does not display.
+
+    A later rule for a selector replaces an earlier one unless only that is important;
+    ``so_far`` keeps both over several sheets. Rules under a condition (print, widths,
+    features) do not count.
+    """
+    last = {} if so_far is None else so_far
+    css = re.sub(r"/\*.*?(\*/|\Z)|<!--|-->", "", css, flags=re.S)
+    blocks: list[tuple[str, bool]] = []  # open ones: selectors (empty for at-rules) and whether they count
+    body = ""
+
+    def declared() -> None:
+        selectors, counts = blocks[-1]
+        if not counts:
+            return
+        for kind, value, rest in VISIBILITY.findall(body):
+            hides = value.lower() == "none" if kind.lower() == "display" else value.lower() in ("hidden", "collapse")
+            important = "!important" in rest.replace(" ", "").lower()
+            for one in filter(SIMPLE.match, map(str.strip, selectors.split(","))):
+                at = (one, kind.lower())
+                if important or not last.get(at, (False, False))[1]:
+                    last[at] = hides, important
+
+    pos = 0
+    while pos < len(css):
+        m = CSS_PART.match(css, pos)
+        pos = max(m.end(), pos + 1)
+        if m[2] == "{":
+            head = m[1].strip()
+            within = not blocks or blocks[-1][1] and not blocks[-1][0]
+            blocks.append(("", within and bool(ALWAYS.match(head))) if head.startswith("@") else (head, within))
+            body = ""
+        elif blocks:
+            body += m[1] + ";"
+            if m[2] != ";":  # a block that is left open ends with the sheet
+                declared()
+                blocks.pop()
+                body = ""
+    return {one for (one, _), (hides, _) in last.items() if hides}
 
 
 class Renderer:
@@ -162,6 +202,7 @@ class Renderer:
         self.open: list[Element] = []
         self.contexts = [self.page]
         self.hidden: set[str] = set()
+        self.sheets: dict[tuple[str, str], tuple[bool, bool]] = {}
 
     # what is open -----------------------------------------------------------
     def _hides(self, name: str, attrs: dict[str, str]) -> bool:
@@ -186,6 +227,16 @@ class Renderer:
             if above.name == "details" and "open" not in above.attrs and name != "summary":
                 e.shown = False
         e.shown = e.shown and not self._hides(name, attrs)
+        if above is not None:
+            e.foreign = "" if name == "foreignobject" else above.foreign
+        if name in ("svg", "math"):
+            e.foreign = name
+        elif e.foreign and name in NOT_DRAWN:
+            e.shown = False
+        elif name == "text" and e.foreign == "svg":
+            e.foreign = "svg text"
+            if e.shown:
+                self.contexts[-1].text(" ", False)
         style = attrs.get("style", "")
         if HIDING.search(style):
             e.seen = False
@@ -271,6 +322,8 @@ class Renderer:
 
     def text(self, data: str) -> None:
         above = self.open[-1] if self.open else None
+        if above is not None and above.foreign == "svg":  # a drawing shows its text elements only
+            return
         if above is None or above.shown and above.seen and not (above.name == "details" and "open" not in above.attrs):
             self.contexts[-1].text(data, above is not None and above.pre)
 
@@ -333,13 +386,14 @@ def visible_text(html: str) -> str:
             for a in ATTRIBUTE.finditer(found):
                 attrs.setdefault(a[1].lower(), unescape(next((v for v in a.groups()[1:] if v is not None), "")))
             _open(view, name, attrs)
-            if name in VOID:
+            if name in VOID or found.endswith("/") and view.open and view.open[-1].foreign:
                 view.end()
             elif name in RAW:
                 stop = re.compile(rf"</{name}(?=[\s/>])", re.I).search(html, pos) if name != "plaintext" else None
                 body = html[pos : stop.start() if stop else end]
                 if name == "style":
-                    view.hidden |= rules(body)
+                    if ALWAYS.match("@media " + attrs.get("media", "")):
+                        view.hidden = rules(body, view.sheets)
                 elif name in ("textarea", "title"):
                     view.text(unescape(body))
                 elif name in ("xmp", "plaintext"):

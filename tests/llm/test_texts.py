@@ -219,6 +219,24 @@ def test_layout(html, text):
     assert visible_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<table><tr><td width=\"10\"\">Visible text</td></table><p>rest of page", "Visible text\n\nrest of page"),
+        ("<a href=/it's>link</a><p>rest", "link\n\nrest"),
+        ("<a it's>link</a> <b x=a=\"b>c</b> <i =\"d>e</i>", "link c e"),
+        ("<p title = 'a > b' alt=\">\">x", "x"),
+        ("<i style=\"display:none\"class='x'>no</i>yes", "yes"),
+        ("<style>@media print { .p { display:none } } @media (max-width: 9px) { .p, b { display:none } } .h{display:none}</style><i class=p>yes</i><b>b</b><i class=h>no</i>", "yesb"),
+        ("<style>@media screen { .p { color: red; display:none } } @import 'x;y{'; .q{content:'}'; display: none}</style><i class=p>no</i><i class=q>no</i>yes", "yes"),
+        ("<style media=print>.p{display:none}</style><style>.a{display:none} .i{display:none!important}</style><style>.a,.i{display:block}</style><i class=p>p</i><i class=a>a</i><i class=i>no</i>", "pa"),
+        ("x <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> <svg><title>no</title><desc>no</desc><path/><g>no<text>yes</text></g></svg> z", "x a=2 yes z"),
+    ],
+)
+def test_malformed_tags_and_style_sheets(html, text):
+    assert visible_text(html) == text
+
+
 def test_deep_and_odd_pages(spark):
     assert visible_text("<div>" * 50_000 + "x") == "x"
     assert visible_text("<ul><li>" * 300 + "x").strip().endswith("x")
