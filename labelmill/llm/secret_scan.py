@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -41,8 +42,17 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED = re.compile(r"[A-Za-z0-9+/]{32,}(?:\r?\n[A-Za-z0-9+/]{4,})+={0,2}")
 ASCII_RUN = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
 URL_SAFE = str.maketrans("-_", "+/")
-#: A compressed layer is unpacked up to so many bytes; one that goes on is counted in n_cut.
+#: Binary content may hold ASCII text two bytes a character.
+WIDE = re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){11,}[\t\n\r\x20-\x7e]")
+HEADS = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]|BZh|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: Compressed bytes are fed in pieces so small that no piece gives much at once.
+FEED = 1024
+#: Unpacked bytes are scanned in blocks of about so many, cut after a byte that no finding and no encoding goes across.
+BLOCK = 4 << 20
+JOINING = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-\"': %\\&#;{}~!()*\r\n\x00"
+#: A block without such a byte grows up to so many bytes; what goes on is scanned in the next, with an overlap, and counted in n_cut.
 MAX_LAYER = 64 << 20
+OVERLAP = 1 << 20
 
 
 @dataclass
@@ -75,34 +85,95 @@ def matches(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def unpack(raw: bytes) -> tuple[bytes, bool] | None:
-    """The content of compressed bytes by their first ones, and whether it was cut; None if they are not compressed."""
-    try:
-        if raw[:2] == b"\x1f\x8b":
-            return _limited(zlib.decompressobj(31), raw)
-        if raw[:1] == b"\x78" and raw[1:2] in (b"\x01", b"\x5e", b"\x9c", b"\xda"):
-            return _limited(zlib.decompressobj(), raw)
-        if raw[:3] == b"BZh":
-            return _limited(bz2.BZ2Decompressor(), raw)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return _limited(lzma.LZMADecompressor(), raw)
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-
-            with zstandard.ZstdDecompressor().stream_reader(raw) as reader:
-                out = reader.read(MAX_LAYER + 1)
-            return out[:MAX_LAYER], len(out) > MAX_LAYER
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
-    except Exception as e:  # zstandard's own error has no public base
-        if type(e).__name__ != "ZstdError":
-            raise
+@dataclass
+class Packed:
+    """Bytes that may hold compressed ones; all stand for start…end. ``seen`` tells those they came out of."""
+
+    raw: bytes
+    start: int
+    end: int
+    seen: frozenset = frozenset()
+    more: bool = False  # the content goes on in another block
+
+
+def engine(head: bytes):
+    """A new decompressor by the first bytes; None if they are not compressed."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and head[1:2] in (b"\x01", b"\x5e", b"\x9c", b"\xda"):
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        import zstandard
+
+        return zstandard.ZstdDecompressor().decompressobj()
     return None
 
 
-def _limited(engine, raw: bytes) -> tuple[bytes, bool]:
-    out = engine.decompress(raw, MAX_LAYER + 1)
-    return out[:MAX_LAYER], len(out) > MAX_LAYER
+def fed(raw: bytes, at: int = 0) -> Iterator[bytes]:
+    return (raw[i : i + FEED] for i in range(at, len(raw), FEED))
+
+
+def content(source: Iterator[bytes], state: dict) -> Iterator[bytes]:
+    """What compressed members hold, one after another; bytes behind the last follow after a NUL.
+
+    ``state`` gets "broken" if a member has an error and "short" if one does not end.
+    """
+    held = b""
+    while True:
+        while len(held) < 6 and (more := next(source, b"")):
+            held += more
+        tool = engine(held)
+        if tool is None:
+            break
+        try:
+            while not tool.eof:
+                held = held or next(source, b"")
+                if not held:
+                    state["short"] = True
+                    return
+                out, held = tool.decompress(held), b""
+                if out:
+                    yield out
+            held = tool.unused_data
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            state["broken"] = True
+            return
+        except Exception as e:  # zstandard's own error has no public base
+            if type(e).__name__ != "ZstdError":
+                raise
+            state["broken"] = True
+            return
+        while not (held := held.lstrip(b"\x00")) and (held := next(source, b"")):
+            pass
+    if held:
+        yield b"\x00" + held
+        yield from source
+
+
+def blocks(parts: Iterator[bytes]) -> Iterator[tuple[bytes, bool]]:
+    """The bytes in blocks, and whether a block had to end inside what may belong together."""
+    held, ask = bytearray(), BLOCK
+    for part in parts:
+        held += part
+        if len(held) < ask:
+            continue
+        at = len(held.rstrip(JOINING))
+        if at:
+            yield bytes(held[:at]), False
+            del held[:at]
+            ask = len(held) + BLOCK
+        elif len(held) >= MAX_LAYER:
+            yield bytes(held), True
+            del held[:-OVERLAP]
+            ask = BLOCK
+        else:
+            ask = 2 * len(held)
+    if held:
+        yield bytes(held), False
 
 
 def readable(raw: bytes) -> str | None:
@@ -114,47 +185,109 @@ def readable(raw: bytes) -> str | None:
     return text if text and not any(c < " " and c not in "\t\n\r\f\v" for c in text) else None
 
 
-def worth_reading(raw: bytes) -> list[tuple[int, int]]:
-    """Parts of decoded base64: all of it if it is a text or compressed, else from a gzip head on, or long ASCII runs.
+def flat(text: str, start: int, end: int) -> Layer:
+    """A layer all of whose characters stand for start…end."""
+    return Layer(text, np.broadcast_to(np.int64(start), len(text)), np.broadcast_to(np.int64(end), len(text)))
 
-    Characters before an encoded run may belong to base64 as well; they decode to noise.
-    """
-    if unpack(raw) is not None or readable(raw) is not None:
-        return [(0, len(raw))]
-    out = [m.span() for m in ASCII_RUN.finditer(raw)]
-    at = raw.find(b"\x1f\x8b\x08")
-    return out + [(at, len(raw))] * (at > 0)
+
+def wide_runs(raw: bytes) -> Iterator[tuple[int, int]]:
+    return (m.span() for m in WIDE.finditer(raw))
 
 
-def from_bytes(raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[list[Layer], int]:
-    """Layers of decoded bytes whose byte i stands for start[i]…end[i]; and how many were cut.
+def from_bytes(raw: bytes, start: np.ndarray, end: np.ndarray) -> Iterator[Layer | Packed]:
+    """What decoded bytes are, byte i of which stands for start[i]…end[i]: a text, or ASCII runs and compressed parts.
 
-    Compressed bytes are unpacked until they are not; what comes out stands for the
-    whole of what went in.
+    Characters before an encoded run may belong to its encoding as well; they decode to noise.
     """
-    cut, seen = 0, set()
-    while len(raw) and (inner := unpack(raw)) is not None:
-        digest = hashlib.sha256(raw).digest()
-        if digest in seen:  # unpacks to itself
-            return [], cut
-        seen.add(digest)
-        a, b = int(start.min()), int(end.max())
-        raw, was_cut = inner
-        cut += was_cut
-        start, end = np.full(len(raw), a), np.full(len(raw), b)
     text = readable(raw)
     if text is None:
-        return [], cut
-    if len(text) == len(raw):
-        return [Layer(text, start, end)], cut
-    lead = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
-    first = np.flatnonzero(lead)
-    return [Layer(text, start[first], np.maximum.reduceat(end, first))], cut
-
-
-def decoded(layer: Layer) -> tuple[list[Layer], int]:
-    """All layers one step below."""
-    out, cut, text = [], 0, layer.text
+        if engine(raw) is None:
+            for a, b in (m.span() for m in ASCII_RUN.finditer(raw)):
+                yield Layer(raw[a:b].decode(), start[a:b], end[a:b])
+            for a, b in wide_runs(raw):
+                yield Layer(raw[a:b:2].decode(), start[a:b:2], end[a:b:2])
+        for m in HEADS.finditer(raw):
+            at = m.start()
+            done = yield from unpacked(Packed(raw[at:], int(start[at:].min()), int(end[at:].max())))
+            if done:
+                break
+            if at == 0:  # not compressed after all
+                for a, b in (m.span() for m in ASCII_RUN.finditer(raw)):
+                    yield Layer(raw[a:b].decode(), start[a:b], end[a:b])
+    elif len(text) == len(raw):
+        yield Layer(text, start, end)
+    else:
+        lead = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
+        first = np.flatnonzero(lead)
+        yield Layer(text, start[first], np.maximum.reduceat(end, first))
+
+
+def unpacked(packed: Packed) -> Iterator[Layer | Packed | int]:
+    """The content of bytes with a compressed head, in blocks; returns whether all of it could be read.
+
+    Numbers among the results are cuts.
+    """
+    key = hashlib.sha256(packed.raw[:BLOCK]).digest()
+    if key in packed.seen:  # unpacks to itself
+        return True
+    seen, state = packed.seen | {key}, {}
+    parts = content(fed(packed.raw), state)
+    while True:
+        stream = blocks(parts)
+        block, hard = next(stream, (b"", False))
+        follow = next(stream, None)
+        if follow is None or engine(block) is None:
+            break
+        # compressed again, and long: unpack as it comes
+        parts = content((x for whole in rejoined(block, hard, follow, stream) for x in fed(whole)), {})
+    if follow is None:
+        if len(block) >= 12 or not state:
+            yield Packed(block, packed.start, packed.end, seen)
+    else:
+        for raw, cut in rejoined(block, hard, follow, stream, marks=True):
+            if cut:
+                yield 1
+            yield Packed(raw, packed.start, packed.end, seen, more=True)
+    if "short" in state and packed.more:
+        yield 1
+    return not state
+
+
+def rejoined(block: bytes, hard: bool, follow: tuple[bytes, bool], rest: Iterator[tuple[bytes, bool]], marks: bool = False) -> Iterator:
+    """Blocks in a row; without ``marks`` as bytes in which nothing overlaps."""
+    before = False
+    for raw, cut in itertools.chain([(block, hard), follow], rest):
+        if marks:
+            yield raw, cut
+        else:
+            yield raw[OVERLAP:] if before else raw
+        before = cut
+
+
+def read_packed(packed: Packed) -> Iterator[Layer | Packed | int]:
+    """Layers of unpacked bytes: their text, in any encoding that has ASCII, and what is compressed in them."""
+    raw, a, b = packed.raw, packed.start, packed.end
+    text = readable(raw)
+    if text is not None:
+        yield flat(text, a, b)
+        return
+    if engine(raw) is not None and not packed.more:
+        done = yield from unpacked(packed)
+        if done:
+            return
+    if raw:
+        yield flat(raw.decode("latin-1"), a, b)
+    for x, y in wide_runs(raw):
+        yield flat(raw[x:y:2].decode(), a, b)
+    for m in HEADS.finditer(raw, 1):
+        done = yield from unpacked(Packed(raw[m.start() :], a, b, packed.seen, packed.more))
+        if done and not packed.more:
+            break
+
+
+def decoded(layer: Layer) -> Iterator[Layer | Packed | int]:
+    """All layers one step below, one at a time; numbers among them are cuts."""
+    text = layer.text
     identity = np.arange(len(text) + 1) if layer.start is None else None
     start = identity[:-1] if layer.start is None else layer.start
     end = identity[1:] if layer.end is None else layer.end
@@ -173,9 +306,8 @@ def decoded(layer: Layer) -> tuple[list[Layer], int]:
         pieces = []
         for m in PERCENT.finditer(text):
             raw, at = bytes.fromhex(m.group().replace("%", "")), np.arange(m.start(), m.end(), 3)
-            if unpack(raw) is not None:
-                more, n = from_bytes(raw, start[at], end[at + 2])
-                out, cut = out + more, cut + n
+            if engine(raw) is not None:
+                yield from from_bytes(raw, start[at], end[at + 2])
             new = raw.decode("utf-8", "replace")
             if len(new) == len(raw):
                 pieces.append((m.start(), m.end(), new, start[at], end[at + 2]))
@@ -188,7 +320,7 @@ def decoded(layer: Layer) -> tuple[list[Layer], int]:
                     a, b = int(start[at].min()), int(end[at + 2].max())
                     pieces.append((m.start(), m.end(), new, np.full(len(new), a), np.full(len(new), b)))
         if pieces:
-            out.append(rewritten(pieces))
+            yield rewritten(pieces)
     if "\\" in text or "&#" in text or "%u" in text:
         pieces = []
         for m in ESCAPE.finditer(text):
@@ -204,7 +336,7 @@ def decoded(layer: Layer) -> tuple[list[Layer], int]:
             a, b = int(start[m.start() : m.end()].min()), int(end[m.start() : m.end()].max())
             pieces.append((m.start(), m.end(), new, np.array([a]), np.array([b])))
         if pieces:
-            out.append(rewritten(pieces))
+            yield rewritten(pieces)
     for pattern in (BASE64, WRAPPED):
         for m in pattern.finditer(text) if pattern is BASE64 or "\n" in text else ():
             body = m.group()
@@ -217,33 +349,35 @@ def decoded(layer: Layer) -> tuple[list[Layer], int]:
                 if len(part) < 12:
                     break
                 raw = base64.b64decode(part + "=" * (-len(part) % 4))
-                for a, b in worth_reading(raw):
-                    j = np.arange(a, b) * 8
-                    spots = places[skip:]
-                    more, n = from_bytes(raw[a:b], start[spots[j // 6]], end[spots[np.minimum((j + 7) // 6, len(part) - 1)]])
-                    out, cut = out + more, cut + n
-    return out, cut
+                j = np.arange(len(raw)) * 8
+                spots = places[skip:]
+                yield from from_bytes(raw, start[spots[j // 6]], end[spots[np.minimum((j + 7) // 6, len(part) - 1)]])
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
     """Base findings, all findings as sorted (start, kind, end), number of layers, layers cut."""
     base = matches(text)
     found, seen, layers, cut = set(base), set(), 0, 0
-    work = [Layer(text)]
+    work: list[Iterator[Layer | Packed | int]] = [iter([Layer(text)])]
     while work:
-        layer = work.pop()
-        if layer.start is not None:
-            key = layer.key()
-            if key in seen:
-                continue
-            seen.add(key)
-            layers += 1
-            for a, kind, b in matches(layer.text):
-                x, y = layer.span(a, b)
-                found.add((x, kind, y))
-        more, n = decoded(layer)
-        work += more
-        cut += n
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+        elif isinstance(layer, int):
+            cut += layer
+        elif isinstance(layer, Packed):
+            work.append(read_packed(layer))
+        else:
+            if layer.start is not None:
+                key = layer.key()
+                if key in seen:
+                    continue
+                seen.add(key)
+                layers += 1
+                for a, kind, b in matches(layer.text):
+                    x, y = layer.span(a, b)
+                    found.add((x, kind, y))
+            work.append(decoded(layer))
     return base, sorted(found), layers, cut
 
 

@@ -72,6 +72,45 @@ def test_findings_of_decoded_layers_lie_in_their_part(name):
     assert all(5 <= a < b <= 5 + len(part) for a, b in found)
 
 
+UNCLEAN = {
+    "NUL": lambda s: b"name\x00\x00" + s,
+    "latin-1": lambda s: "é ".encode("latin-1") + s,
+    "coloured": lambda s: b"\x1b[31m" + s + b"\x1b[0m",
+    "utf-16": lambda s: s.decode().encode("utf-16"),
+    "utf-16 be": lambda s: s.decode().encode("utf-16-be"),
+}
+COMPRESSED = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "zstd": zstd}
+
+
+def assigned(text):
+    _, spans, _, cut = scan(text)
+    return any(KINDS[k] == "assign" for _, k, _ in spans) and not cut
+
+
+@pytest.mark.parametrize("name", UNCLEAN)
+def test_unclean_layers_are_scanned(name):
+    assert assigned(b64(gzip.compress(UNCLEAN[name](SECRET.encode()))))
+
+
+@pytest.mark.parametrize("name", COMPRESSED)
+def test_all_members_are_read(name):
+    pack = COMPRESSED[name]
+    assert assigned(b64(pack(b"first words") + pack(b"second words") + pack(SECRET.encode())))
+    assert assigned(b64(pack(pack(b"first words") + pack(SECRET.encode()))))
+
+
+def test_long_layers_are_read_to_their_end():
+    lines = b"some words, and more of them\n" * 3_000_000
+    assert assigned(b64(gzip.compress(lines + SECRET.encode(), 1)))
+
+
+def test_nested_layers_beyond_the_stack():
+    raw = SECRET.encode()
+    for _ in range(1200):
+        raw = zlib.compress(raw, 0)
+    assert assigned(b64(raw))
+
+
 def test_spans_are_exact_through_text_encodings():
     part = ENCODINGS["url"]("é " + SECRET)
     text = "x " + part
