@@ -45,6 +45,9 @@ URL_SAFE = str.maketrans("-_", "+/")
 #: Binary content may hold ASCII text two bytes a character.
 WIDE = re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){11,}[\t\n\r\x20-\x7e]")
 HEADS = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]|BZh|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: Percent escapes with the characters that URL encoders leave as they are.
+STRETCH = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9._~/!'()*+-])+")
+STRETCH_PART = re.compile(r"%[0-9A-Fa-f]{2}|.", re.S)
 #: Compressed bytes are fed in pieces so small that no piece gives much at once.
 FEED = 1024
 #: Unpacked bytes are scanned in blocks of about so many, cut after a byte that no finding and no encoding goes across.
@@ -303,11 +306,19 @@ def decoded(layer: Layer) -> Iterator[Layer | Packed | int]:
         return Layer("".join([*parts, text[last:]]), np.concatenate([*starts, start[last:]]), np.concatenate([*ends, end[last:]]))
 
     if "%" in text:
+        for m in STRETCH.finditer(text) if PERCENT.search(text) else ():
+            if "%" not in m.group():
+                continue
+            some = STRETCH_PART.findall(m.group())
+            size = np.array([len(x) for x in some])
+            at = m.start() + np.cumsum(size) - size
+            for blank in ("+", " ") if "+" in some else ("+",):
+                raw = bytes(int(x[1:], 16) if len(x) > 1 else ord(blank if x == "+" else x) for x in some)
+                if readable(raw) is None and HEADS.search(raw):
+                    yield from from_bytes(raw, start[at], end[at + size - 1])
         pieces = []
         for m in PERCENT.finditer(text):
             raw, at = bytes.fromhex(m.group().replace("%", "")), np.arange(m.start(), m.end(), 3)
-            if engine(raw) is not None:
-                yield from from_bytes(raw, start[at], end[at + 2])
             new = raw.decode("utf-8", "replace")
             if len(new) == len(raw):
                 pieces.append((m.start(), m.end(), new, start[at], end[at + 2]))

@@ -111,6 +111,14 @@ def test_nested_layers_beyond_the_stack():
     assert assigned(b64(raw))
 
 
+@pytest.mark.parametrize("name", COMPRESSED)
+def test_usual_percent_encoding_and_glued_prefixes(name):
+    raw = COMPRESSED[name](SECRET.encode())
+    assert assigned("x=" + urllib.parse.quote(raw)) and assigned("x=" + urllib.parse.quote(raw, safe="")) and assigned("x=" + urllib.parse.quote_plus(raw))
+    for prefix in ("host/path/", "/", "some-name_", "a/" + b64(gzip.compress(b"other")).rstrip("=") + "/"):
+        assert assigned(prefix + b64(raw)), prefix
+
+
 def test_spans_are_exact_through_text_encodings():
     part = ENCODINGS["url"]("é " + SECRET)
     text = "x " + part
