@@ -15,7 +15,7 @@ from labelmill.storage import stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go."""
+    """Documents without a letter go."""
     return keep_languages(docs)
 
 
