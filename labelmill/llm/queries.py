@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelmill.llm.bpe import decode, encode
 from labelmill.llm.decontaminate import contamination
 from labelmill.llm.html_text import page_text
 from labelmill.llm.language_id import fit, predict
@@ -83,6 +84,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text(read(spark, sf_dir, "pages"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = decode(encode(read(spark, sf_dir, "documents"), ranks), ranks)
+    return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_packing": op2_packing,
@@ -94,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
+    "op11_bpe": op11_bpe,
 }
