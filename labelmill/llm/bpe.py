@@ -30,6 +30,8 @@ from labelmill.llm.common import map_arrow, pieces, texts
 BETWEEN = "Ā"
 #: Pairs whose compatibility a worker remembers before it starts afresh.
 MEMO = 1 << 20
+#: Pieces of at most SHORT characters whose ids a worker remembers in the same way.
+PIECES, SHORT = 1 << 18, 64
 NEVER = 1 << 62
 
 
@@ -59,6 +61,7 @@ class Vocabulary:
         self.automaton.make_automaton()
         self.shorter: dict[int, int | None] = {}
         self.memo: dict[int, bool] = {}
+        self.pieces: dict[str, list[int]] = {}
 
     def _merged(self, token: bytes, limit: int) -> list[int]:
         """Ids after all merges of rank below ``limit``, lowest rank first, then leftmost."""
@@ -132,45 +135,41 @@ class Vocabulary:
                 token = shorter
         return out
 
-    def encode_pieces(self, pieces_: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces one after the other, and each piece's bounds in them."""
-        if not pieces_:
-            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
-        latin = [p.encode("utf-8", "replace").decode("latin-1") for p in pieces_]
-        sizes = np.fromiter(map(len, latin), np.int64, len(latin))
-        stop = np.cumsum(sizes + 1) - 1  # where each piece's separator stands
+    def encode_pieces(self, bodies: list[str]) -> list[list[int]]:
+        """Ids of each piece."""
+        latin = [p.encode("utf-8", "replace").decode("latin-1") for p in bodies]
+        stop = np.cumsum(np.fromiter((len(x) + 1 for x in latin), np.int64, len(latin))) - 1  # each piece's separator
         found = list(self.automaton.iter_long(BETWEEN.join(latin)))
-        ends = np.fromiter((e for e, _ in found), np.int64, len(found))
-        ids = np.fromiter((v[0] for _, v in found), np.int64, len(found))
-        bounds = np.concatenate(([0], np.searchsorted(ends, stop)))
-        inner = np.ones(max(len(ids) - 1, 0), bool)
-        inner[bounds[1:-1][(bounds[1:-1] > 0) & (bounds[1:-1] < len(ids))] - 1] = False
-        pairs, which = np.unique(ids[:-1][inner] << 32 | ids[1:][inner], return_inverse=True)
-        sure = np.fromiter((self.compatible(p >> 32, p & 0xFFFFFFFF) for p in pairs.tolist()), bool, len(pairs))
-        broken = np.flatnonzero(inner)[~sure[which]]
-        redo = {int(i): self._backtracked(latin[i]) for i in np.unique(np.searchsorted(bounds, broken, "right") - 1)}
-        if self.whole:
-            redo |= {i: [self.whole[x]] for i, x in enumerate(latin) if x in self.whole}
-        if not redo:
-            return ids.astype("<u4"), bounds
-        parts, last = [], 0
-        counts = np.diff(bounds)
-        for i in sorted(redo):
-            parts += [ids[last : bounds[i]], np.array(redo[i], np.int64)]
-            last, counts[i] = bounds[i + 1], len(redo[i])
-        parts.append(ids[last:])
-        return np.concatenate(parts).astype("<u4"), np.concatenate(([0], np.cumsum(counts)))
+        ids = [v[0] for _, v in found]
+        bounds = [0, *np.searchsorted(np.fromiter((e for e, _ in found), np.int64, len(found)), stop).tolist()]
+        ok, out = self.compatible, []
+        for x, a, b in zip(latin, bounds, bounds[1:]):
+            greedy = ids[a:b]
+            if x in self.whole:
+                greedy = [self.whole[x]]
+            elif b - a > 1 and not all(map(ok, greedy, greedy[1:])):
+                greedy = self._backtracked(x)
+            out.append(greedy)
+        return out
 
     def encode_batch(self, bodies: Iterable[str]) -> list[np.ndarray]:
-        """Ids of each text; equal pieces are encoded once."""
+        """Ids of each text; equal pieces are encoded once, also over batches while they are remembered."""
         split = [self.pattern.findall(t) for t in bodies]
         number: dict[str, int] = {}
         codes = np.fromiter((number.setdefault(p, len(number)) for p in chain.from_iterable(split)), np.int64)
-        ids, bounds = self.encode_pieces(list(number))
-        counts = np.diff(bounds)[codes]
+        known = self.pieces
+        new = [p for p in number if p not in known]
+        fresh = dict(zip(new, self.encode_pieces(new)))
+        ids = [known[p] if p in known else fresh[p] for p in number]
+        if len(known) + len(fresh) > PIECES:
+            known.clear()
+        known.update((p, i) for p, i in fresh.items() if len(p) <= SHORT)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        bounds, flat = np.cumsum(sizes) - sizes, np.fromiter(chain.from_iterable(ids), "<u4")
+        counts = sizes[codes]
         ends = np.concatenate(([0], np.cumsum(counts)))
-        flat = ids[np.repeat(bounds[codes] - ends[:-1], counts) + np.arange(ends[-1])]
-        cuts = ends[np.concatenate(([0], np.cumsum([len(s) for s in split]))).astype(np.int64)]
+        flat = flat[np.repeat(bounds[codes] - ends[:-1], counts) + np.arange(ends[-1])]
+        cuts = ends[np.cumsum([0, *map(len, split)])]
         return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def decode(self, ids: np.ndarray) -> bytes:
