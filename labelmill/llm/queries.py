@@ -19,6 +19,7 @@ from labelmill.llm.quality import BASE, judge, ledger, mask
 from labelmill.llm.secret_scan import scan_secrets, span_list
 from labelmill.llm.suffix_dedup import drop_repeats, removed_bytes
 from labelmill.llm.unit_dedup import drop_repeated_units
+from labelmill.llm.whitening import whiten
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -90,6 +91,11 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a deviation beyond a long is null here; the operator has all its digits
+    return whiten(read(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_packing": op2_packing,
@@ -102,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
     "op11_bpe": op11_bpe,
+    "op12_whitening": op12_whitening,
 }
