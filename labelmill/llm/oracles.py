@@ -85,9 +85,31 @@ SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT)
 FROM documents d LEFT JOIN spans USING (doc_id) LEFT JOIN rest USING (doc_id)
 """
 
+OP13 = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY 1, 2),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY 1),
+total AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM sizes),
+held AS (SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY 1, 2),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * (SELECT big_n FROM total) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM held GROUP BY 1),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * big_n) // big_l)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), total GROUP BY 1, 2)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
+
 ORACLES = {
     "op5_decontamination": OP5,
     "op6_near_dedup": OP6,
     "op8_quality_rules": OP8,
     "op9_line_dedup": OP9,
+    "op13_ranked_search": OP13,
 }

@@ -16,6 +16,7 @@ from labelmill.llm.line_dedup import drop_repeated_chunks
 from labelmill.llm.near_dedup import near_duplicates
 from labelmill.llm.packing import pack
 from labelmill.llm.quality import BASE, judge, ledger, mask
+from labelmill.llm.ranked_search import ranked_search
 from labelmill.llm.secret_scan import scan_secrets, span_list
 from labelmill.llm.suffix_dedup import drop_repeats, removed_bytes
 from labelmill.llm.unit_dedup import drop_repeated_units
@@ -96,6 +97,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_packing": op2_packing,
@@ -109,4 +114,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_text": op10_html_text,
     "op11_bpe": op11_bpe,
     "op12_whitening": op12_whitening,
+    "op13_ranked_search": op13_ranked_search,
 }
