@@ -13,9 +13,10 @@ merge steps on both sides of the border and memoised.
 from __future__ import annotations
 
 import base64
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count
 
 import ahocorasick
 import numpy as np
@@ -59,7 +60,10 @@ class Vocabulary:
                 self.halves[i] = parts[0], parts[1]
             self.automaton.add_word(latin, (i, len(token)))
         self.automaton.make_automaton()
-        self.shorter: dict[int, int | None] = {}
+        usable = {t: i for t, i in ranks.items() if len(t) == 1 or i in self.halves}
+        #: The longest token that is a proper prefix.
+        self.shorter = {i: next((usable[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in usable), None) for t, i in usable.items()}
+        self.size_of = {i: len(t) for i, t in self.bytes_of.items()}
         self.memo: dict[int, bool] = {}
         self.pieces: dict[str, list[int]] = {}
 
@@ -100,39 +104,28 @@ class Vocabulary:
             else:
                 until_right, right = right, self.halves[right][0]
 
-    def _next_shorter(self, token: int) -> int | None:
-        """The longest token that is a proper prefix."""
-        if token not in self.shorter:
-            body = self.bytes_of[token]
-            found = (self.ranks.get(body[:n]) for n in range(len(body) - 1, 0, -1))
-            self.shorter[token] = next((i for i in found if i is not None and (len(self.bytes_of[i]) == 1 or i in self.halves)), None)
-        return self.shorter[token]
-
     def _backtracked(self, latin: str) -> list[int]:
         """Ids of one piece."""
         longest = [-1] * len(latin)
         for end, (i, n) in self.automaton.iter(latin):
             longest[end - n + 1] = i  # of one start, longer matches end later
-        size_of, alive = self.bytes_of, bytearray(b"\1") * (len(latin) + 1)
-        out: list[int] = []
-        at, token = 0, longest[0]
-        while at < len(latin):
-            while True:
-                end = at + len(size_of[token])
-                if alive[end] and (not out or self.compatible(out[-1], token)):
-                    out.append(token)
-                    at = end
-                    if at < len(latin):
-                        token = longest[at]
-                    break
-                shorter = self._next_shorter(token)
-                if shorter is None:
-                    # nothing goes on from here: shorten the token that led here
-                    alive[at] = 0
-                    token = out.pop()
-                    at -= len(size_of[token])
-                    break
-                token = shorter
+        size_of, shorter, known, whole = self.size_of, self.shorter, self.memo.get, len(latin)
+        alive = bytearray(b"\1") * (whole + 1)
+        at, token, out = 0, longest[0], []
+        while at < whole:
+            end = at + size_of[token]
+            if alive[end] and (not out or (known(out[-1] << 32 | token) or self.compatible(out[-1], token))):
+                out.append(token)
+                at = end
+                token = longest[at] if at < whole else token
+                continue
+            token = shorter[token]
+            while token is None:
+                # nothing goes on from here: shorten the token that led here
+                alive[at] = 0
+                token = out.pop()
+                at -= size_of[token]
+                token = shorter[token]
         return out
 
     def encode_pieces(self, bodies: list[str]) -> list[list[int]]:
@@ -155,8 +148,8 @@ class Vocabulary:
     def encode_batch(self, bodies: Iterable[str]) -> list[np.ndarray]:
         """Ids of each text; equal pieces are encoded once, also over batches while they are remembered."""
         split = [self.pattern.findall(t) for t in bodies]
-        number: dict[str, int] = {}
-        codes = np.fromiter((number.setdefault(p, len(number)) for p in chain.from_iterable(split)), np.int64)
+        number: dict[str, int] = defaultdict(count().__next__)
+        codes = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64)
         known = self.pieces
         new = [p for p in number if p not in known]
         fresh = dict(zip(new, self.encode_pieces(new)))
@@ -172,19 +165,29 @@ class Vocabulary:
         cuts = ends[np.cumsum([0, *map(len, split)])]
         return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes of all ids; an unknown id raises."""
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+
+def decoded(ids: np.ndarray, bytes_of: dict[int, bytes]) -> bytes:
+    """The bytes of all ids; an unknown id raises."""
+    return b"".join(map(bytes_of.__getitem__, ids.tolist()))
+
+
+def read_ranks(path: str) -> dict[bytes, int]:
+    """From a file with a base64 token and its rank in each line."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
 @lru_cache(maxsize=2)
 def vocabulary(ranks: str, pattern: str | None = None) -> Vocabulary:
-    """From a file with a base64 token and its rank in each line; by default with the installed pattern."""
+    """The vocabulary of a file, by default with the installed pattern."""
     if pattern is None:
         from public_tokenizers import PATTERN as pattern  # noqa: N811
-    with open(ranks, "rb") as f:
-        table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    return Vocabulary(table, pattern)
+    return Vocabulary(read_ranks(ranks), pattern)
+
+
+@lru_cache(maxsize=2)
+def token_bytes(ranks: str) -> dict[int, bytes]:
+    return {i: t for t, i in read_ranks(ranks).items()}
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str | None = None) -> DataFrame:
@@ -206,13 +209,13 @@ def encode(docs: DataFrame, ranks: str, pattern: str | None = None) -> DataFrame
     return map_arrow(base, run, "doc_id long, ids binary")
 
 
-def decode(encoded: DataFrame, ranks: str, pattern: str | None = None) -> DataFrame:
+def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """doc_id, ids and decoded (binary) of rows with ids; null ids decode to null, unknown ones raise."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(ranks, pattern)
+        words = token_bytes(ranks)
         for batch in batches:
-            out = [None if x is None else words.decode(np.frombuffer(x, "<u4")) for x in batch.column("ids").to_pylist()]
+            out = [None if x is None else decoded(np.frombuffer(x, "<u4"), words) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(out, pa.binary())], names=["doc_id", "ids", "decoded"])
 
     return map_arrow(encoded.select("doc_id", "ids"), run, "doc_id long, ids binary, decoded binary")

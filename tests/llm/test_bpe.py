@@ -10,7 +10,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from labelmill.llm.bpe import Vocabulary, decode, encode, vocabulary
+from labelmill.llm.bpe import Vocabulary, decode, decoded, encode, vocabulary
 from labelmill.llm.queries import op11_bpe
 
 FILES = ["byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken"]
@@ -36,7 +36,7 @@ def test_ids_equal_merging_by_rank(name, bodies):
     words = vocabulary(public_tokenizers.path(name))
     got = words.encode_batch(bodies)
     assert [g.tolist() for g in got] == [PLAIN[name].encode_ordinary(t) for t in bodies]
-    assert [words.decode(g) for g in got] == [t.encode() for t in bodies]
+    assert [decoded(g, words.bytes_of) for g in got] == [t.encode() for t in bodies]
 
 
 @pytest.mark.parametrize("name", FILES)
