@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,16 @@ def one_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns(floats) if floats else df
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once for a row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def lookup(values: Sequence[float]) -> Column:
+    """Constant array of doubles, folded to a literal once."""
+    return F.from_json(F.lit(json.dumps(list(values))), "array<double>")
+
+
 def as_text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(MISSING_AS_TEXT))
 

@@ -1,26 +1,38 @@
 """Exact order statistics without sorting or collecting a whole column.
 
-Every wanted rank is bracketed by approximate quantiles, the bracket is verified by
-exact counts, and the search goes on inside it until few rows are left to read. Each
-pass is one aggregate with map-side combine, whatever the skew; a value that holds a
-third of the rows ends the search at once, because bracket ends are counted and left
-out of the next bracket. Tables of every size take this one way.
+Each column is summarised by a mergeable KLL sketch with its count; the sketches of all
+columns come from one scan and are merged over groups of tasks. A wanted rank lies
+between two values of its sketch, a few thousandths of the rows apart. A second scan
+counts the rows below exactly and reads the values between, grouped and counted, so a
+value that holds a third of the rows is one row of the answer. Only if more rows lie
+between than the driver may read, the rows between are summarised anew, with the
+exact counts in the same scan. The driver holds some hundred numbers for each rank,
+never a column. Tables of every size take this one way.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelmill.functions.columns import ROW_ID, nan_to_null, one_zero
-from labelmill.storage import stage
-
-# Rows of the open brackets of all columns that the driver may read.
-BRACKET_ROWS = 20_000
+from labelmill.storage import stage_counted
+
+# Rows between sketch values, over all columns, that the driver may read.
+BRACKET_ROWS = 50_000
+# Size of a sketch, and twice the rank error it keeps to with 99 % confidence.
+SKETCH_K = 4096
+MARGIN = 2 * 2.296 / SKETCH_K**0.9723
+# Quantiles read from a sketch.
+GRID = 1000
+# Groups of tasks whose sketches are merged before the last merge.
+MERGE_GROUPS = 64
 # Leading bytes of a text that stand for it as a number in its order.
 PREFIX_BYTES = 7
 ACCURACY = 10_000
@@ -37,7 +49,7 @@ class Found:
 
 @dataclass
 class _Bracket:
-    """Open interval (lo, hi) that holds the wanted rank."""
+    """Open interval (lo, hi) that holds a rank: rows up to lo, rows inside, and values to cut it at."""
 
     column: str
     rank: int
@@ -45,85 +57,150 @@ class _Bracket:
     inside: int
     lo: object = None
     hi: object = None
+    ends: tuple | None = None
+    wide: bool = False  # more between the ends than could be read
 
-    def condition(self) -> Column:
+    def within(self, lo: object, hi: object) -> Column:
         col = F.col(self.column)
         cond = col.isNotNull()
-        if self.lo is not None:
-            cond = cond & (col > F.lit(self.lo))
-        if self.hi is not None:
-            cond = cond & (col < F.lit(self.hi))
-        return cond
+        if lo is not None:
+            cond = cond & (col > F.lit(lo))
+        return cond & (col < F.lit(hi)) if hi is not None else cond
+
+    def cut(self, at: Sequence[int], grid: dict[tuple, list]) -> Found | None:
+        """Narrow to the side of the ends that holds the rank, given the rows below, at, between, at them."""
+        lo, hi = self.ends
+        below, at_lo, between, at_hi = at
+        r, self.ends, self.wide = self.rank - self.below, None, False
+        if r < below:
+            self.hi, self.inside = lo, below
+        elif r < below + at_lo:
+            return Found(lo, self.below + below, at_lo)
+        elif r < below + at_lo + between:
+            self.below, self.inside, self.lo, self.hi = self.below + below + at_lo, between, lo, hi
+            self.propose(grid.get((self.column, lo, hi)))
+        elif r < below + at_lo + between + at_hi:
+            return Found(hi, self.below + below + at_lo + between, at_hi)
+        else:
+            seen = below + at_lo + between + at_hi
+            self.below, self.inside, self.lo = self.below + seen, self.inside - seen, hi
+        return None
+
+    def propose(self, grid: list | None) -> None:
+        """Two values of the sketch of this interval around the rank."""
+        if grid:
+            at = (self.rank - self.below) / self.inside
+            first = math.floor((at - MARGIN) * GRID) - 1
+            last = math.ceil((at + MARGIN) * GRID) + 1
+            self.ends = grid[max(first, 0)], grid[min(last, GRID)]
 
 
 def _one_row(df: DataFrame, exprs: Mapping[str, Column]) -> dict:
     return df.agg(*[e.alias(name) for name, e in exprs.items()]).first().asDict()
 
 
-def column_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
-    """Present values per column."""
-    return _one_row(df, {c: F.count(F.col(c)) for c in cols}) if cols else {}
-
-
-def _narrow(df: DataFrame, open_: Mapping[tuple, _Bracket]) -> dict[tuple, Found]:
-    """One round: propose bracket ends, count around them, keep the right part."""
-    names = {key: f"t{i}" for i, key in enumerate(open_)}
-    proposals = {}
-    for key, b in open_.items():
-        at = (b.rank - b.below) / max(b.inside - 1, 1)
-        ends = [max(0.0, at - 2 / ACCURACY), min(1.0, at + 2 / ACCURACY)]
-        inside = F.when(b.condition(), F.col(b.column))
-        proposals[names[key]] = F.percentile_approx(inside, ends, ACCURACY)
-    ends = _one_row(df, proposals)
-    counts = {}
-    for key, b in open_.items():
-        lo, hi = ends[names[key]]
-        col, name = F.col(b.column), names[key]
-        counts[f"{name}_lt_lo"] = F.count_if(col < F.lit(lo))
-        counts[f"{name}_le_lo"] = F.count_if(col <= F.lit(lo))
-        counts[f"{name}_lt_hi"] = F.count_if(col < F.lit(hi))
-        counts[f"{name}_le_hi"] = F.count_if(col <= F.lit(hi))
-    seen = _one_row(df, counts)
-    found = {}
-    for key, b in open_.items():
-        lo, hi = ends[names[key]]
-        lt_lo, le_lo, lt_hi, le_hi = (
-            seen[f"{names[key]}_{s}"] for s in ("lt_lo", "le_lo", "lt_hi", "le_hi")
-        )
-        end = b.below + b.inside
-        if lt_lo <= b.rank < le_lo:
-            found[key] = Found(lo, lt_lo, le_lo - lt_lo)
-        elif lt_hi <= b.rank < le_hi:
-            found[key] = Found(hi, lt_hi, le_hi - lt_hi)
-        elif b.rank < lt_lo:
-            b.hi, b.inside = lo, lt_lo - b.below
-        elif b.rank >= le_hi:
-            b.lo, b.below, b.inside = hi, le_hi, end - le_hi
-        else:
-            b.lo, b.hi, b.below, b.inside = lo, hi, le_lo, lt_hi - le_lo
-    return found
+def _numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns as whole numbers or doubles, without -0.0."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    kind = {c: "bigint" if isinstance(df.schema[c].dataType, whole) else "double" for c in cols}
+    return one_zero(df.select(*[F.col(c).cast(kind[c]).alias(c) for c in cols]), cols)
 
 
-def _finish(df: DataFrame, brackets: Mapping[tuple, _Bracket]) -> dict[tuple, Found]:
-    """Read the values of the remaining, counted and small, brackets."""
-    found = {}
-    for column in {b.column for b in brackets.values()}:
-        mine = {k: b for k, b in brackets.items() if b.column == column}
-        wanted = None
-        for b in mine.values():
-            wanted = b.condition() if wanted is None else wanted | b.condition()
-        rows = df.where(wanted).groupBy(F.col(column).alias("v")).count().collect()
-        values = sorted((r["v"], r["count"]) for r in rows)
-        for key, b in mine.items():
-            below = b.below
-            for value, n in values:
-                if (b.lo is not None and value <= b.lo) or (b.hi is not None and value >= b.hi):
-                    continue
-                if b.rank < below + n:
-                    found[key] = Found(value, below, n)
-                    break
-                below += n
-    return found
+def _summaries(df: DataFrame, wanted: Mapping[tuple, Column], counts: Mapping[str, Column] | None = None) -> tuple[dict[tuple, tuple[int, list]], dict]:
+    """(rows, quantiles on the grid) of each (column, lo, hi) with its condition, and sums of flags: one scan.
+
+    Sketches are merged over groups of tasks first, so that no task merges those of all.
+    """
+    kinds = {c: "bigint" if isinstance(df.schema[c].dataType, T.LongType) else "double" for c, _, _ in wanted}
+    sketch = {"bigint": (F.kll_sketch_agg_bigint, F.kll_merge_agg_bigint, F.kll_sketch_get_quantile_bigint),
+              "double": (F.kll_sketch_agg_double, F.kll_merge_agg_double, F.kll_sketch_get_quantile_double)}
+    counts = counts or {}
+    first, last, shown = [], [], []
+    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    for i, ((column, _, _), cond) in enumerate(wanted.items()):
+        make, merge, read = sketch[kinds[column]]
+        value = F.when(cond, F.col(column))
+        first += [F.count(value).alias(f"n{i}"), make(value, SKETCH_K).alias(f"s{i}")]
+        last += [F.sum(f"n{i}").alias(f"n{i}"), merge(f"s{i}", SKETCH_K).alias(f"s{i}")]
+        shown += [F.col(f"n{i}"), F.when(F.col(f"n{i}") > 0, read(f"s{i}", grid)).alias(f"q{i}")]
+    for name, flag in counts.items():
+        first.append(F.count_if(flag).alias(name))
+        last.append(F.sum(name).alias(name))
+        shown.append(F.col(name))
+    groups = df.withColumn("_group", F.spark_partition_id() % MERGE_GROUPS).groupBy("_group").agg(*first)
+    row = groups.agg(*last).select(*shown).first().asDict()
+    found = {key: (row[f"n{i}"] or 0, row[f"q{i}"]) for i, key in enumerate(wanted)}
+    return found, {name: row[name] or 0 for name in counts}
+
+
+def _read(df: DataFrame, brackets: Sequence[_Bracket], most: int) -> tuple[dict[str, list], dict[tuple, int]] | None:
+    """(value, rows) between the ends, or inside a bracket without ends; and the rows below each lower end.
+
+    One scan: a value is kept as it is where some bracket reads it, and counted by the
+    number of lower ends up to it elsewhere. None if there are more than ``most``.
+    """
+    by_column: dict[str, list[_Bracket]] = defaultdict(list)
+    for b in brackets:
+        by_column[b.column].append(b)
+    cells, lower = [], {}
+    for i, (c, mine) in enumerate(by_column.items()):
+        col = F.col(c)
+        lower[c] = sorted({b.ends[0] for b in mine if b.ends})
+        kept = None
+        for b in mine:
+            cond = (col >= F.lit(b.ends[0])) & (col <= F.lit(b.ends[1])) if b.ends else b.within(b.lo, b.hi)
+            kept = cond if kept is None else kept | cond
+        passed = F.lit(0)
+        for end in lower[c]:
+            passed = passed + (col >= F.lit(end)).cast("int")
+        whole = isinstance(df.schema[c].dataType, T.LongType)
+        none = F.lit(None)
+        cells.append(F.struct(
+            F.lit(i).alias("c"), F.when(~kept, passed).alias("gap"),
+            (F.when(kept, col) if whole else none).cast("bigint").alias("l"),
+            (none if whole else F.when(kept, col)).cast("double").alias("d"),
+        ))
+    slots = df.select(F.inline(F.array(*cells))).where("gap IS NOT NULL OR l IS NOT NULL OR d IS NOT NULL")
+    rows = slots.groupBy("c", "gap", "l", "d").count().limit(most + 1).collect()
+    if len(rows) > most:
+        return None
+    values: dict[str, list] = {c: [] for c in by_column}
+    below: dict[tuple, int] = {(c, end): 0 for c in by_column for end in lower[c]}
+    names = list(by_column)
+    for r in rows:
+        c = names[r["c"]]
+        v = r["l"] if r["l"] is not None else r["d"]
+        if r["gap"] is None:
+            values[c].append((v, r["count"]))
+        for j, end in enumerate(lower[c]):
+            if (r["gap"] is not None and r["gap"] <= j) or (r["gap"] is None and v < end):
+                below[c, end] += r["count"]
+    return {c: sorted(v) for c, v in values.items()}, below
+
+
+def _settle(b: _Bracket, values: list, below: Mapping[tuple, int]) -> Found | None:
+    """Find the rank among the values read, or narrow the bracket to where it is."""
+    if not b.ends:
+        at = b.below
+        for v, n in values:
+            if (b.lo is None or v > b.lo) and (b.hi is None or v < b.hi):
+                if b.rank < at + n:
+                    return Found(v, at, n)
+                at += n
+        raise AssertionError("a rank beyond the rows of its bracket")
+    lo, hi = b.ends
+    at = below[b.column, lo]
+    if b.rank >= at:
+        for v, n in values:
+            if lo <= v <= hi:
+                if b.rank < at + n:
+                    return Found(v, at, n)
+                at += n
+        b.inside, b.below, b.lo = b.inside - (at - b.below), at, hi
+    else:
+        b.inside, b.hi = at - b.below, lo
+    b.ends = None
+    return None
 
 
 def order_statistics(
@@ -131,32 +208,88 @@ def order_statistics(
     ranks: Mapping[str, Sequence[int]],
     counts: Mapping[str, int] | None = None,
     bracket_rows: int = BRACKET_ROWS,
-    staged: bool = False,
 ) -> dict[tuple[str, int], Found]:
-    """Value at each 0-based rank of each numeric column, nulls left out.
+    """Value at each 0-based rank of each numeric column, nulls left out; see ``search_ranks``."""
+    return search_ranks(df, ranks, None, counts, bracket_rows)[0]
+
+
+def search_ranks(
+    df: DataFrame,
+    ranks: Mapping[str, Sequence[int]],
+    fractions: Mapping[str, Sequence[float]] | None = None,
+    counts: Mapping[str, int] | None = None,
+    bracket_rows: int = BRACKET_ROWS,
+) -> tuple[dict[tuple[str, int], Found], dict[str, int]]:
+    """Value at each 0-based rank of each numeric column, nulls left out; and the present values.
 
-    Ranks beyond the number of present values are left out of the result. If
-    the search needs several passes, the numbers are written once to the shared
-    folder, so that a costly input plan is not run again for each pass; an input
-    that is ``staged`` already is read as it is.
+    ``fractions`` adds the ranks on both sides of f * (present - 1). Ranks beyond the
+    number of present values are left out of the result. ``counts`` may give the present
+    values: then columns with few are read at once. ``df`` is scanned twice, further
+    times only for very many rows.
     """
-    cols = list(ranks)
-    df = one_zero(df.select(*cols), cols)
-    counts = counts or column_counts(df, cols)
-    bracket_rows = max(1, bracket_rows // max(1, len(cols)))
-    if not staged and max(counts.values(), default=0) > bracket_rows:
-        df = stage(df, "numbers")
-    brackets = {
-        (c, r): _Bracket(c, r, 0, counts[c]) for c in cols for r in set(ranks[c]) if r < counts[c]
-    }
+    fractions = fractions or {}
+    cols = list(dict.fromkeys([*ranks, *fractions]))
+    df = _numbers(df, cols)
+    share = max(1, bracket_rows // max(1, sum(len(set(ranks.get(c, ()))) + len(fractions.get(c, ())) for c in cols)))
+    grids: dict[tuple, list] = {}
+    counts = dict(counts or {})
+    unknown = {(c, None, None): F.col(c).isNotNull() for c in cols if counts.get(c, share + 1) > share}
+    if unknown:
+        seen, _ = _summaries(df, unknown)
+        for (c, _, _), (n, grid) in seen.items():
+            counts[c], grids[c, None, None] = n, grid
+    wanted = {(c, r) for c in ranks for r in ranks[c]}
+    for c, some in fractions.items():
+        wanted |= {(c, g(f * (counts[c] - 1))) for f in some if counts[c] for g in (math.floor, math.ceil)}
+    open_ = {key: _Bracket(*key, 0, counts[key[0]]) for key in sorted(wanted) if 0 <= key[1] < counts[key[0]]}
+    for b in open_.values():
+        if b.inside > share:
+            b.propose(grids.get((b.column, None, None)))
     found: dict[tuple, Found] = {}
-    while True:
-        open_ = {k: b for k, b in brackets.items() if k not in found and b.inside > bracket_rows}
-        if not open_:
-            break
-        found |= _narrow(df, open_)
-    rest = {k: b for k, b in brackets.items() if k not in found}
-    return found | _finish(df, rest) if rest else found
+    while open_:
+        readable = {
+            k: b for k, b in open_.items()
+            if b.inside <= share or (b.ends and not b.wide and b.inside * 2 * (MARGIN + 2 / GRID) <= share)
+        }
+        got = _read(df, list(readable.values()), 4 * bracket_rows + 2 * len(readable) + 10) if readable else None
+        if got:
+            for k, b in readable.items():
+                hit = _settle(b, got[0][b.column], got[1])
+                if hit:
+                    found[k] = hit
+        else:
+            for b in readable.values():
+                b.wide = True
+        open_ = {k: b for k, b in open_.items() if k not in found}
+        rest = {k: b for k, b in open_.items() if k not in readable or not got}
+        if rest:
+            _narrow(df, rest, found)
+            open_ = {k: b for k, b in open_.items() if k not in found}
+    return found, counts
+
+
+def _narrow(df: DataFrame, open_: Mapping[tuple, _Bracket], found: dict[tuple, Found]) -> None:
+    """Exact counts around the ends of each bracket and a new sketch of what lies between: one scan."""
+    wanted, flags = {}, {}
+    for i, b in enumerate(open_.values()):
+        if b.ends is None:
+            wanted[b.column, b.lo, b.hi] = b.within(b.lo, b.hi)
+            continue
+        lo, hi = b.ends
+        col, inside = F.col(b.column), b.within(b.lo, b.hi)
+        wanted[b.column, lo, hi] = b.within(lo, hi)
+        flags[f"a{i}"] = inside & (col < F.lit(lo))
+        flags[f"b{i}"] = col == F.lit(lo)
+        flags[f"d{i}"] = (col == F.lit(hi)) & F.lit(lo != hi)
+    seen, sums = _summaries(df, wanted, flags)
+    grids = {key: grid for key, (_, grid) in seen.items()}
+    for i, (k, b) in enumerate(open_.items()):
+        if b.ends is None:
+            b.propose(grids[b.column, b.lo, b.hi])
+            continue
+        hit = b.cut((sums[f"a{i}"], sums[f"b{i}"], seen[b.column, *b.ends][0], sums[f"d{i}"]), grids)
+        if hit:
+            found[k] = hit
 
 
 def quantiles(
@@ -176,36 +309,26 @@ def quantiles(
             df, {c: F.percentile_approx(F.col(c).cast("double"), list(fractions)) for c in cols}
         )
         return {c: row[c] or [None] * len(fractions) for c in cols}
-    # The input may be costly and is read in several passes.
-    df = stage(df, "numbers")
-    counts = column_counts(df, cols)
-    position = {(c, f): f * (counts[c] - 1) for c in cols if counts[c] for f in fractions}
-    ranks = {
-        c: sorted({g(position[c, f]) for f in fractions for g in (math.floor, math.ceil)})
-        for c in cols if counts[c]
-    }
-    found = order_statistics(df, ranks, counts, bracket_rows, staged=True) if ranks else {}
+    found, counts = search_ranks(df, {}, {c: fractions for c in cols}, None, bracket_rows)
     result: dict[str, list[float | None]] = {}
     for c in cols:
         result[c] = [None] * len(fractions)
         for i, f in enumerate(fractions if counts[c] else ()):
-            at = position[c, f]
+            at = f * (counts[c] - 1)
             low = float(found[c, math.floor(at)].value)
             high = float(found[c, math.ceil(at)].value)
             result[c][i] = low + (high - low) * (at - math.floor(at))
     return result
 
 
-def _cut_condition(
-    df: DataFrame, key: str, id_col: str, size: int, at: Found, staged: bool
-) -> Column:
+def _cut_condition(df: DataFrame, key: str, id_col: str, size: int, at: Found) -> Column:
     """Condition met by exactly the first ``size`` rows by (key, id)."""
     col = F.col(key)
     take = size - at.below
     if take == at.equal:
         return col <= F.lit(at.value)
     tied = df.where(col == F.lit(at.value)).select(id_col)
-    found = order_statistics(tied, {id_col: [take - 1]}, {id_col: at.equal}, staged=staged)
+    found = order_statistics(tied, {id_col: [take - 1]}, {id_col: at.equal})
     last = found[id_col, take - 1].value
     return (col < F.lit(at.value)) | ((col == F.lit(at.value)) & (F.col(id_col) <= F.lit(last)))
 
@@ -216,17 +339,20 @@ def rank_conditions(
     id_col: str,
     sizes: Sequence[int],
     bracket_rows: int = BRACKET_ROWS,
-    staged: bool = False,
+    total: int | None = None,
 ) -> list[Column]:
     """For each size, a row condition that holds for exactly the first rows by (key, id).
 
-    The rows themselves are never shuffled: a cut is a plain filter.
+    The rows themselves are never shuffled: a cut is a plain filter. ``total`` may
+    give the number of rows with a key.
     """
     df = one_zero(df.select(key, id_col), [key])
-    total = column_counts(df, [key])[key]
-    inner = [s for s in sizes if 0 < s < total]
-    ranks = {key: [s - 1 for s in inner]}
-    found = order_statistics(df, ranks, {key: total}, bracket_rows, staged)
+    known = None if total is None else {key: total}
+    inner = [s for s in sizes if s > 0 and (total is None or s < total)]
+    found = {}
+    if inner:
+        found, counts = search_ranks(df, {key: [s - 1 for s in inner]}, None, known, bracket_rows)
+        total = counts[key]
     conditions = []
     for s in sizes:
         if s <= 0:
@@ -234,8 +360,7 @@ def rank_conditions(
         elif s >= total:
             conditions.append(F.lit(True))
         else:
-            at = found[key, s - 1]
-            conditions.append(_cut_condition(df, key, id_col, s, at, staged))
+            conditions.append(_cut_condition(df, key, id_col, s, found[key, s - 1]))
     return conditions
 
 
@@ -248,26 +373,43 @@ def first_k(
 ) -> DataFrame:
     """The first ``k`` rows by (order, id), never more; a missing order (null, NaN) comes last.
 
-    Only (order, id) pairs are written and searched for the cut, for every ``k``;
-    the rows themselves are filtered where they are.
+    Only (order, id) pairs are written, and counted while they are; the cut is searched
+    in them for every ``k``, and the rows themselves are filtered where they are.
+    """
+    keyed = one_zero(nan_to_null(df.withColumn("_order", order)), ["_order"])
+    keys, size = stage_counted(
+        keyed.select("_order", id_col), "keys", rows=F.count(F.lit(1)), present=F.count("_order")
+    )
+    wanted = _first(keys, k, id_col, size, bracket_rows)
+    return (keyed if wanted is None else keyed.where(wanted)).drop("_order")
+
+
+def first_scored(scored: DataFrame, k: int, id_col: str = ROW_ID, score: str = "score") -> DataFrame:
+    """The ``k`` rows of highest score, ties to the lower id, from a narrow table of scores.
+
+    The table is written once, and both the cut and the answer are read from it: a
+    costly score is computed once for each row.
     """
-    keyed = nan_to_null(df.withColumn("_order", order))
-    keyed = one_zero(keyed, ["_order"])
-    keys = stage(keyed.select("_order", id_col), "keys")
-    size = _one_row(keys, {"rows": F.count(F.lit(1)), "present": F.count("_order")})
+    kept = one_zero(nan_to_null(scored), [score])
+    order = (-F.col(score)).alias("_order")
+    keys, size = stage_counted(
+        kept.select(*scored.columns, order), "scores", rows=F.count(F.lit(1)), present=F.count("_order")
+    )
+    wanted = _first(keys, k, id_col, size, BRACKET_ROWS)
+    return (keys if wanted is None else keys.where(wanted)).drop("_order")
+
+
+def _first(keys: DataFrame, k: int, id_col: str, size: Mapping[str, int], bracket_rows: int) -> Column | None:
+    """Condition on ``_order`` and the id for the first ``k`` rows; None for all rows."""
     if k >= size["rows"]:
-        return keyed.drop("_order")
+        return None
     present = F.col("_order").isNotNull()
     if k <= size["present"]:
-        (inside,) = rank_conditions(keys, "_order", id_col, [k], bracket_rows, staged=True)
-        wanted = present & inside
-    else:
-        rest, rank = keys.where(~present).select(id_col), k - size["present"] - 1
-        last = order_statistics(
-            rest, {id_col: [rank]}, {id_col: size["rows"] - size["present"]}, bracket_rows, True
-        )[id_col, rank].value
-        wanted = present | (F.col(id_col) <= F.lit(last))
-    return keyed.where(wanted).drop("_order")
+        (inside,) = rank_conditions(keys, "_order", id_col, [k], bracket_rows, size["present"])
+        return present & inside
+    rest, rank = keys.where(~present).select(id_col), k - size["present"] - 1
+    found = order_statistics(rest, {id_col: [rank]}, {id_col: size["rows"] - size["present"]}, bracket_rows)
+    return present | (F.col(id_col) <= F.lit(found[id_col, rank].value))
 
 
 def text_prefix(text: Column) -> Column:
@@ -283,9 +425,9 @@ def commonest(counts: DataFrame, n: str, text: str, k: int, bracket_rows: int =
     the texts that share the last count, so only texts that agree in those meet in a
     sorted limit.
     """
-    rows = stage(counts.withColumn("_prefix", text_prefix(F.col(text))), "counts")
+    rows, seen = stage_counted(counts.withColumn("_prefix", text_prefix(F.col(text))), "counts", rows=F.count(F.lit(1)))
     keys = rows.select((-F.col(n)).alias("_less"), "_prefix")
-    total = rows.count()
+    total = seen["rows"]
     if k >= total or k <= 0:
         return rows.drop("_prefix").where(F.lit(k > 0))
     at = order_statistics(keys, {"_less": [k - 1]}, {"_less": total}, bracket_rows)["_less", k - 1]

@@ -10,8 +10,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.functions.columns import LABEL, ROW_ID, TEXT, seeded_uniform
-from labelmill.functions.ranks import first_k
+from labelmill.functions.columns import LABEL, ROW_ID, TEXT, bound, seeded_uniform
+from labelmill.functions.ranks import first_scored
 from labelmill.operators.features import (
     MAX_FEATURES,
     stage_vectors,
@@ -23,7 +23,7 @@ from labelmill.operators.history import history_table, sample_savings
 from labelmill.operators.learn import Classifier, evaluate_fitted, fit_classifier, predict
 from labelmill.operators.order import SEED, learning_sizes, seed_pool_sizes, split_by_rank
 from labelmill.operators.review import remove_rows, take_rows
-from labelmill.storage import new_stage_path, stage
+from labelmill.storage import new_stage_path, stage_counted
 
 STRATEGIES = ("entropy", "random")
 ITERATIONS = 5
@@ -34,13 +34,16 @@ SCORE_DIGITS = 12
 
 def entropy_score(probs: Column) -> Column:
     """-Σ p ln p of the renormalised probabilities; 0 ln 0 is 0, a sum of 0 gives 0."""
-    total = F.aggregate(probs, F.lit(0.0), lambda acc, p: acc + p)
+    def of(ps: Column) -> Column:
+        return bound(F.aggregate(ps, F.lit(0.0), lambda acc, p: acc + p), lambda total: entropy(ps, total))
 
-    def add(acc: Column, p: Column) -> Column:
-        q = F.try_divide(p, total)
-        return acc - F.when(q > 0, q * F.log(q)).otherwise(F.lit(0.0))
+    def entropy(ps: Column, total: Column) -> Column:
+        def add(acc: Column, p: Column) -> Column:
+            return acc - bound(F.try_divide(p, total), lambda q: F.when(q > 0, q * F.log(q)).otherwise(F.lit(0.0)))
 
-    return F.aggregate(probs, F.lit(0.0), add)
+        return F.aggregate(ps, F.lit(0.0), add)
+
+    return bound(probs, of)
 
 
 def margin_score(probs: Column) -> Column:
@@ -74,16 +77,17 @@ def query_pool(
     """Ids and scores of the ``k`` most informative rows; ties go to the lower id.
 
     Scores are rounded to SCORE_DIGITS, so that equal ones do not differ by the order
-    in which they were summed. A row without a score comes last.
+    in which they were summed. A row without a score comes last. Scores are computed once
+    for each row of the pool, into a written table of (id, score).
     """
     if strategy not in SCORES:
         raise ValueError(f"unknown strategy: {strategy!r}")
     score = SCORES[strategy](F.col(probs), id_col, seed)
     scored = pool.select(id_col, F.round(score, SCORE_DIGITS).alias("score"))
-    return first_k(scored, -F.col("score"), k, id_col)
+    return first_scored(scored, k, id_col)
 
 
-def al_cycle(
+def run_cycle(
     labeled: DataFrame,
     pool: DataFrame,
     test: DataFrame,
@@ -94,8 +98,8 @@ def al_cycle(
     id_col: str = ROW_ID,
     seed: int = SEED,
     **fit,
-) -> list[dict]:
-    """One learning cycle over staged vectors; returns its history.
+) -> tuple[list[dict], DataFrame]:
+    """One learning cycle over staged vectors: its history and the picked rows by iteration.
 
     Each batch is appended to a written table, so plans stay the same length, a
     fit reads no more than the labelled rows, and a lost executor costs no
@@ -108,6 +112,7 @@ def al_cycle(
     n_labeled, n_pool = labeled.count(), pool.count()
     history: list[dict] = []
     now_labeled, now_pool = labeled, pool
+    batches = pool.withColumn("iteration", F.lit(0)).where(F.lit(False))
     for i in range(n_iterations):
         if n_pool == 0:
             break
@@ -123,12 +128,19 @@ def al_cycle(
         ids = query_pool(
             predict(classifier, now_pool), strategy, batch, id_col, seed=f"{seed}:{i}"
         )
-        take_rows(now_pool, ids, id_col).write.mode("append").parquet(path)
-        picked = spark.read.schema(pool.schema).parquet(path)
+        batch_rows = take_rows(now_pool, ids, id_col).withColumn("iteration", F.lit(i))
+        batch_rows.write.mode("append").parquet(path)
+        batches = spark.read.schema(batch_rows.schema).parquet(path)
+        picked = batches.drop("iteration")
         now_labeled = labeled.unionByName(picked)
         now_pool = remove_rows(pool, picked, id_col)
         n_labeled, n_pool = n_labeled + batch, n_pool - batch
-    return history
+    return history, batches.select("iteration", id_col)
+
+
+def al_cycle(labeled: DataFrame, pool: DataFrame, test: DataFrame, strategy: str = "entropy", **how) -> list[dict]:
+    """The history of ``run_cycle``."""
+    return run_cycle(labeled, pool, test, strategy, **how)[0]
 
 
 @dataclass
@@ -165,10 +177,11 @@ def compare_strategies(
     """
     spark = df.sparkSession
     rows = df.select(id_col, text, label).dropna(subset=[text, label])
-    ids = stage(rows.select(id_col), "ids")  # the texts are read for missing ones once
-    n = ids.count()
+    # one read of the input: texts and labels are written, and counted while they are
+    rows, seen = stage_counted(rows, "rows", rows=F.count(F.lit(1)))
+    n = seen["rows"]
     sizes = dict(sizes or learning_sizes(n, n_start))
-    parts = split_by_rank(rows, sizes, id_col, seed, ids=ids)
+    parts = split_by_rank(rows, sizes, id_col, seed, total=n)
     n_test = n - sizes["labeled"] - sizes["pool"]
     if fit_on == "all":
         vocabulary = tfidf_fit(rows, text, max_features, n)
@@ -182,9 +195,9 @@ def compare_strategies(
 
     @inheritable_thread_target(spark)
     def cycle(strategy: str) -> list[dict]:
-        return al_cycle(
+        return run_cycle(
             labeled, pool, test, strategy, n_iterations, batch_size, label, id_col, seed, **fit
-        )
+        )[0]
 
     # The cycles do not depend on one another, so their jobs may share the cluster.
     with ThreadPoolExecutor(max_workers=len(strategies)) as threads:
@@ -215,13 +228,13 @@ def select_informative(
     """Seed rows plus the ``k`` pool rows the model is least sure of.
 
     Under 20 valid rows, all of them pass through. ``only_selected`` leaves the
-    seed rows out.
+    seed rows out. The input is read once, its valid rows are written.
     """
-    valid = filter_valid_labels(df, label)
-    n = valid.count()
+    valid, seen = stage_counted(filter_valid_labels(df, label), "valid", rows=F.count(F.lit(1)))
+    n = seen["rows"]
     if n < MIN_SELECTABLE:
         return valid
-    parts = split_by_rank(valid, seed_pool_sizes(n), id_col, seed)
+    parts = split_by_rank(valid, seed_pool_sizes(n), id_col, seed, total=n)
     vocabulary = tfidf_fit(valid, text, max_features, n)
     features = tfidf_transform(parts, vocabulary, text, id_col, [label, "part"])
     vectors = stage_vectors(features, vocabulary.count(), "part")

@@ -17,6 +17,7 @@ from labelmill.functions.columns import (
 )
 from labelmill.functions.ranks import quantiles
 from labelmill.operators.profile import IQR_FACTOR, bounds_of
+from labelmill.storage import stage
 
 # Names of the steps.
 DEFAULT_STRATEGY = {"missing": "median", "duplicates": "drop", "outliers": "clip_iqr"}
@@ -110,14 +111,20 @@ def remove_outliers(
 ) -> DataFrame:
     """Drop rows outside the fences, column by column in the given order.
 
-    Each column's fences are taken from the rows the earlier columns left.
+    Each column's fences are taken from the rows the earlier columns left. They are
+    found over the numbers alone, which are written once; the rows themselves are
+    then filtered by all fences in one scan.
     """
-    numbers = df if numbers is None else numbers
-    for c in list(cols or numeric_columns(df, [ROW_ID])):
+    cols = list(cols or numeric_columns(df, [ROW_ID]))
+    if not cols:
+        return df
+    numbers = stage((df if numbers is None else numbers).select(*cols), "numbers")
+    kept = F.lit(True)
+    for c in cols:
         bounds = bounds_of(numbers, [c], k, **how)[c]
         inside = F.lit(False) if bounds is None else F.col(c).between(bounds[2], bounds[3])
-        df, numbers = df.where(inside), numbers.where(inside)
-    return df
+        kept, numbers = kept & inside, numbers.where(inside)
+    return df.where(kept)
 
 
 def clean(
@@ -143,7 +150,9 @@ def clean(
     numbers = df.select(*numeric)
     if strategy.get("duplicates") == "drop":
         digest = row_digest(df, content_columns(df, id_col))
-        numbers = df.select(digest.alias("_digest"), *numeric).distinct().drop("_digest")
+        # digests of whole rows are costly and the numbers are read more than once
+        if numeric and strategy.get("outliers", "clip_iqr") in ("clip_iqr", "remove"):
+            numbers = stage(df.select(digest.alias("_digest"), *numeric).distinct().drop("_digest"), "numbers")
         df = drop_duplicates(df, id_col=id_col)
     outliers = strategy.get("outliers", "clip_iqr")
     if not numeric:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.ml.feature import CountVectorizerModel
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelmill.functions.columns import BROADCAST_ROWS, ROW_ID, TEXT, as_text, small_side
+from labelmill.functions.columns import BROADCAST_ROWS, ROW_ID, TEXT, as_text, lookup, small_side
 from labelmill.functions.ranks import commonest
 from labelmill.storage import new_stage_path
 
@@ -38,8 +37,8 @@ def tfidf_fit(
 ) -> DataFrame:
     """Vocabulary (ix, term, doc_freq, total, idf) of the commonest terms.
 
-    Each text is split once and its terms are sorted and counted: all of them give
-    the total, the first of equal ones doc_freq. Counts combine on the map side, so
+    Each text is split once: all its terms give the total, its distinct ones
+    doc_freq. Counts combine on the map side, so
     neither a text nor a frequent term is ever gathered in one place; the cut is
     found by rank selection, so the driver reads the chosen terms only. Ties at the cut go
     to the smaller term; ``ix`` follows the order of the terms. The result has at
@@ -48,14 +47,14 @@ def tfidf_fit(
     """
     if max_features > MAX_VOCABULARY:
         raise ValueError(f"max_features above {MAX_VOCABULARY} cannot be broadcast")
-    split = df.select(F.array_sort(F.split(F.lower(as_text(F.col(text))), NOT_WORD)).alias("all"))
-    # Of equal neighbours the first stands for the row.
-    flagged = F.transform("all", lambda t, i: F.struct(t.alias("term"), (~t.eqNullSafe(F.get(F.col("all"), i - 1))).alias("first")))
+    split = df.select(F.split(F.lower(as_text(F.col(text))), NOT_WORD).alias("all"))
+    mark = lambda first: lambda t: F.struct(t.alias("term"), F.lit(first).alias("first"))
+    marked = F.concat(F.transform("all", mark(0)), F.transform(F.array_distinct("all"), mark(1)))
     counts = (
-        split.select(F.inline(flagged))
+        split.select(F.inline(marked))
         .where(F.length("term") >= MIN_TERM_CHARS)
         .groupBy("term")
-        .agg(F.count_if("first").alias("doc_freq"), F.count(F.lit(1)).alias("total"))
+        .agg(F.sum("first").alias("doc_freq"), F.sum(1 - F.col("first")).alias("total"))
     )
     rows = commonest(counts, "total", "term", max_features).collect()
     n = df.count() if n is None else n
@@ -68,11 +67,6 @@ def tfidf_fit(
     return vocabulary.coalesce(1).withColumn("idf", idf)
 
 
-def _lookup(values: Sequence[float]) -> Column:
-    """Constant array, folded to a literal once."""
-    return F.from_json(F.lit(json.dumps(list(values))), "array<double>")
-
-
 def tfidf_transform(
     df: DataFrame,
     vocabulary: DataFrame,
@@ -93,7 +87,7 @@ def tfidf_transform(
     sparse = counted.select(id_col, *keep, F.unwrap_udt("_counts").alias("c"))
     raw = F.zip_with(
         "c.indices", "c.values",
-        lambda ix, tf: (F.lit(1.0) + F.log(tf)) * F.get(_lookup([r["idf"] for r in known]), ix),
+        lambda ix, tf: (F.lit(1.0) + F.log(tf)) * F.get(lookup([r["idf"] for r in known]), ix),
     )
     rows = sparse.select(id_col, *keep, F.col("c.indices").alias("indices"), raw.alias("raw"))
     norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda acc, w: acc + w * w))

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.functions.columns import LABEL, small_side
+from labelmill.functions.columns import LABEL, bound, lookup, small_side
 
 MAX_ITERATIONS = 1000
 TOLERANCE = 1e-5
 MAX_CLASSES = 1000
+# Rows that one task of a fit holds in memory, and tasks beyond which gradients are added up in three levels.
+ROWS_PER_TASK, DEEP_TASKS = 20_000, 1000
 # Cells (classes times terms) that a coefficient table brings to the driver.
 MAX_COEFFICIENTS = 10_000_000
 
@@ -43,22 +45,106 @@ def fit_classifier(
         raise ValueError(f"need 2 to {MAX_CLASSES} classes and no missing label: {classes[:5]}")
     n = sum(r["count"] for r in seen)
     index = F.array_position(F.array(*[F.lit(k) for k in classes]), truth) - 1
-    rows = vectors.select(index.cast("double").alias("label"), "features")
+    # As many tasks as the rows need: every step of the fit is a job over all of them, and
+    # with few of them its partial gradients are added up without a stage in between.
+    tasks = -(-n // ROWS_PER_TASK)
+    rows = vectors.select(index.cast("double").alias("label"), "features").coalesce(tasks)
     regression = LogisticRegression(
         maxIter=max_iter, regParam=1.0 / (c * n), elasticNetParam=0.0,
-        standardization=False, tol=tol,
+        standardization=False, tol=tol, aggregationDepth=2 if tasks <= DEEP_TASKS else 3,
     )
     return Classifier(regression.fit(rows), classes)
 
 
-def predict(classifier: Classifier, vectors: DataFrame) -> DataFrame:
-    """Add ``probs`` (by class order) and ``prediction``; drop the vectors."""
-    scored = classifier.model.transform(vectors)
-    names = F.array(*[F.lit(k) for k in classifier.classes])
+@dataclass
+class Scorer:
+    """A linear model as numbers: weights by class and place of the term, one intercept a class.
+
+    Two classes may have one row of weights, that of the second against the first.
+    """
+
+    classes: list[str]
+    weights: list[list[float]]
+    intercepts: list[float]
+
+
+def scorer_of(classifier: Classifier) -> Scorer:
+    """The coefficients of a fitted model."""
+    matrix = classifier.model.coefficientMatrix.toArray()
+    return Scorer(classifier.classes, matrix.tolist(), classifier.model.interceptVector.toArray().tolist())
+
+
+def coefficient_rows(scorer: Scorer, vocabulary: DataFrame) -> DataFrame:
+    """A scorer as a table (class, ix, weight); ix is null for the intercept."""
+    names = scorer.classes if len(scorer.weights) > 1 else scorer.classes[1:]
+    rows = [(name, [float(w) for w in row], float(b)) for name, row, b in zip(names, scorer.weights, scorer.intercepts)]
+    table = vocabulary.sparkSession.createDataFrame(rows, "class string, weights array<double>, b double")
+    cells = table.select("class", F.posexplode("weights").alias("ix", "weight"))
+    return cells.unionByName(table.select("class", F.lit(None).cast("int").alias("ix"), F.col("b").alias("weight")))
+
+
+def scorer_from(table: DataFrame, classes: Sequence[str], size: int) -> Scorer:
+    """The scorer of a stored table (class, ix, weight); missing cells are 0.
+
+    At most MAX_COEFFICIENTS cells are read.
+    """
+    if size * len(classes) > MAX_COEFFICIENTS:
+        raise ValueError(f"{size * len(classes)} coefficients; at most {MAX_COEFFICIENTS} are read")
+    cells = table.select("class", "ix", F.col("weight").cast("double").alias("weight")).limit((size + 1) * len(classes) + 1).collect()
+    held = {r["class"] for r in cells}
+    one = len(classes) == 2 and held <= {classes[1]}
+    names = list(classes[1:] if one else classes)
+    if len(cells) > (size + 1) * len(names) or held - set(names):
+        raise ValueError("cells of other classes or repeated ones")
+    weights, intercepts = [[0.0] * size for _ in names], [0.0] * len(names)
+    for r in cells:
+        k = names.index(r["class"])
+        if r["ix"] is None:
+            intercepts[k] = r["weight"]
+        else:
+            weights[k][r["ix"]] = r["weight"]
+    return Scorer(list(classes), weights, intercepts)
+
+
+def class_probabilities(scorer: Scorer, indices: Column, values: Column) -> Column:
+    """Softmax of the class scores of a sparse row, in expressions of the row alone."""
+    size = len(scorer.weights[0])
+    flat = lookup([w for row in scorer.weights for w in row])
+
+    def score(k: Column, b: Column) -> Column:
+        terms = F.zip_with(indices, values, lambda i, v: v * F.get(flat, k * size + i))
+        return F.aggregate(terms, b, lambda acc, x: acc + x)
+
+    ks = F.sequence(F.lit(0), F.lit(len(scorer.weights) - 1))
+    scores = F.zip_with(ks, lookup(scorer.intercepts), score)
+    if len(scorer.weights) < len(scorer.classes):
+        scores = F.concat(F.array(F.lit(0.0)), scores)
+
+    def softmax(raw: Column) -> Column:
+        return bound(F.transform(raw, lambda x: F.exp(x - F.array_max(raw))),
+                     lambda e: bound(F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x), lambda total: F.transform(e, lambda x: x / total)))
+
+    return bound(scores, softmax)
+
+
+def predict(classifier: Classifier | Scorer, vectors: DataFrame) -> DataFrame:
+    """Add ``probs`` (by class order) and ``prediction``, the first of the likeliest; drop the vectors.
+
+    Vectors are sparse or dense. Only expressions of the row are evaluated, so the plan
+    holds the coefficients and neither a model object nor a session. A null vector has
+    no probabilities; an empty one has those of the intercepts.
+    """
+    scorer = classifier if isinstance(classifier, Scorer) else scorer_of(classifier)
+    parts = vectors.withColumn("_v", F.unwrap_udt("features"))
+    size = len(scorer.weights[0])
+    indices = F.when(F.col("_v.type") == 0, F.col("_v.indices")).otherwise(F.sequence(F.lit(0), F.lit(max(size - 1, 0))))
+    probs = class_probabilities(scorer, indices, F.col("_v.values"))
+    scored = parts.withColumn("probs", F.when(F.col("_v").isNotNull(), probs))
+    names = F.array(*[F.lit(k) for k in scorer.classes])
     return scored.select(
         *[c for c in vectors.columns if c != "features"],
-        vector_to_array("probability").alias("probs"),
-        F.element_at(names, F.col("prediction").cast("int") + 1).alias("prediction"),
+        "probs",
+        bound(F.col("probs"), lambda p: F.get(names, (F.array_position(p, F.array_max(p)) - 1).cast("int"))).alias("prediction"),
     )
 
 

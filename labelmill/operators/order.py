@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,22 +64,20 @@ def split_by_rank(
     seed: int = SEED,
     name: str = "part",
     ids: DataFrame | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """Cut the shuffled rows into parts of exact sizes, in order; the last takes the rest.
 
     Cuts are found by rank selection on the shuffle key, so a part is a filter
     on the scan and no row moves. ``ids`` may give the ids of the same rows as a
-    written table, if the rows themselves are costly to scan.
+    written table, if the rows themselves are costly to scan, ``total`` their number.
     """
     keyed = df.withColumn("_key", seeded_key(id_col, seed))
     keys = keyed if ids is None else ids.withColumn("_key", seeded_key(id_col, seed))
     names = list(parts)
-    ends, total = [], 0
-    for part in names[:-1]:
-        total += parts[part]
-        ends.append(total)
+    ends = list(accumulate(parts[part] for part in names[:-1]))
     label: Column | None = None
-    conditions = rank_conditions(keys, "_key", id_col, ends, staged=ids is not None)
+    conditions = rank_conditions(keys, "_key", id_col, ends, total=total)
     for part, inside in zip(names, conditions):
         label = F.when(inside, part) if label is None else label.when(inside, part)
     label = F.lit(names[-1]) if label is None else label.otherwise(names[-1])

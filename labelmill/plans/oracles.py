@@ -550,6 +550,66 @@ oracle(
     "reviews", f"{TERMS}, {VOCABULARY}",
 )
 
+# --- stored coefficients ---
+
+LABELLED_TERMS = TERMS.replace("FROM reviews)", "FROM reviews WHERE original_label IS NOT NULL)")
+LABELLED_WEIGHTS = VOCABULARY.replace("FROM reviews)", "FROM tokens)") + """,
+weights AS (
+  SELECT row_id, term, w / SQRT(SUM(w * w) OVER (PARTITION BY row_id)) AS weight
+  FROM (SELECT c.row_id, c.term, (1 + LN(c.tf)) * v.idf AS w FROM counts c JOIN vocabulary v ON v.term = c.term)),
+parts AS (
+  SELECT row_id, original_label, CASE WHEN rn <= LEAST(50, FLOOR(0.5 * rest)) THEN 'labeled' WHEN rn <= rest THEN 'pool' ELSE 'test' END AS part
+  FROM (SELECT *, GREATEST(n - GREATEST(50, CAST(FLOOR(0.2 * n) AS BIGINT)), 0) AS rest
+        FROM (SELECT row_id, original_label, COUNT(*) OVER () AS n, ROW_NUMBER() OVER (ORDER BY """ + KEY + """) AS rn
+              FROM reviews WHERE original_label IS NOT NULL)))"""
+
+
+def _scored(train: str) -> str:
+    """Centroids of the rows that ``train`` names, and every labelled row's class probabilities."""
+    return f"""classes AS (SELECT original_label AS class, COUNT(*) AS n FROM parts WHERE {train} GROUP BY 1),
+coefs AS (
+  SELECT c.class, w.term, SUM(w.weight) * 8.0 / ANY_VALUE(c.n) AS coef
+  FROM weights w JOIN parts p ON p.row_id = w.row_id JOIN classes c ON c.class = p.original_label WHERE {train} GROUP BY 1, 2),
+summed AS (
+  SELECT w.row_id, c.class, SUM(w.weight * c.coef) AS s FROM weights w JOIN coefs c ON c.term = w.term GROUP BY 1, 2),
+scored AS (
+  SELECT p.row_id, p.original_label, p.part, c.class, EXP(COALESCE(s.s, 0)) AS e
+  FROM parts p CROSS JOIN classes c LEFT JOIN summed s ON s.row_id = p.row_id AND s.class = c.class),
+predicted AS (
+  SELECT row_id, ANY_VALUE(original_label) AS label, ANY_VALUE(part) AS part, FIRST(class ORDER BY e DESC, class) AS prediction,
+         {", ".join(f"SUM(e) FILTER (WHERE class = '{c}') / SUM(e) AS p_{c}" for c in ("negative", "neutral", "positive"))}
+  FROM scored GROUP BY row_id)"""
+
+
+_probs = ", ".join(f"ROUND(p_{c}, 6) AS p_{c}" for c in ("negative", "neutral", "positive"))
+oracle("predict_stored", f"SELECT row_id, label AS original_label, prediction, {_probs} FROM predicted", "reviews", f"{LABELLED_TERMS}, {LABELLED_WEIGHTS}, {_scored('TRUE')}")
+oracle("save_scorer", f"SELECT row_id, prediction, {_probs} FROM predicted", "reviews", f"{LABELLED_TERMS}, {LABELLED_WEIGHTS}, {_scored('TRUE')}")
+_train = "part <> 'test'"
+oracle(
+    "evaluate_stored",
+    """SELECT ROUND((SELECT AVG(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) FROM tested), 6) AS accuracy,
+    ROUND(AVG(2.0 * tp / (2 * tp + fp + fn)), 6) AS f1
+    FROM (SELECT c, COUNT(*) FILTER (WHERE label = c AND prediction = c) AS tp,
+                 COUNT(*) FILTER (WHERE label <> c AND prediction = c) AS fp,
+                 COUNT(*) FILTER (WHERE label = c AND prediction <> c) AS fn
+          FROM tested, (SELECT label AS c FROM tested UNION SELECT prediction FROM tested) GROUP BY c)""",
+    "reviews", f"{LABELLED_TERMS}, {LABELLED_WEIGHTS}, {_scored(_train)}, tested AS (SELECT * FROM predicted WHERE part = 'test')",
+)
+
+
+def _random_pick(i: int) -> str:
+    """The ten rows of the pool, less those picked before, with the highest number of this iteration."""
+    score = f"CAST(('0x' || substr(md5(concat('42:{i}:', CAST(row_id AS VARCHAR))), 1, 13)) AS BIGINT)"
+    before = "".join(f" AND row_id NOT IN (SELECT row_id FROM pick{j})" for j in range(i))
+    return f"pick{i} AS (SELECT row_id FROM parts WHERE part = 'pool'{before} ORDER BY ROUND({score} / CAST(4503599627370496 AS DOUBLE), 12) DESC, row_id LIMIT 10)"
+
+
+oracle(
+    "al_cycle_random_picks",
+    " UNION ALL ".join(f"SELECT CAST({i} AS INT) AS iteration, row_id FROM pick{i}" for i in range(2)),
+    "reviews", f"{LABELLED_TERMS}, {LABELLED_WEIGHTS}, {_random_pick(0)}, {_random_pick(1)}",
+)
+
 # --- scores and queries ---
 
 _plnp = " + ".join(f"CASE WHEN p{i} > 0 THEN p{i} * LN(p{i}) ELSE 0 END" for i in (1, 2, 3))

@@ -30,7 +30,7 @@ from labelmill.operators import (
 from labelmill.plans.flow import curation_flow
 from labelmill.plans.views import with_views
 from labelmill.sources import sinks, tables
-from labelmill.storage import new_stage_path, stage
+from labelmill.storage import new_stage_path, stage, stage_counted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -644,9 +644,9 @@ def _(spark, sf):
 
 def _vectors(df: DataFrame, label: str = "original_label") -> tuple[DataFrame, DataFrame]:
     """Staged vectors of the labelled reviews, and the vocabulary."""
-    rows = df.where(F.col(label).isNotNull())
-    parts = order.split_by_rank(rows, order.learning_sizes(rows.count()))
-    vocabulary = features.tfidf_fit(rows)
+    rows, seen = stage_counted(df.where(F.col(label).isNotNull()).select("row_id", "text", label), "rows", rows=F.count(F.lit(1)))
+    parts = order.split_by_rank(rows, order.learning_sizes(seen["rows"]), total=seen["rows"])
+    vocabulary = features.tfidf_fit(rows, n=seen["rows"])
     sparse = features.tfidf_transform(parts, vocabulary, keep=[label, "part"])
     return features.stage_vectors(sparse, vocabulary.count(), "part"), vocabulary
 
@@ -658,11 +658,17 @@ def _(df):
     return learn.coefficient_table(fitted, vocabulary)
 
 
+def _shown(predicted: DataFrame, classes: list[str], *keep: str) -> DataFrame:
+    """Prediction and the probability of each class, as columns p_<class>."""
+    probs = [F.get("probs", F.lit(i)).alias(f"p_{c}") for i, c in enumerate(classes)]
+    return predicted.select("row_id", *keep, "prediction", *probs)
+
+
 @query("predict", "reviews")
 def _(df):
     vectors, _vocabulary = _vectors(df)
     fitted = learn.fit_classifier(vectors, "original_label")
-    return learn.predict(fitted, vectors).select("row_id", "original_label", "prediction")
+    return _shown(learn.predict(fitted, vectors), fitted.classes, "original_label")
 
 
 @query("evaluate", "reviews")
@@ -678,7 +684,56 @@ def _(df):
     path = new_stage_path(df.sparkSession, "model")
     sinks.save_model(learn.fit_classifier(vectors, "original_label"), vocabulary, path)
     loaded = sinks.load_model(df.sparkSession, path)
-    return learn.predict(loaded.classifier, vectors).select("row_id", "prediction")
+    return _shown(learn.predict(loaded.classifier, vectors), loaded.classifier.classes)
+
+
+#: How far class centroids are stretched to serve as coefficients.
+STRETCH = 8.0
+
+
+def _centroids(vectors: DataFrame, size: int) -> learn.Scorer:
+    """Stored coefficients without a fit: each class's mean weight of each term."""
+    sparse = F.unwrap_udt("features")
+    cells = vectors.select(F.col("original_label").alias("class"), F.inline(F.arrays_zip(sparse["indices"].alias("ix"), sparse["values"].alias("v"))).alias("ix", "v"))
+    sums = cells.groupBy("class", "ix").agg(F.sum("v").alias("v"))
+    rows = vectors.groupBy(F.col("original_label").alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    table = sums.join(F.broadcast(rows), "class").select("class", "ix", (F.col("v") * STRETCH / F.col("n")).alias("weight"))  # one row a class
+    return learn.scorer_from(table, sorted(r["class"] for r in rows.collect()), size)
+
+
+@query("predict_stored", "reviews")
+def _(df):
+    """The scorer of ``predict`` with coefficients that SQL can repeat."""
+    vectors, vocabulary = _vectors(df)
+    scorer = _centroids(vectors, vocabulary.count())
+    return _shown(learn.predict(scorer, vectors), scorer.classes, "original_label")
+
+
+@query("save_scorer", "reviews")
+def _(df):
+    vectors, vocabulary = _vectors(df)
+    path = new_stage_path(df.sparkSession, "scorer")
+    sinks.save_scorer(_centroids(vectors, vocabulary.count()), vocabulary, path)
+    scorer, _loaded = sinks.load_scorer(df.sparkSession, path)
+    return _shown(learn.predict(scorer, vectors), scorer.classes)
+
+
+@query("evaluate_stored", "reviews")
+def _(df):
+    """Coefficients from the rows outside the test part, metrics on the test part."""
+    vectors, vocabulary = _vectors(df)
+    test = F.col("part") == "test"
+    return learn.evaluate_fitted(_centroids(vectors.where(~test), vocabulary.count()), vectors.where(test), "original_label")
+
+
+@query("al_cycle_random_picks", "reviews")
+def _(df):
+    """The rows that a cycle with random queries picks, by iteration."""
+    vectors, _vocabulary = _vectors(df)
+    labeled, pool, test = (
+        vectors.where(F.col("part") == p).drop("part") for p in ("labeled", "pool", "test")
+    )
+    return active.run_cycle(labeled, pool, test, "random", 3, label="original_label")[1]
 
 
 @query("al_cycle", "reviews")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelmill.functions.columns import ROW_ID, small_table
-from labelmill.operators.learn import Classifier
+from labelmill.operators.learn import Classifier, Scorer, coefficient_rows, scorer_from
 from labelmill.operators.review import QUEUE_COLUMNS, review_queue
 
 
@@ -78,6 +78,21 @@ def save_model(classifier: Classifier, vocabulary: DataFrame, path: str) -> None
     classifier.model.write().overwrite().save(f"{path}/model")
 
 
+def save_scorer(scorer: Scorer, vocabulary: DataFrame, path: str) -> None:
+    """Write a linear model as tables: the vocabulary, the class list, the coefficients."""
+    vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
+    classes = small_table(vocabulary.sparkSession, list(enumerate(scorer.classes)), "ix int, class string")
+    classes.write.mode("overwrite").parquet(f"{path}/classes")
+    coefficient_rows(scorer, vocabulary).write.mode("overwrite").parquet(f"{path}/coefficients")
+
+
+def load_scorer(spark: SparkSession, path: str) -> tuple[Scorer, DataFrame]:
+    """The scorer and the vocabulary of ``save_scorer``."""
+    classes = [r["class"] for r in spark.read.parquet(f"{path}/classes").orderBy("ix").collect()]
+    vocabulary = spark.read.parquet(f"{path}/vocabulary")
+    return scorer_from(spark.read.parquet(f"{path}/coefficients"), classes, vocabulary.count()), vocabulary
+
+
 def load_model(spark: SparkSession, path: str) -> SavedModel:
     classes = [r["class"] for r in spark.read.parquet(f"{path}/classes").orderBy("ix").collect()]
     model = LogisticRegressionModel.load(f"{path}/model")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local: dict[str, str] = {}
@@ -44,3 +44,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stage``, with aggregates of the rows taken while they are written: no pass of their own.
+
+    The metrics are the last step of the written plan, whose tasks are counted once each,
+    also if one has to run again.
+    """
+    seen = Observation()
+    out = stage(df.observe(seen, *[m.alias(n) for n, m in metrics.items()]), name)
+    return out, seen.get
