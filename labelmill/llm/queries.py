@@ -19,7 +19,7 @@ from labelmill.llm.quality import BASE, judge, ledger, mask
 from labelmill.llm.ranked_search import ranked_search
 from labelmill.llm.secret_scan import scan_secrets, span_list
 from labelmill.llm.suffix_dedup import drop_repeats, removed_bytes
-from labelmill.llm.unit_dedup import drop_repeated_units
+from labelmill.llm.unit_dedup import PASSAGE_WORDS, drop_repeated_units
 from labelmill.llm.whitening import whiten
 
 
@@ -40,7 +40,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = drop_repeated_units(read(spark, sf_dir, "documents"), unit="passage")
+    found = drop_repeated_units(read(spark, sf_dir, "documents"), unit="passage", min_words=PASSAGE_WORDS)
     spans = F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"])), ",")
     return found.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), spans.alias("removed"), "text")
 

@@ -1,4 +1,4 @@
-"""Substring dedup by unit digests: lines, paragraphs, sentences of lines, or lines with their sentences.
+"""Substring dedup by unit digests: lines, paragraphs, sentences of lines, or passages of sentences.
 
 Units are normalised (lower case, runs of anything but letters and digits become one
 blank) and hashed; digests are grouped over all documents. The earliest occurrence,
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -21,6 +22,8 @@ from labelmill.storage import stage
 
 #: Units with fewer words stay where they stand alone: short ones repeat by chance.
 MIN_WORDS = 8
+#: Words of a repeated passage. A notice or a saying of fewer words stays where it stands among other words.
+PASSAGE_WORDS = 25
 SPLITS = {
     "line": re.compile(r"[^\n]+"),
     "paragraph": re.compile(r"[^\n](?:[^\n]|\n(?![ \t]*\n))*"),
@@ -45,20 +48,11 @@ def digest(plain: str) -> bytes:
 def units(text: str, unit: str, min_words: int) -> Iterable[tuple[int, int, bytes]]:
     """(start, end, digest) of each unit with enough words; offsets in code points.
 
-    ``passage`` gives lines and, within them, sentences: a repeated line goes as a
-    whole, of another line the repeated sentences. What is too short by itself is
-    covered by runs (``short_runs``).
+    ``passage`` gives runs of sentences within their lines (``runs``), the others each
+    line, paragraph or sentence by itself.
     """
     if unit == "passage":
-        found = {(a, b): d for kind in ("sentence", "line") for a, b, d in units(text, kind, min_words)}
-        found |= {(a, b): d for a, b, d in short_runs(text, min_words)}
-        first: dict[bytes, int] = {}
-        for a, b in sorted(found, key=lambda x: (x[0], -x[1])):
-            d = found[a, b]
-            # what overlaps the first unit of the same words is no further occurrence
-            if d not in first or a >= first[d]:
-                yield a, b, d
-            first.setdefault(d, b)
+        yield from runs(text, min_words)
         return
     for m in SPLITS[unit].finditer(text):
         plain, n = normal(m.group())
@@ -66,41 +60,46 @@ def units(text: str, unit: str, min_words: int) -> Iterable[tuple[int, int, byte
             yield m.start(), m.end(), digest(plain)
 
 
-def short_runs(text: str, min_words: int) -> Iterable[tuple[int, int, bytes]]:
-    """(start, end, digest) of the shortest runs of sentences with enough words that start or end at a shorter one.
+def runs(text: str, min_words: int) -> Iterable[tuple[int, int, bytes]]:
+    """(start, end, digest) of the shortest runs of sentences with enough words, one from and one up to each sentence.
 
-    Every sentence of a repeated passage with enough words lies in such a run inside
-    the passage: with enough words up to it, in the run that ends there, else in the
-    one that starts with the passage. A text with fewer words is one unit, equal
-    only to whole texts.
+    Every sentence of a repeated passage with enough words lies in a run inside the
+    passage: in the run that ends with it, or in the one that starts with the passage.
+    A sentence is normalised and hashed once; a run's digest is that of its sentences'
+    digests. A text with fewer words is one unit, equal only to whole texts. What
+    overlaps the first run of the same words in a text is no further occurrence.
     """
-    parts = [(m.start(), m.end(), *normal(m.group())) for m in SPLITS["sentence"].finditer(text)]
-    parts = [x for x in parts if x[3]]
+    parts = []
+    for m in SPLITS["sentence"].finditer(text):
+        plain, n = normal(m.group())
+        if n:
+            parts.append((m.start(), m.end(), n, digest(plain)))
     if not parts:
         return
-    if sum(x[3] for x in parts) < min_words:
-        yield parts[0][0], parts[-1][1], digest(" ".join(x[2] for x in parts))
+    ends, total = [], 0  # words up to each sentence
+    for x in parts:
+        total += x[2]
+        ends.append(total)
+    if total < min_words:
+        yield parts[0][0], parts[-1][1], hashlib.md5(b"".join(x[3] for x in parts)).digest()
         return
-    runs, low, high, words = set(), 0, 0, 0
-    for low, part in enumerate(parts):  # parts[low:high] is the shortest run from low on
-        while words < min_words and high < len(parts):
-            words += parts[high][3]
-            high += 1
-        if words < min_words:
-            break
-        if part[3] < min_words:
-            runs.add((low, high))
-        words -= part[3]
-    low = words = 0
-    for high, part in enumerate(parts, 1):  # and the shortest one that ends before high
-        words += part[3]
-        while words - parts[low][3] >= min_words:
-            words -= parts[low][3]
-            low += 1
-        if words >= min_words and part[3] < min_words:
-            runs.add((low, high))
-    for low, high in runs:
-        yield parts[low][0], parts[high - 1][1], digest(" ".join(x[2] for x in parts[low:high]))
+    found = set()
+    for i, x in enumerate(parts):
+        before = ends[i] - x[2]
+        high = bisect_left(ends, before + min_words)
+        if high < len(parts):
+            found.add((i, high))
+        low = bisect_right(ends, ends[i] - min_words)
+        if ends[i] >= min_words:
+            found.add((low, i))
+    hashes = b"".join(x[3] for x in parts)
+    first: dict[bytes, int] = {}
+    for low, high in sorted(found, key=lambda r: (r[0], -r[1])):
+        d = hashlib.md5(hashes[16 * low : 16 * high + 16]).digest()
+        a, b = parts[low][0], parts[high][1]
+        if d not in first or a >= first[d]:
+            yield a, b, d
+        first.setdefault(d, b)
 
 
 def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
