@@ -67,18 +67,44 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 OP9 = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
-hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM lines),
+hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h, count(*) OVER (PARTITION BY doc_id) AS n FROM lines),
+rolled AS (SELECT *, (lag(h) OVER d * 31 + h) % 1000003 AS r FROM hashed WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
 ends AS (
-  SELECT *, coalesce((lag(h) OVER d * 31 + h) % 3 = 0, false) AS last FROM hashed WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+  SELECT *, i > 0 AND i < n - 2 AND coalesce(r < lag(r) OVER d, true) AND r <= lead(r) OVER d AS last
+  FROM rolled WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
 numbered AS (
   SELECT *, coalesce(sum(CAST(last AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM ends),
-chunks AS (
-  SELECT doc_id, c, min(i) AS first, max(i) AS final, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY 1, 2
-  HAVING count(*) > 1 AND regexp_matches(string_agg(line, chr(10) ORDER BY i), '[^\x20\x09-\x0D]')),
-gone AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) AS r FROM chunks QUALIFY r > 1),
-spans AS (SELECT doc_id, CAST(sum(final - first + 1) AS BIGINT) AS n, string_agg(first || ':' || final, ',' ORDER BY first) AS s FROM gone GROUP BY 1),
+cut AS (SELECT doc_id, c, min(i) AS first, max(i) AS final, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY 1, 2),
+around AS (
+  SELECT *, coalesce(lag(first) OVER d, first) AS low, coalesce(lead(final) OVER d, final) AS high FROM cut WINDOW d AS (PARTITION BY doc_id ORDER BY c)),
+chunks AS (SELECT *, count(*) OVER (PARTITION BY body) > 1 AS again FROM around WHERE final > first),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) AS k,
+         first_value(doc_id) OVER w AS k_doc, first_value(first) OVER w AS k_first, first_value(final) OVER w AS k_final,
+         first_value(low) OVER w AS k_low, first_value(high) OVER w AS k_high
+  FROM chunks WHERE again AND regexp_matches(body, '[^\x20\x09-\x0D]') WINDOW w AS (PARTITION BY body ORDER BY doc_id, first)),
+gone AS (
+  SELECT g.*, NOT EXISTS (SELECT 1 FROM chunks x WHERE x.again AND x.doc_id = g.doc_id AND x.c = g.c - 1) AS free_before,
+         NOT EXISTS (SELECT 1 FROM chunks x WHERE x.again AND x.doc_id = g.doc_id AND x.c = g.c + 1) AS free_after
+  FROM ranked g WHERE k > 1),
+before AS (
+  SELECT g.doc_id, g.c, min(j) FILTER (WHERE a.line <> b.line) AS differs
+  FROM (SELECT *, unnest(range(1, least(first - low, k_first - k_low) + 1)) AS j FROM gone WHERE free_before) g
+  JOIN lines a ON a.doc_id = g.doc_id AND a.i = g.first - j JOIN lines b ON b.doc_id = g.k_doc AND b.i = g.k_first - j GROUP BY 1, 2),
+after AS (
+  SELECT g.doc_id, g.c, min(j) FILTER (WHERE a.line <> b.line) AS differs
+  FROM (SELECT *, unnest(range(1, least(high - final, k_high - k_final) + 1)) AS j FROM gone WHERE free_after) g
+  JOIN lines a ON a.doc_id = g.doc_id AND a.i = g.final + j JOIN lines b ON b.doc_id = g.k_doc AND b.i = g.k_final + j GROUP BY 1, 2),
+removed AS (
+  SELECT DISTINCT g.doc_id, unnest(range(
+    first - CASE WHEN free_before THEN coalesce(x.differs - 1, least(first - low, k_first - k_low)) ELSE 0 END,
+    final + CASE WHEN free_after THEN coalesce(y.differs - 1, least(high - final, k_high - k_final)) ELSE 0 END + 1)) AS i
+  FROM gone g LEFT JOIN before x ON x.doc_id = g.doc_id AND x.c = g.c LEFT JOIN after y ON y.doc_id = g.doc_id AND y.c = g.c),
+runs AS (SELECT doc_id, min(i) AS first, max(i) AS final FROM (
+  SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM removed) GROUP BY doc_id, run),
+spans AS (SELECT doc_id, CAST(sum(final - first + 1) AS BIGINT) AS n, string_agg(first || ':' || final, ',' ORDER BY first) AS s FROM runs GROUP BY 1),
 rest AS (
-  SELECT n.doc_id, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered n LEFT JOIN gone g ON n.doc_id = g.doc_id AND n.c = g.c
+  SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.i) AS body FROM lines l LEFT JOIN removed g ON l.doc_id = g.doc_id AND l.i = g.i
   WHERE g.doc_id IS NULL GROUP BY 1)
 SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines, coalesce(n, 0) AS n_removed,
        coalesce(s, '') AS removed, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(body, '') END AS text

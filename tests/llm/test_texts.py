@@ -138,6 +138,31 @@ def test_shared_lines_are_found_after_a_shift(spark):
     assert [x for x in left if x not in shared] == ["other", "two more", "lines", "end"]
 
 
+def test_whole_runs_go_out_of_other_texts(spark):
+    """Every line of a repeated run goes, also those that share a chunk with lines of their own."""
+    block = [f"repeated line {i} of the block" for i in range(9)]
+    rows = [(0, "\n".join([f"first {i}" for i in range(5)] + block + [f"last {i}" for i in range(4)]))]
+    rows += [(d, "\n".join([f"own {d} {i}" for i in range(d % 7)] + block + [f"tail {d} {i}" for i in range(d % 5)])) for d in range(1, 40)]
+    out = drop_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), details=True).collect()
+    for r in out:
+        kept = [x for x in r.text.split("\n") if x]
+        if r.doc_id == 0:
+            assert r.removed is None
+        else:
+            assert kept == [f"own {r.doc_id} {i}" for i in range(r.doc_id % 7)] + [f"tail {r.doc_id} {i}" for i in range(r.doc_id % 5)]
+
+
+def test_lines_next_to_a_repeat_stay_where_they_are_the_first_copy(spark):
+    """A chunk that others are removed for keeps all its lines."""
+    a, c = [f"alpha {i} words" for i in range(8)], [f"gamma {i} words" for i in range(8)]
+    rows = [(1, "\n".join([*a, c[0], "other end"])), (2, "\n".join([*a, *c])), (3, "\n".join(["start here", *c]))]
+    got = {r.doc_id: r.text for r in drop_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == rows[0][1]
+    lines = {x for t in got.values() for x in t.split("\n")}
+    assert lines >= {*a, *c, "other end", "start here"}
+    assert len([x for t in got.values() for x in t.split("\n") if x in c]) <= len(c) + 3
+
+
 def test_lines_of_odd_rows(odd, nothing):
     out = drop_repeated_chunks(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
