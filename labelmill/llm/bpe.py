@@ -30,9 +30,11 @@ from labelmill.llm.common import map_arrow, pieces, texts
 #: A character that no byte maps to; it ends every match at the end of a piece.
 BETWEEN = "Ā"
 #: Pairs whose compatibility a worker remembers before it starts afresh.
-MEMO = 1 << 20
+MEMO = 1 << 19
 #: Pieces of at most SHORT characters whose ids a worker remembers in the same way.
 PIECES, SHORT = 1 << 18, 64
+#: Bytes of text that are encoded at a time.
+PART_BYTES = 1_000_000
 NEVER = 1 << 62
 
 
@@ -151,9 +153,10 @@ class Vocabulary:
         number: dict[str, int] = defaultdict(count().__next__)
         codes = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64)
         known = self.pieces
-        new = [p for p in number if p not in known]
+        ids = list(map(known.get, number))
+        new = [p for p, i in zip(number, ids) if i is None]
         fresh = dict(zip(new, self.encode_pieces(new)))
-        ids = [known[p] if p in known else fresh[p] for p in number]
+        ids = [fresh[p] if i is None else i for p, i in zip(number, ids)]
         if len(known) + len(fresh) > PIECES:
             known.clear()
         known.update((p, i) for p, i in fresh.items() if len(p) <= SHORT)
@@ -190,23 +193,27 @@ def token_bytes(ranks: str) -> dict[int, bytes]:
     return {i: t for t, i in read_ranks(ranks).items()}
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, ranks: str, pattern: str | None = None, decoding: bool = False) -> DataFrame:
     """doc_id and ids (binary, little-endian uint32) of every row's whole text.
 
     No special token is added or recognised. A null or empty text has no ids; repeated
     rows stay; other columns are not read; an empty table gives no rows. ``ranks`` is
-    a path that every worker can read.
+    a path that every worker can read. ``decoding`` decodes the ids in the same pass, as
+    ``decode`` does, into a further column ``decoded``.
     """
     base = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(ranks, pattern)
         for batch in batches:
-            for a, b in pieces(batch.column("text")):
-                ids = [x.tobytes() for x in words.encode_batch(batch.column("text")[a:b].to_pylist())]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-
-    return map_arrow(base, run, "doc_id long, ids binary")
+            for a, b in pieces(batch.column("text"), PART_BYTES):
+                ids = words.encode_batch(batch.column("text")[a:b].to_pylist())
+                columns = {"doc_id": batch.column("doc_id").slice(a, b - a), "ids": pa.array([x.tobytes() for x in ids], pa.binary())}
+                if decoding:
+                    columns["decoded"] = pa.array([decoded(x, words.bytes_of) for x in ids], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return map_arrow(base, run, "doc_id long, ids binary" + ", decoded binary" * decoding)
 
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:

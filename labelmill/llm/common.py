@@ -106,42 +106,35 @@ def map_rows(
     return map_arrow(df, run, schema)
 
 
-#: Bits of a key filter: the driver holds 2^FILTER_BITS / 8 bytes of it, whatever the input.
-FILTER_BITS = 26
+#: Bits of a key map: a table of 2^MAP_BITS / 8 bytes, whatever the input.
+MAP_BITS = 24
 
 
-class KeyFilter:
-    """Which rows may have a key of a table, as a bitmap of fixed size.
+def key_map(keys: DataFrame, *names: str) -> Callable[..., Column]:
+    """A condition on columns that holds for all values of ``names`` in ``keys`` and for few others.
 
-    It lets a join shuffle only rows that have a partner, and a few more: with more
-    keys than bits it lets everything pass, and the join after it is as right as before.
+    It lets a join shuffle only rows that have a partner, and a few more. A bitmap of
+    fixed size, built by an aggregate and read as a scalar: no Python, nothing on the
+    driver but the table. With far more keys than bits the condition holds for every
+    row, and the join after it is as right as before.
     """
 
-    def __init__(self, keys: DataFrame, *names: str) -> None:
-        ship(keys.sparkSession)
-        at = keys.select(self._place(*names).alias("p"))
-        words = at.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
-        table = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-        got = words.toArrow()
-        table[got.column("w").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-        self.sent = keys.sparkSession.sparkContext.broadcast(table)
-
-    @staticmethod
-    def _place(*names: str) -> Column:
-        return F.shiftrightunsigned(F.xxhash64(*names), 64 - FILTER_BITS)
-
-    def rows(self, df: DataFrame, *names: str, inside: bool = True) -> DataFrame:
-        """The rows of ``df`` that may have a key, or those that surely have none."""
-        sent = self.sent
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = sent.value
-            for batch in batches:
-                p = batch.column("lm_place").to_numpy().astype(np.uint64)
-                bit = (table[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1)
-                yield batch.drop_columns(["lm_place"]).filter(pa.array(bit == np.uint64(inside)))
-
-        return map_arrow(df.withColumn("lm_place", self._place(*names)), run, df.schema)
+    def bit(columns: tuple[str, ...]) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(*columns), 64 - MAP_BITS)
+
+    words = keys.select(bit(names).alias("p")).groupBy(F.shiftright("p", 6).alias("id"))
+    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS INT))")).alias("bits"))
+    every = keys.sparkSession.range(1 << (MAP_BITS - 6)).join(words, "id", "left")
+    pairs = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))
+    table = every.agg(F.transform(pairs, lambda x: x["bits"]).alias("table")).scalar()
+
+    def holds(*columns: str) -> Column:
+        p = bit(columns)
+        word = F.get(table, F.shiftright(p, 6).cast("int"))
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)).cast("int"))
+        return word.bitwiseAND(one) != 0
+
+    return holds
 
 
 def filter_rows(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray], text: str = "text") -> DataFrame:

@@ -110,7 +110,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFra
 
     A null text has no words, nor does a null benchmark text make a window; an item
     without item_id counts as window but not as item. An empty benchmark hits
-    nothing. Rows are independent of each other, other columns are not read.
+    nothing. Rows are independent of each other and all stay, repeated ones too, however
+    many blocks the benchmark has; other columns are not read.
     """
     base = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     keyed = base.select("doc_id", row_key(F.col("text"), F.col("doc_id")).alias("rk"), "text")
@@ -143,9 +144,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFra
     for more in scans[1:]:
         out = out.union(more)
     out = stage(out, "hits").groupBy("doc_id", "rk").agg(
-        F.first("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ranges")))).alias("ranges"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
-    )
-    return out.withColumn("ranges", _joined(F.col("ranges")))
+        F.first("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_set("ranges"))).alias("ranges"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
+        (F.count("*") / len(scans)).cast("int").alias("times"),
+    )
+    # rows that repeat id and text are one group here, whose result stands for each of them
+    out = out.select("doc_id", "rk", "n_words", _joined(F.array_sort("ranges")).alias("ranges"), F.array_sort("items").alias("items"), F.explode(F.sequence(F.lit(1), F.col("times"))).alias("time"))
+    return out.drop("time")
 
 
 def _joined(ranges):
@@ -174,7 +178,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10, spans:
     """The documents without those that hold a benchmark window; with ``spans`` only the hit passages go.
 
     Nothing else changes: rows without a hit stay as they are, n_chars (if there)
-    follows a text that was cut.
+    follows a text that was cut. Null and empty texts have no hit, repeated rows are
+    judged alike, an empty table or benchmark changes nothing.
     """
     if not spans:
         for block in benchmark_blocks(benchmark, n):

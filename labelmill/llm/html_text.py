@@ -11,7 +11,8 @@ on explicit stacks, so depth is bounded by memory only.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -69,6 +70,7 @@ IMPLIED = {
 }
 #: End tags do not reach through these.
 WALLS = frozenset("table td th caption html body template".split())
+P_WALLS = WALLS | {"button", "object"}
 
 
 @dataclass
@@ -200,6 +202,8 @@ class Renderer:
     def __init__(self) -> None:
         self.page = Context()
         self.open: list[Element] = []
+        #: Where the open elements of each name stand in ``open``.
+        self.places: dict[str, list[int]] = defaultdict(list)
         self.contexts = [self.page]
         self.hidden: set[str] = set()
         self.sheets: dict[tuple[str, str], tuple[bool, bool]] = {}
@@ -243,11 +247,16 @@ class Renderer:
         elif SHOWING.search(style):
             e.seen = True
         e.pre = e.pre or name in ("pre", "textarea", "listing", "xmp", "plaintext") or "white-space:pre" in style.replace(" ", "")
+        self.places[name].append(len(self.open))
         self.open.append(e)
         if e.shown:
             self._begin(e)
         return e
 
+    def nearest(self, names: Iterable[str]) -> int:
+        """The innermost open element of these names, or -1; no walk over what is open."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
     def _begin(self, e: Element) -> None:
         top, name = self.contexts[-1], e.name
         if name == "br":
@@ -261,7 +270,8 @@ class Renderer:
             first = e.attrs.get("start", "")
             e.count = (int(first) if re.fullmatch(r"-?\d{1,9}", first) else 1) - e.step
         elif name == "li":
-            owner = next((x for x in reversed(self.open[:-1]) if x.name in ("ul", "ol", "menu", "dir")), None)
+            at = self.nearest(("ul", "ol", "menu", "dir"))
+            owner = self.open[at] if at >= 0 else None
             marker = "- "
             if owner is not None and owner.name == "ol":
                 value = e.attrs.get("value", "")
@@ -295,6 +305,7 @@ class Renderer:
 
     def end(self) -> None:
         e = self.open.pop()
+        self.places[e.name].pop()
         if not e.shown:
             return
         if e.name in ("table", "td", "th") and e.context is not None:
@@ -417,28 +428,22 @@ def _pop_until(view: Renderer, index: int) -> None:
 
 def _open(view: Renderer, name: str, attrs: dict[str, str]) -> None:
     stack = view.open
-    if name in ("html", "body") and any(e.name == name for e in stack):
+    if name in ("html", "body") and view.places.get(name):
         return
     if stack and stack[-1].name == "head" and name not in NOT_SHOWN:
         view.end()  # head ends where the page begins
     if name in CLOSES_P:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i].name == "p":
-                _pop_until(view, i)
-                break
-            if stack[i].name in WALLS or stack[i].name in ("button", "object"):
-                break
+        paragraph = view.nearest(("p",))
+        if paragraph > view.nearest(P_WALLS):
+            _pop_until(view, paragraph)
     if name in IMPLIED:
         closes, limits = IMPLIED[name]
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i].name in limits or stack[i].name == "table" and name not in ("li", "dt", "dd"):
+        if name not in ("li", "dt", "dd"):
+            limits = limits | {"table"}
+        while (at := view.nearest(closes)) > view.nearest(limits):
+            _pop_until(view, at)
+            if name in ("li", "dt", "dd", "td", "th", "option"):
                 break
-            if stack[i].name in closes:
-                _pop_until(view, i)
-                if name in ("li", "dt", "dd", "td", "th", "option"):
-                    break
-                if not any(e.name in closes for e in stack):
-                    break
     if len(name) == 2 and name[0] == "h" and name[1] in "123456" and stack and stack[-1].name in ("h1", "h2", "h3", "h4", "h5", "h6"):
         view.end()
     view.start(name, attrs)
@@ -451,12 +456,9 @@ def _close(view: Renderer, name: str) -> None:
         return
     if name in ("html", "body"):
         return
-    for i in range(len(view.open) - 1, -1, -1):
-        if view.open[i].name == name:
-            _pop_until(view, i)
-            return
-        if view.open[i].name in WALLS and name not in ("table", "tr", "tbody", "thead", "tfoot"):
-            return
+    at = view.nearest((name,))
+    if at >= 0 and (name in ("table", "tr", "tbody", "thead", "tfoot") or at >= view.nearest(WALLS)):
+        _pop_until(view, at)
 
 
 def _text(view: Renderer, data: str) -> None:

@@ -19,13 +19,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import narrow, place, row_key, texts, wide
+from labelmill.llm.common import key_map, narrow, place, row_key, texts, wide
 from labelmill.storage import stage
 
 #: Weight of the earlier line in the rolling hash, and the number of its values.
 FACTOR, VALUES = 31, 1_000_003
-#: Bits of a key map: a table of 2^MAP_BITS / 8 bytes, whatever the input.
-MAP_BITS = 24
 
 
 def line_hash(line: Column) -> Column:
@@ -65,27 +63,6 @@ def chunk_text(lines: Column, chunk: Column) -> Column:
     return F.array_join(line_range(lines, chunk["first"], chunk["last"]), "\n")
 
 
-def key_map(keys: DataFrame, name: str) -> Callable[[str], Column]:
-    """A condition on a column that holds for all its values in ``keys`` and for few others.
-
-    A bitmap of fixed size, built by an aggregate and read as a scalar: with far more keys
-    than bits the condition holds for every row, and a join after it is as right as before.
-    """
-    bit = lambda c: F.shiftrightunsigned(F.xxhash64(F.col(c)), 64 - MAP_BITS)
-    words = keys.select(bit(name).alias("p")).groupBy(F.shiftright("p", 6).alias("id"))
-    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS INT))")).alias("bits"))
-    every = keys.sparkSession.range(1 << (MAP_BITS - 6)).join(words, "id", "left")
-    pairs = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))
-    table = every.agg(F.transform(pairs, lambda x: x["bits"]).alias("table")).scalar()
-
-    def holds(column: str) -> Column:
-        p = bit(column)
-        word = F.get(table, F.shiftright(p, 6).cast("int"))
-        return word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)).cast("int"))) != 0
-
-    return holds
-
-
 def _order(doc_id: str = "doc_id") -> list[Column]:
     return [F.col(doc_id).isNull().alias("late"), F.col(doc_id), F.col("rk"), F.col("first")]
 

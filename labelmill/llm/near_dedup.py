@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import buffers, map_arrow, narrow, pieces, place, texts, wide
+from labelmill.llm.common import buffers, key_map, map_arrow, narrow, pieces, place, texts, wide
 from labelmill.llm.components import merge_labels
 from labelmill.llm.words import U, mix, randoms, shingle_hashes, word_hashes
 from labelmill.storage import stage
@@ -204,17 +204,25 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents with one of each group of near duplicates, the one of the smallest doc_id.
 
-    Rows without doc_id or without words stay. Of rows that repeat a doc_id one stays
-    if they are in one group.
+    Documents are told apart by doc_id and text together: rows that share a doc_id but
+    not their text are judged each by its own text, and rows equal in both are copies,
+    of which one stays. Rows without doc_id or without words stay, repeated ones too.
     """
-    found = stage(near_duplicates(docs, words, percent), "near")
-    kept = found.where("kept and doc_id is not null").select(F.col("doc_id").alias("lm_id")).distinct()
     own, names = wide(docs)
-    doc_id, text = place(names, "doc_id"), place(names, "text")
-    joined = own.join(kept, F.col(doc_id) == F.col("lm_id"), "left_semi").union(own.where(F.col(doc_id).isNull()))
-    repeated = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        once = joined.where(F.col(doc_id).isNotNull() & F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-        rest = joined.where(F.col(doc_id).isNull() | ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-        joined = once.dropDuplicates([doc_id]).union(rest)
-    return narrow(joined, names)
+    doc_id, text = F.col(place(names, "doc_id")), F.coalesce(F.col(place(names, "text")).cast("string"), F.lit(""))
+    own = own.withColumn("lm_node", F.when(doc_id.isNotNull(), F.xxhash64(doc_id, text)))
+    nodes = own.select("lm_node", doc_id.alias("id"), text.alias("text"))
+    found = stage(near_duplicates(nodes, words, percent, key="lm_node").where("doc_id is not null and n_shingles > 0"), "near")
+    # of a group the smallest doc_id stays; its members are told apart by their nodes
+    ids = nodes.where("lm_node is not null").select(F.col("lm_node").alias("doc_id"), "id").distinct()
+    groups = found.select("doc_id", "component_id").distinct().join(ids, "doc_id")
+    first = groups.groupBy("component_id").agg(F.min(F.struct("id", "doc_id")).alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("doc_id"))
+    dropped = stage(groups.join(kept, "doc_id", "left_anti").select(F.col("doc_id").alias("lm_gone")), "dropped")
+    repeated = stage(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("lm_again")), "repeated")
+    # most rows surely stay and are not moved
+    doubtful = F.coalesce(key_map(dropped, "lm_gone")("lm_node") | key_map(repeated, "lm_again")("lm_node"), F.lit(False))
+    rest = own.where(doubtful).join(dropped, F.col("lm_node") == F.col("lm_gone"), "left_anti")
+    rest = rest.join(repeated, F.col("lm_node") == F.col("lm_again"), "left")
+    once = rest.where("lm_again is not null").dropDuplicates(["lm_node"])
+    return narrow(own.where(~doubtful).union(rest.where("lm_again is null").union(once).drop("lm_again")), names)

@@ -2,10 +2,10 @@
 
 A document longer than a window is first cut into full windows; the rests are
 packed best-fit decreasing: a segment tree over remaining capacities answers which
-open window leaves the least room. Each input partition is packed on its own, in the
-one pass that tokenises it, so nothing is shuffled however much data there is; only
-the last windows of a partition stay partly empty. Memory is bounded by a
-partition's tokens.
+open window leaves the least room. One pass tokenises and cuts, into a written table;
+the rests are then packed in tasks of some million tokens each, read from it without
+a shuffle, so only the last windows of so many tokens stay partly empty. Memory is
+bounded by the rests of a task.
 """
 
 from __future__ import annotations
@@ -22,8 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.llm.common import map_arrow, pieces, texts
+from labelmill.storage import stage_counted
 
 WINDOW = 1024
+#: Tokens of rests that a task packs together, at least.
+PACKED_TOKENS = 4_000_000
+#: This bit tells sequences of rests from those of full windows.
+RESTS = 1 << 62
 
 
 class OpenWindows:
@@ -122,50 +127,84 @@ FIELDS = [
 KINDS = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, window: int = WINDOW, end_id: int = 0) -> DataFrame:
-    """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids.
+def _table(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), FIELDS)], schema=pa.schema(FIELDS))
 
-    A document is its ids and ``end_id``; a null or empty text is ``end_id`` alone.
-    ids holds little-endian uint32, sequence_id is unique over the result, a
-    sequence's pieces fill it from offset 0 without a gap. Every row is a document,
-    repeated rows included. Other columns are not read; an empty table gives no rows.
-    """
-    base = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    schema = pa.schema(FIELDS)
 
-    def table(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), FIELDS)], schema=schema)
+def _cut(tokenizer: str, ranks: str | None, window: int, end_id: int):
+    """Full windows, each a sequence of its own, and rests, which have no sequence yet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, ranks).encode
-        end = np.array([end_id], "<u4")
-        base_id, used, rests = TaskContext.get().partitionId() << 40, 0, []
+        encode, end = encoder(tokenizer, ranks).encode, np.array([end_id], "<u4")
+        base_id, used = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
             for a, b in pieces(batch.column("text")):
                 rows = []
                 for doc_id, text in zip(batch.column("doc_id")[a:b].to_pylist(), batch.column("text")[a:b].to_pylist()):
                     ids = np.concatenate((encode(text), end))
                     n = len(ids)
-                    for start in range(0, n - window + 1, window):
-                        rows.append((doc_id, start, window, n, base_id + used, 0, ids[start : start + window].tobytes()))
-                        used += 1
-                    if n % window:
-                        rests.append((doc_id, n - n % window, n % window, n, ids[n - n % window :].astype("<u2").tobytes() if int(ids.max()) < 1 << 16 else ids[n - n % window :].tobytes()))
-                if rows:
-                    yield table(rows)
-        places, _ = best_fit_decreasing((r[2] for r in rests), window)
-        for i in range(0, len(rests), 2000):
-            rows = []
-            for (doc_id, start, length, n, ids), (w, offset) in zip(rests[i : i + 2000], places[i : i + 2000]):
-                whole = np.frombuffer(ids, "<u2" if len(ids) == 2 * length else "<u4").astype("<u4").tobytes()
-                rows.append((doc_id, start, length, n, base_id + used + w, offset, whole))
-            yield table(rows)
-
-    return map_arrow(base, run, KINDS)
+                    for start in range(0, n, window):
+                        length = min(window, n - start)
+                        full = length == window
+                        rows.append((doc_id, start, length, n, base_id + used if full else None, 0 if full else None, ids[start : start + length].tobytes()))
+                        used += full
+                yield _table(rows)
+
+    return run
+
+
+def _packed(window: int):
+    """The rests of one partition in sequences, some million tokens at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, tokens, used = [], 0, RESTS | TaskContext.get().partitionId() << 40
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            lengths = [n for batch in held for n in batch.column("length").to_pylist()]
+            places, at = best_fit_decreasing(lengths, window)[0], 0
+            for batch in held:
+                here = places[at : at + len(batch)]
+                at += len(batch)
+                columns = {name: batch.column(name) for name, _ in FIELDS}
+                columns["sequence_id"] = pa.array([used + w for w, _ in here], pa.int64())
+                columns["offset"] = pa.array([o for _, o in here], pa.int64())
+                yield pa.RecordBatch.from_pydict(columns, schema=pa.schema(FIELDS))
+
+        for batch in batches:
+            held.append(batch)
+            tokens += sum(batch.column("length").to_pylist())
+            if tokens >= 2 * PACKED_TOKENS:
+                yield from flushed()
+                used += sum(len(b) for b in held)  # more than the windows they took
+                held, tokens = [], 0
+        yield from flushed()
+
+    return run
+
+
+def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, window: int = WINDOW, end_id: int = 0) -> DataFrame:
+    """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids.
+
+    A document is its ids and ``end_id``; a null or empty text is ``end_id`` alone.
+    ids holds little-endian uint32, sequence_id is unique over the result, a
+    sequence's pieces fill it from offset 0 without a gap. Every row is a document,
+    repeated rows included. Other columns are not read; an empty table gives no rows.
+    """
+    base = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
+    cut = map_arrow(base, _cut(tokenizer, ranks, window, end_id), KINDS)
+    rest = F.col("sequence_id").isNull()
+    cut, seen = stage_counted(cut, "pieces", tokens=F.sum(F.when(rest, F.col("length"))))
+    # however the documents were dealt, the rests that are packed together are enough to fill their sequences
+    tasks = max(1, (seen["tokens"] or 0) // PACKED_TOKENS)
+    rests = map_arrow(cut.where(rest).coalesce(tasks), _packed(window), KINDS)
+    return cut.where(~rest).unionByName(rests)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """sequence_id, doc_ids, fill and ids (little-endian uint32) of each packed sequence."""
+    """sequence_id, doc_ids, fill and ids (little-endian uint32) of each packed sequence.
+
+    A sequence has at most a window's tokens, so no group is long; no pieces, no rows.
+    """
     parts = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "ids", "length")))
     out = packed.groupBy("sequence_id").agg(parts.alias("parts"))
     return out.select(

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm.bpe import decode, encode
+from labelmill.llm.bpe import encode
 from labelmill.llm.decontaminate import contamination
 from labelmill.llm.html_text import page_text
 from labelmill.llm.language_id import fit, predict
@@ -87,8 +87,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    found = decode(encode(read(spark, sf_dir, "documents"), ranks), ranks)
+    found = encode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decoding=True)
     return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import KeyFilter, buffers, map_arrow, pieces, row_key, texts
+from labelmill.llm.common import buffers, key_map, map_arrow, pieces, row_key, texts
 from labelmill.llm.induced import Files, blocks, repeats, suffix_order
 from labelmill.llm.words import U, mix, randoms
 from labelmill.storage import stage
@@ -201,19 +201,19 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
     contexts = stage(rows.groupBy("key", "print").agg(F.count("*").alias("met"), F.max("twice").alias("twice"), example), "contexts")
     open_keys = contexts.groupBy("key").agg(F.count("*").alias("kinds"), F.max("twice").alias("again")).where("kinds > 1 or again").select("key")
     open_keys = stage(open_keys, "keys")
-    chosen = KeyFilter(open_keys, "key").rows(contexts.select("key", "print", "at.*"), "key").join(open_keys, "key", "left_semi")
+    chosen = contexts.select("key", "print", "at.*").where(key_map(open_keys, "key")("key")).join(open_keys, "key", "left_semi")
     chosen = stage(chosen, "chosen")
     size = chosen.agg(F.sum(F.col("n") + length)).first()[0] or 0
     cuts = chosen.groupBy("doc_id", "rk").agg(F.collect_list(F.struct("key", "print", "start", "n")).alias("cuts"))
     # rows equal in doc_id and text give the same contexts: one example is enough
-    own = KeyFilter(chosen, "rk").rows(base, "rk").join(_renamed(cuts), _same_document(), "inner").select("text", "cuts")
+    own = base.where(key_map(chosen, "rk")("rk")).join(_renamed(cuts), _same_document(), "inner").select("text", "cuts")
     bodies = map_arrow(own, _contexts(length), "key long, print long, body binary")
     most = SHARDS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = bodies.repartition(max(1, min(-(-size // SHARD_BYTES), most)), "key")
     found = map_arrow(shards, _sorted_shard(length), "key long, print long, first long, count long")
     whole = contexts.where("met > 1").select("key", "print", F.lit(0).cast("long").alias("first"), F.col("at.n").alias("count"))
     marks = stage(found.union(whole), "marks")
-    held = KeyFilter(marks, "key", "print").rows(rows.select("doc_id", "rk", "key", "print", "start"), "key", "print")
+    held = rows.select("doc_id", "rk", "key", "print", "start").where(key_map(marks, "key", "print")("key", "print"))
     runs = held.join(marks, ["key", "print"]).select("doc_id", "rk", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("first") + F.col("count") + (length - 1)).alias("end"))
     return base, runs.groupBy("doc_id", "rk").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
 
@@ -235,10 +235,10 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     base, runs = repeated_windows(docs, length)
     runs = stage(runs, "runs")
-    touched = KeyFilter(runs, "rk")
+    touched = key_map(runs, "rk")("rk")
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    both = touched.rows(base, "rk").join(_renamed(runs), _same_document(), "left").select("doc_id", "text", F.coalesce("runs", none).alias("runs"))
-    both = both.union(touched.rows(base, "rk", inside=False).select("doc_id", "text", none.alias("runs")))
+    both = base.where(touched).join(_renamed(runs), _same_document(), "left").select("doc_id", "text", F.coalesce("runs", none).alias("runs"))
+    both = both.union(base.where(~touched).select("doc_id", "text", none.alias("runs")))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", span), ("kept", pa.binary())])
 

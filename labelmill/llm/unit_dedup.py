@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import KeyFilter, joined, map_arrow, map_rows, pieces, row_key, texts
+from labelmill.llm.common import joined, key_map, map_arrow, map_rows, pieces, row_key, texts
 from labelmill.storage import stage
 
 #: Units with fewer words stay where they stand alone: short ones repeat by chance.
@@ -124,9 +124,9 @@ def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WOR
     every = found.select("doc_id", "rk", F.explode("units").alias("u")).select("doc_id", "rk", "u.*")
     again = stage(every.groupBy("hi").count().where("count > 1").select("hi"), "again")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "rk", "start")
-    first = KeyFilter(again, "hi").rows(every, "hi").groupBy("hi", "lo").agg(F.min(order).alias("keep"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = every.where(key_map(again, "hi")("hi")).groupBy("hi", "lo").agg(F.min(order).alias("keep"), F.count("*").alias("n")).where("n > 1").drop("n")
     first = stage(first, "first")
-    gone = KeyFilter(first, "hi", "lo").rows(every, "hi", "lo").join(first, ["hi", "lo"]).where(~order.eqNullSafe(F.col("keep")))
+    gone = every.where(key_map(first, "hi", "lo")("hi", "lo")).join(first, ["hi", "lo"]).where(~order.eqNullSafe(F.col("keep")))
     gone = gone.groupBy("doc_id", "rk").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed"))
     gone = gone.select(F.col("doc_id").alias("id"), F.col("rk").alias("key"), "removed")
     out = found.select("doc_id", "rk", F.size("units").cast("long").alias("n_units"))

@@ -89,6 +89,8 @@ def test_round_trip(spark, odd, odd_rows, nothing):
     out = decode(encode(odd.repartition(3), path), path).collect()
     expected = [(i, np.array(PLAIN[FILES[0]].encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t in odd_rows]
     assert sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in out), key=str) == sorted(expected, key=str)
+    both = encode(odd.repartition(3), path, decoding=True).collect()
+    assert sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in both), key=str) == sorted(expected, key=str)
     assert encode(nothing, path).count() == 0
     rows = spark.createDataFrame([(1, None)], "doc_id long, ids binary")
     assert decode(rows, path).first().decoded is None

@@ -73,6 +73,13 @@ def test_odd_rows(odd, nothing):
     assert drop_near_copies(nothing).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(5, a), (5, b), (1, a), (7, c), (7, c), (9, c + " more"), (None, a), (None, a), (8, ""), (8, "")]
+    kept = drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(5, b), (1, a), (7, c), (None, a), (None, a), (8, ""), (8, "")], key=str)
+
+
 def test_labels_of_a_long_path(spark):
     labels = spark.range(50).selectExpr("id as node", "id as comp")
     links = spark.range(49).selectExpr("id as a", "id + 1 as b").where("a <> 20")

@@ -84,6 +84,12 @@ def test_given_documents_are_packed_tightly(spark, sf_dir):
     assert crc == {(r.doc_id, r.start): zlib.crc32(r.ids) for r in rows}
 
 
+def test_rests_of_many_small_partitions_are_packed_together(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(211)
+    rows = pack(docs, PATH, RANKS).select("sequence_id", "length").collect()
+    assert sum(r.length for r in rows) > 0.98 * 1024 * len({r.sequence_id for r in rows})
+
+
 @pytest.mark.parametrize("window", [8])
 def test_sequences_hold_their_pieces(spark, window):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k l m"), (2, "x"), (3, None)], "doc_id long, text string")

@@ -198,6 +198,16 @@ def test_blocks_of_a_large_benchmark_agree(spark, sf_dir, bench, monkeypatch):
     assert d.drop_contaminated(docs, items).count() == clean == sum(r[2] == "[]" for r in whole)
 
 
+def test_repeated_rows_stay_with_several_blocks(spark, bench, monkeypatch):
+    rows = [(1, "x the quick brown fox jumps over the lazy dog and then sleeps two words")] * 3 + [(2, "clean")] * 2 + [(1, "clean"), (3, None), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    show = lambda: sorted((r.doc_id, r.n_words, str(r.ranges), str(r.items)) for r in d.contamination(docs, bench).collect())
+    whole = show()
+    assert len(whole) == len(rows)
+    monkeypatch.setattr(d, "BLOCK_CHARS", 20)
+    assert show() == whole
+
+
 def test_spans_are_cut(spark, bench):
     rows = [(1, "é Two words! tail", 17), (2, "clean", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
