@@ -323,6 +323,19 @@ oracle(
 )
 
 
+oracle(
+    "clean_remove_all",
+    f"SELECT row_id, {_shown} FROM s2, b3 WHERE toxic BETWEEN lo_toxic AND hi_toxic",
+    "dirty_reviews",
+    f"""filled AS ({_filled("dirty_reviews", MEAN)}),
+    deduped AS ({_deduped("filled")}), {_bounds("deduped", ("n_chars",), "b")},
+    s1 AS (SELECT deduped.* FROM deduped, b WHERE n_chars BETWEEN lo_n_chars AND hi_n_chars),
+    {_bounds("s1", ("quality",), "b2")},
+    s2 AS (SELECT s1.* FROM s1, b2 WHERE quality BETWEEN lo_quality AND hi_quality),
+    {_bounds("s2", ("toxic",), "b3")}""",
+)
+
+
 def _totals(source: str) -> str:
     return f"""SELECT 'Rows' AS metric, COUNT(*) AS n FROM {source}
     UNION ALL SELECT 'Missing values', CAST(SUM({_sums}) AS BIGINT) FROM {source}
@@ -395,6 +408,25 @@ oracle(
     f"SELECT * FROM reviews WHERE original_label IS NOT NULL ORDER BY {KEY} LIMIT 10",
     "reviews",
 )
+_whole = lambda share: f"CAST(FLOOR({share} * n) AS BIGINT)"
+oracle(
+    "part_sizes",
+    f"""SELECT lang, 'seed_pool' AS rule, 'seed' AS part, LEAST(n, GREATEST(10, {_whole(0.6)})) AS size FROM counted
+    UNION ALL SELECT lang, 'seed_pool', 'pool', NULL FROM counted
+    UNION ALL SELECT lang, 'learning', 'labeled', LEAST(50, CAST(FLOOR(0.5 * rest) AS BIGINT)) FROM rested
+    UNION ALL SELECT lang, 'learning', 'pool', rest - LEAST(50, CAST(FLOOR(0.5 * rest) AS BIGINT)) FROM rested
+    UNION ALL SELECT lang, 'learning', 'test', NULL FROM counted
+    UNION ALL SELECT lang, 'adaptive', 'labeled', start FROM started
+    UNION ALL SELECT lang, 'adaptive', 'pool', rest - start FROM started
+    UNION ALL SELECT lang, 'adaptive', 'test', NULL FROM counted
+    UNION ALL SELECT lang, 'adaptive', 'batch', CASE WHEN rest - start < batch THEN GREATEST(1, (rest - start) // 5) ELSE batch END FROM started""",
+    "reviews",
+    f"""counted AS (SELECT lang, COUNT(*) AS n FROM reviews GROUP BY lang),
+    rested AS (SELECT lang, GREATEST(n - GREATEST(50, {_whole(0.2)}), 0) AS rest FROM counted),
+    started AS (
+      SELECT lang, rest, LEAST(rest, GREATEST(10, {_whole(0.15)})) AS start, GREATEST(3, {_whole(0.05)}) AS batch
+      FROM (SELECT lang, n, GREATEST(n - GREATEST(15, {_whole(0.2)}), 0) AS rest FROM counted))""",
+)
 oracle(
     "split_by_rank",
     """SELECT row_id, original_label,
@@ -520,6 +552,18 @@ oracle(
     "annotate", f"SELECT {_quality.format('original_label')} FROM ({_auto})", "responses", PARSED
 )
 
+ORACLES["annotate_guide_prompt"] = ORACLES["build_guide_prompt"]
+oracle("annotate_tasks", f"SELECT row_id AS id, text, {_tasks} FROM ({_auto})", "responses", PARSED)
+oracle(
+    "reply_store",
+    """SELECT row_id, CASE LENGTH(prompt) % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' ELSE 'neutral' END AS label_auto,
+    ROUND(CAST(LENGTH(prompt) % 100 AS DOUBLE) / 100, 6) AS confidence,
+    (SELECT COUNT(DISTINCT prompt) FROM prompts) AS asked FROM prompts""",
+    "dirty_reviews",
+    f"""prompts AS (SELECT row_id, {lit(PROMPT_HEAD + ', '.join(CLASSES) + PROMPT_TEXT)}
+    || substr(text, 1, 500) || {lit(PROMPT_TAIL)} AS prompt FROM dirty_reviews)""",
+)
+
 # --- features ---
 
 TERMS = r"""tokens AS (

@@ -381,6 +381,11 @@ def _(df):
     return clean.clean(df, strategy, ["n_chars", "quality"])
 
 
+@query("clean_remove_all", "dirty_reviews")
+def _(df):
+    return clean.clean(df, {"missing": "mean", "duplicates": "drop", "outliers": "remove"})
+
+
 # --- order ---
 
 
@@ -405,6 +410,17 @@ def _(df):
     return order.split_by_rank(rows, order.learning_sizes(rows.count()))
 
 
+@query("part_sizes")
+def _(spark, sf):
+    """The sizes that the three rules give for each language's reviews."""
+    rows = []
+    for r in view(spark, sf, "reviews").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect():  # a few languages
+        adaptive, batch = order.adaptive_sizes(r["n"])
+        rules = {"seed_pool": order.seed_pool_sizes(r["n"]), "learning": order.learning_sizes(r["n"]), "adaptive": adaptive | {"batch": batch}}
+        rows += [(r["lang"], rule, part, size) for rule, sizes in rules.items() for part, size in sizes.items()]
+    return spark.createDataFrame(rows, "lang string, rule string, part string, size bigint")
+
+
 @query("top_k_per_group", "hits")
 def _(df):
     return order.top_k_per_group(df, ["query_id", "source"], ["pos"])
@@ -521,6 +537,34 @@ def _(spark, sf):
     return annotate.annotate(reviews, labeler, human="original_label").quality
 
 
+@query("annotate_guide_prompt")
+def _(spark, sf):
+    labeler = annotate.stored_replies(view(spark, sf, "responses"))
+    return annotate.annotate(view(spark, sf, "reviews"), labeler, human="original_label").guide_prompt
+
+
+@query("annotate_tasks")
+def _(spark, sf):
+    labeler = annotate.stored_replies(view(spark, sf, "responses"))
+    return _flat_tasks(annotate.annotate(view(spark, sf, "reviews"), labeler, human="original_label").tasks)
+
+
+@query("reply_store")
+def _(spark, sf):
+    """Labels of a function that is asked once for each distinct prompt; the second run asks nothing."""
+    classes, path = annotate.CLASSES, new_stage_path(spark, "replies")
+
+    def answer(prompt: str) -> str:
+        n = len(prompt)
+        return f'{{"label": "{classes[n % 3]}", "confidence": {n % 100 / 100}}}'
+
+    labeler = annotate.reply_store(answer, path)
+    for _run in range(2):
+        labeled = annotate.auto_label(view(spark, sf, "dirty_reviews"), labeler)
+    asked = annotate.stored_answers(spark, path).agg(F.count(F.lit(1))).scalar()
+    return labeled.select("row_id", "label_auto", "confidence", asked.alias("asked"))
+
+
 # --- features ---
 
 
