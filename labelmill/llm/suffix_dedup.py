@@ -5,7 +5,8 @@
    fingerprint of all its bytes (its context). Rows are narrow; texts are not moved.
 2. Contexts are counted by key and fingerprint. A context met twice is a repeat as a
    whole. Only keys with several different contexts, or whose seed recurs inside a
-   context, can hide more; one example of each such context is cut out of its text.
+   context, can hide more, and of the former only contexts that agree on half a window's
+   bytes beside the seed; one example of each such context is cut out of its text.
 3. These contexts are dealt by key into shards of about SHARD_BYTES. Each shard is
    put into suffix order by external induced sorting (``induced``), and neighbours
    that share ``length`` bytes are repeats. Equal windows have one key, hence one
@@ -34,7 +35,7 @@ SEED = 64
 #: Windows in a row; longer runs (periodic text) are cut, which makes their contexts alike.
 ROW = 1024
 #: There is a shard for so many bytes of contexts, but at most SHARDS for each shuffle partition.
-SHARD_BYTES, SHARDS = 1_000_000, 8
+SHARD_BYTES, SHARDS = 1_000_000, 64
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -69,9 +70,15 @@ def least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def window_rows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Rows of windows: text number, first window, number of windows, key, fingerprint, whether the seed recurs."""
+    """Rows of windows: text number, first window, number of windows, key, fingerprint, whether the seed recurs, half prints.
+
+    A window reaches at least half of ``length`` less the seed to one side of its seed. The
+    half prints are those of the seed with so many bytes to its left and to its right, or
+    0 where the row's windows do not reach so far.
+    """
+    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, U, U, bool, U, U))
     if len(data) < length:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, U, U, bool))
+        return none
     seed = min(SEED, length)
     width = length - seed + 1
     sums = prefix_sums(data)
@@ -80,7 +87,7 @@ def window_rows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
     counts = np.maximum(np.diff(offsets) - length + 1, 0)
     valid = np.repeat(offsets[:-1], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     if not len(valid):
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, U, U, bool))
+        return none
     own = keys[valid]
     new = np.ones(len(valid), bool)
     new[1:] = (own[1:] != own[:-1]) | (valid[1:] != valid[:-1] + 1)
@@ -97,25 +104,29 @@ def window_rows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
     at, key = valid[start], own[start]
     prints = span_hashes(sums, at, at + run + length - 1)
     view = np.lib.stride_tricks.sliding_window_view(grams, width)
-    twice = np.empty(len(at), bool)
+    twice, seed_at = np.empty(len(at), bool), np.empty(len(at), np.int64)
     for b in blocks(len(at), 4096):
         front = (view[at[b]] == key[b, None]).argmax(axis=1) + at[b]
         last = at[b] + run[b] - 1
         back = last + width - 1 - (view[last][:, ::-1] == key[b, None]).argmax(axis=1)
-        twice[b] = front != back
+        twice[b], seed_at[b] = front != back, front
+    half, end = (length - seed + 1) // 2, at + run + length - 1
+    left, right = seed_at - half, seed_at + seed + half
+    left_print = np.where(left >= at, span_hashes(sums, np.maximum(left, 0), seed_at + seed) | U(1), U(0))
+    right_print = np.where(right <= end, span_hashes(sums, seed_at, np.minimum(right, len(data))) | U(1), U(0))
     owner = np.searchsorted(offsets, at, "right") - 1
-    return owner, at - offsets[owner], run, key, prints, twice
+    return owner, at - offsets[owner], run, key, prints, twice, left_print, right_print
 
 
 def _rows(length: int):
-    names = ["doc_id", "rk", "key", "print", "start", "n", "twice"]
+    names = ["doc_id", "rk", "key", "print", "start", "n", "twice", "lefts", "rights"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in pieces(batch.column("text"), 1_000_000):
-                owner, start, n, key, prints, twice = window_rows(*buffers(batch.column("text").slice(a, b - a)), length)
+            for a, b in pieces(batch.column("text"), 500_000):
+                owner, start, n, key, prints, twice, lefts, rights = window_rows(*buffers(batch.column("text").slice(a, b - a)), length)
                 ids = [batch.column(c).slice(a, b - a).take(pa.array(owner)) for c in ("doc_id", "rk")]
-                yield pa.RecordBatch.from_arrays([*ids, pa.array(key.view(np.int64)), pa.array(prints.view(np.int64)), pa.array(start), pa.array(n), pa.array(twice)], names=names)
+                yield pa.RecordBatch.from_arrays([*ids, pa.array(key.view(np.int64)), pa.array(prints.view(np.int64)), pa.array(start), pa.array(n), pa.array(twice), pa.array(lefts.view(np.int64)), pa.array(rights.view(np.int64))], names=names)
 
     return run
 
@@ -196,13 +207,19 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
     """
     base = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     base = base.select("doc_id", row_key(F.col("text"), F.col("doc_id")).alias("rk"), "text")
-    rows = stage(map_arrow(base, _rows(length), "doc_id long, rk long, key long, print long, start long, n long, twice boolean"), "rows")
-    example = F.min(F.struct("doc_id", "rk", "start", "n")).alias("at")
+    rows = stage(map_arrow(base, _rows(length), "doc_id long, rk long, key long, print long, start long, n long, twice boolean, lefts long, rights long"), "rows")
+    example = F.min(F.struct("doc_id", "rk", "start", "n", "lefts", "rights")).alias("at")
     contexts = stage(rows.groupBy("key", "print").agg(F.count("*").alias("met"), F.max("twice").alias("twice"), example), "contexts")
-    open_keys = contexts.groupBy("key").agg(F.count("*").alias("kinds"), F.max("twice").alias("again")).where("kinds > 1 or again").select("key")
+    open_keys = contexts.groupBy("key").agg(F.count("*").alias("kinds"), F.max("twice").alias("again")).where("kinds > 1 or again").select("key", "again")
     open_keys = stage(open_keys, "keys")
-    chosen = contexts.select("key", "print", "at.*").where(key_map(open_keys, "key")("key")).join(open_keys, "key", "left_semi")
-    chosen = stage(chosen, "chosen")
+    maybe = stage(contexts.select("key", "print", "at.*").where(key_map(open_keys, "key")("key")).join(open_keys, "key"), "maybe")
+    # two contexts share a window only if they share a half print, as long as their seed occurs once in each
+    halves = maybe.where("not again").select("key", "print", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("lefts").alias("half")), F.struct(F.lit(1).alias("side"), F.col("rights").alias("half")))).alias("h"))
+    halves = halves.where("h.half <> 0").select("key", "print", "h.side", "h.half")
+    met = halves.groupBy("key", "side", "half").count().where("count > 1")
+    shared = halves.join(met, ["key", "side", "half"], "left_semi").select("key", "print").distinct()
+    chosen = maybe.where("again").drop("again").unionByName(maybe.where("not again").drop("again").join(shared, ["key", "print"], "left_semi"))
+    chosen = stage(chosen.drop("lefts", "rights"), "chosen")
     size = chosen.agg(F.sum(F.col("n") + length)).first()[0] or 0
     cuts = chosen.groupBy("doc_id", "rk").agg(F.collect_list(F.struct("key", "print", "start", "n")).alias("cuts"))
     # rows equal in doc_id and text give the same contexts: one example is enough
