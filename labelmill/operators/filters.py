@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.functions.columns import CONFIDENCE, ERROR_LABEL, LABEL
@@ -39,14 +39,22 @@ def filter_low_confidence(
     return df.where(F.col(confidence) < F.lit(float(threshold)))
 
 
+def valid_label(label: str = LABEL) -> Column:
+    return F.col(label).isNotNull() & (F.col(label).cast("string") != ERROR_LABEL)
+
+
+def no_error_label(label: str = LABEL) -> Column:
+    return ~F.col(label).cast("string").eqNullSafe(ERROR_LABEL)
+
+
 def filter_valid_labels(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Rows with a label that is not the error label."""
-    return df.where(F.col(label).isNotNull() & (F.col(label).cast("string") != ERROR_LABEL))
+    return df.where(valid_label(label))
 
 
 def drop_error_labels(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Rows without the error label; rows without a label stay."""
-    return df.where(~F.col(label).cast("string").eqNullSafe(ERROR_LABEL))
+    return df.where(no_error_label(label))
 
 
 def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from labelmill.functions.columns import LABEL, ROW_ID, content_columns
 from labelmill.operators.active import MIN_SELECTABLE
 from labelmill.operators.annotate import label_summary
-from labelmill.operators.filters import LOW_CONFIDENCE, drop_error_labels, filter_valid_labels
+from labelmill.operators.filters import LOW_CONFIDENCE, no_error_label, valid_label
 from labelmill.operators.history import sample_savings
 from labelmill.operators.profile import content_totals, value_counts
 
@@ -31,6 +31,30 @@ class Stages:
     n_select: int = 50
     strategy: Mapping[str, str] | None = None
     approved: bool = False
+    #: Rows that were counted while the tables were written, by the names of ``COUNTS``.
+    counts: Mapping[str, int] | None = None
+
+    def count(self, name: str) -> DataFrame:
+        """One row with the count of that name: a known number, or a scan of its table."""
+        known = (self.counts or {}).get(name)
+        if known is not None:
+            return self.raw.sparkSession.range(1).select(F.lit(int(known)).cast("bigint").alias(name))
+        table, rows = COUNTS[name]
+        return getattr(self, table).where(rows()).agg(F.count(F.lit(1)).alias(name))
+
+
+#: What is counted of which table.
+COUNTS: dict[str, tuple[str, Callable[[], Column]]] = {
+    "n_clean": ("clean", lambda: F.lit(True)),
+    "n_valid": ("reviewed", valid_label),
+    "n_final": ("final", lambda: F.lit(True)),
+    "n_good": ("final", no_error_label),
+}
+
+
+def counts_of(table: str) -> dict[str, Column]:
+    """The aggregates of ``COUNTS`` over one table, to be taken while it is written."""
+    return {name: F.count_if(rows()) for name, (of, rows) in COUNTS.items() if of == table}
 
 
 Entry = tuple[str, str, Column | None, Column | None]
@@ -86,21 +110,21 @@ def run_metrics(
 ) -> DataFrame:
     """What each step took in and gave out: (step, metric, value, text).
 
-    Every table is scanned once; the figures meet in a single row. With a learning
+    Every table is scanned once at most; the figures meet in a single row. With a learning
     ``history``, the train step's scores and savings follow.
     """
     raw_cols = content_columns(stages.raw, id_col)
     fixed, relabeled = stages.corrections, stages.al_corrections
     figures = _one_row(
         content_totals(stages.raw, raw_cols),
-        _counted(stages.clean, "clean"),
+        stages.count("n_clean"),
         label_summary(stages.labeled, stages.threshold),
-        _counted(filter_valid_labels(stages.reviewed), "valid"),
-        _counted(stages.final, "final"),
+        stages.count("n_valid"),
+        stages.count("n_final"),
         *([] if fixed is None else [_counted(fixed, "fixed")]),
         *([] if relabeled is None else [_counted(relabeled, "relabeled")]),
     )
-    low, valid = F.col("low_confidence"), F.col("valid")
+    low, valid = F.col("low_confidence"), F.col("n_valid")
     merged = F.lit(0) if fixed is None else F.col("fixed")
     enough = valid >= MIN_SELECTABLE
     seed = F.greatest(F.lit(10), F.floor(F.lit(0.6) * valid))
@@ -110,11 +134,11 @@ def run_metrics(
     )
     entries = [
         *_values("collect", {"rows": F.col("rows"), "cols": F.lit(len(raw_cols))}),
-        *_values("clean", {"rows_before": F.col("rows"), "rows_after": F.col("clean"),
+        *_values("clean", {"rows_before": F.col("rows"), "rows_after": F.col("n_clean"),
                            "duplicates_removed": F.col("duplicates")}),
         *[("clean", f"strategy_{k}", None, F.lit(v)) for k, v in (stages.strategy or {}).items()],
         ("clean_review", "action", None, F.lit("approved" if stages.approved else "skipped")),
-        ("clean_review", "rows", F.col("clean"), None),
+        ("clean_review", "rows", F.col("n_clean"), None),
         *_values("annotate", {c: F.col(c) for c in (
             "total", "low_confidence", "errors", "confidence_mean")}),
         ("review", "action", None, review_action),
@@ -125,7 +149,7 @@ def run_metrics(
         ("al_select", "strategy", None, F.when(enough, strategy).otherwise("passthrough")),
         ("al_review", "action", None, F.lit("skipped" if relabeled is None else "corrected")),
         *_values("al_review", {
-            "shown": F.col("final"),
+            "shown": F.col("n_final"),
             "corrected": F.lit(0) if relabeled is None else F.col("relabeled")}),
     ]
     found = _rows(figures, entries).unionByName(_label_dist(stages.labeled, "annotate"))
@@ -141,11 +165,12 @@ def data_card(stages: Stages) -> DataFrame:
     """Row counts by stage and the label distribution: (step, metric, value, text)."""
     counts = _one_row(
         _counted(stages.raw, "raw"),
-        _counted(stages.clean, "clean"),
+        stages.count("n_clean"),
         _counted(stages.labeled, "labeled"),
-        _counted(drop_error_labels(stages.final), "final"),
+        stages.count("n_good"),
     )
-    rows = _rows(counts, _values("card", {c: F.col(c) for c in counts.columns}))
+    rows = _rows(counts, _values("card", {
+        "raw": F.col("raw"), "clean": F.col("n_clean"), "labeled": F.col("labeled"), "final": F.col("n_good")}))
     return rows.unionByName(_label_dist(stages.labeled, "card"))
 
 
@@ -153,19 +178,19 @@ def final_metrics(stages: Stages, history: DataFrame, strategy: str = "entropy")
     """Stage figures, the last model scores, and the strategy comparison."""
     figures = _one_row(
         content_totals(stages.raw, content_columns(stages.raw)),
-        _counted(stages.clean, "clean"),
+        stages.count("n_clean"),
         label_summary(stages.labeled, stages.threshold),
-        _counted(drop_error_labels(stages.final), "final"),
-        _counted(filter_valid_labels(stages.reviewed), "valid"),
+        stages.count("n_good"),
+        stages.count("n_valid"),
     )
-    valid = F.col("valid")
+    valid = F.col("n_valid")
     seed = F.greatest(F.lit(10), F.floor(F.lit(0.6) * valid))
     chosen = F.when(valid >= MIN_SELECTABLE, F.least(F.lit(stages.n_select), valid - seed)).otherwise(valid)
     by_stage = _rows(figures, _values("stages", {
         "rows_collected": F.col("rows"), "duplicates_removed": F.col("duplicates"),
-        "rows_clean": F.col("clean"), "rows_labeled": F.col("total"),
+        "rows_clean": F.col("n_clean"), "rows_labeled": F.col("total"),
         "confidence_mean": F.round("confidence_mean", 3), "error_share": F.col("error_share"),
-        "rows_selected": chosen, "rows_final": F.col("final")}))
+        "rows_selected": chosen, "rows_final": F.col("n_good")}))
     last = _last_scores(history, strategy)
     savings = sample_savings(history)
     return (

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from labelmill.functions.columns import LABEL, ROW_ID
 from labelmill.operators.active import Comparison, compare_strategies, select_informative
@@ -16,12 +17,13 @@ from labelmill.operators.filters import (
     drop_error_labels,
     filter_low_confidence,
     filter_valid_labels,
+    valid_label,
 )
 from labelmill.operators.profile import quality_report
-from labelmill.operators.report import Stages, data_card, final_metrics, run_metrics
+from labelmill.operators.report import Stages, counts_of, data_card, final_metrics, run_metrics
 from labelmill.operators.review import apply_corrections, replace_with_reviewed, review_queue
 from labelmill.operators.schema import normalize_columns, resolve_label, resolve_text
-from labelmill.storage import stage
+from labelmill.storage import stage_counted
 
 
 @dataclass
@@ -60,31 +62,38 @@ def curation_flow(
 
     ``approved`` says that a reviewer approved the cleaned table.
 
-    Each stage table is written once to the shared folder and read from there.
+    Each stage table is written once to the shared folder, its rows are counted while
+    they are written, and everything after reads it from there.
     """
     raw = normalize_columns(df)
     text, human = resolve_text(raw), resolve_label(raw)
-    cleaned = stage(clean(raw, strategy, id_col=id_col), "clean")
+    cleaned, counts = stage_counted(clean(raw, strategy, id_col=id_col), "clean", **counts_of("clean"))
     annotated = annotate(cleaned, labeler, text, human, n=n_label, id_col=id_col)
     labeled = annotated.labeled
     merged = labeled
     # Without a row to review, the queue is empty and corrections are not asked for.
     if corrections is not None and not filter_low_confidence(labeled, threshold).isEmpty():
-        merged = apply_corrections(labeled, corrections, threshold, correction_mode, id_col)
-    selected = stage(
-        select_informative(merged, n_select, text, LABEL, id_col, **fit), "selected"
+        merged, seen = stage_counted(
+            apply_corrections(labeled, corrections, threshold, correction_mode, id_col), "merged", **counts_of("reviewed")
+        )
+        counts |= seen
+    of_final = counts_of("final") | {"usable": F.count_if(valid_label())}
+    selected, seen = stage_counted(
+        select_informative(merged, n_select, text, LABEL, id_col, **fit), "selected", **of_final
     )
-    final = selected if reviewed is None else replace_with_reviewed(selected, reviewed)
-    valid = filter_valid_labels(final)
+    final = selected
+    if reviewed is not None:
+        final, seen = stage_counted(replace_with_reviewed(selected, reviewed), "final", **of_final)
+    counts |= seen
     comparison = compare_strategies(
-        valid,
-        n_start=min(20, max(5, valid.count() // 4)),
+        filter_valid_labels(final),
+        n_start=min(20, max(5, counts["usable"] // 4)),
         n_iterations=n_iterations, batch_size=batch_size,
         text=text, label=LABEL, id_col=id_col, **fit,
     )
     stages = Stages(
         raw, cleaned, labeled, merged, final, corrections, reviewed, threshold, n_select,
-        dict(strategy), approved,
+        dict(strategy), approved, counts,
     )
     return Curated(
         stages=stages,

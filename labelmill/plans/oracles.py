@@ -53,6 +53,7 @@ oracle("read_table", f"SELECT * REPLACE (ROUND(value, 6) AS value, {SHOWN_TS}) F
 oracle("read_csv_table", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 oracle("first_usable_source", "SELECT text, role FROM conversations WHERE role <> 'error'")
 oracle("write_table", f"SELECT {LABELED} FROM labeled", "labeled")
+oracle("write_table_json", f"SELECT {LABELED} FROM labeled", "labeled")
 oracle(
     "export_review_queue",
     f"""SELECT row_id AS row_index, text, label_auto, ROUND(confidence, 6) AS confidence
@@ -706,6 +707,10 @@ savings AS (
   SELECT ROUND(target, 4) AS target_accuracy, e AS n_labeled_entropy, r AS n_labeled_random,
     r - e AS samples_saved, ROUND((r - e) / CAST(r AS DOUBLE) * 100, 1) AS savings_pct FROM reached)"""
 oracle("sample_savings", "SELECT * FROM savings", "history", SAVINGS)
+oracle(
+    "sample_savings_target", "SELECT * FROM savings", "history",
+    SAVINGS.replace("SELECT MAX(accuracy) * 0.98 AS target FROM history WHERE strategy = 'random'", "SELECT CAST(0.5 AS DOUBLE) AS target"),
+)
 oracle(
     "write_learning_report",
     """SELECT CAST(10 AS BIGINT) AS batch_size, strategy, iteration, n_labeled,

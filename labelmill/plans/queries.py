@@ -111,6 +111,13 @@ def _(df):
     return tables.read_table(df.sparkSession, path)
 
 
+@query("write_table_json", "labeled")
+def _(df):
+    path = new_stage_path(df.sparkSession, "labeled") + ".json"
+    sinks.write_table(df, path, "json")
+    return tables.read_table(df.sparkSession, path, "row_id bigint, text string, human_label string, label_auto string, confidence double")
+
+
 @query("export_review_queue", "labeled")
 def _(df):
     path = new_stage_path(df.sparkSession, "queue")
@@ -638,6 +645,11 @@ def _(df):
     return history.sample_savings(df)
 
 
+@query("sample_savings_target", "history")
+def _(df):
+    return history.sample_savings(df, target=0.5)
+
+
 @query("write_learning_report", "history")
 def _(df):
     path = new_stage_path(df.sparkSession, "report")
@@ -661,10 +673,16 @@ def _(df):
 def _stages(spark: SparkSession, sf: str) -> report.Stages:
     raw, labeled = view(spark, sf, "dirty_reviews"), view(spark, sf, "labeled")
     corrections = view(spark, sf, "corrections")
-    merged = stage(review.apply_corrections(labeled, corrections), "merged")
+    merged, of_merged = stage_counted(
+        review.apply_corrections(labeled, corrections), "merged",
+        **report.counts_of("reviewed"), n_good=F.count_if(filters.no_error_label()),
+    )
+    cleaned, of_clean = stage_counted(clean.clean(raw), "clean", **report.counts_of("clean"))
+    # the final table is the merged one without error labels: its rows are the good ones
+    counts = of_merged | of_clean | {"n_final": of_merged["n_good"]}
     return report.Stages(
-        raw, stage(clean.clean(raw), "clean"), labeled, merged, filters.drop_error_labels(merged), corrections,
-        strategy=clean.DEFAULT_STRATEGY, approved=True,
+        raw, cleaned, labeled, merged, filters.drop_error_labels(merged), corrections,
+        strategy=clean.DEFAULT_STRATEGY, approved=True, counts=counts,
     )
 
 
@@ -715,6 +733,13 @@ def _(df):
     return _shown(learn.predict(fitted, vectors), fitted.classes, "original_label")
 
 
+@query("fit_report", "reviews")
+def _(df):
+    """Steps, loss and gradient norm of the fit over all labelled reviews."""
+    vectors, _vocabulary = _vectors(df)
+    return learn.fit_report(learn.fit_classifier(vectors, "original_label"), vectors, "original_label")
+
+
 @query("evaluate", "reviews")
 def _(df):
     vectors, _vocabulary = _vectors(df)
@@ -806,6 +831,12 @@ def _(df):
     return active.select_informative(df)
 
 
+@query("select_informative_only", "labeled")
+def _(df):
+    """The picked rows without the seed rows."""
+    return active.select_informative(df, only_selected=True).select("row_id", "label_auto")
+
+
 @query("curation_flow")
 def _(spark, sf):
     raw = view(spark, sf, "dirty_reviews")

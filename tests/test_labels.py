@@ -131,6 +131,33 @@ def test_each_request_is_answered_once(spark, texts, tmp_path):
     assert len(list(log.iterdir())) == 3
 
 
+def test_replies_are_stored_by_prompt(spark, texts, tmp_path):
+    log, fails = tmp_path / "calls", tmp_path / "down"
+    log.mkdir()
+    fails.touch()
+
+    def answer(prompt):
+        (log / str(time.time_ns())).touch()
+        if "bad" in prompt and fails.exists():
+            raise OSError("no reply")
+        return '{"label": "neutral", "confidence": 0.6}'
+
+    path = str(tmp_path / "store")
+    labeler = annotate.reply_store(answer, path)
+    copies = texts.unionByName(texts.withColumn("row_id", F.col("row_id") + 100))
+    labels = lambda: {r["row_id"]: r["label_auto"] for r in annotate.auto_label(copies, labeler).collect()}
+    first = labels()
+    assert sorted(first.values()) == ["error"] * 2 + ["neutral"] * 6
+    assert len(list(log.iterdir())) == 4  # each distinct prompt once
+    errors = annotate.stored_answers(spark, path).where("error IS NOT NULL").collect()
+    assert [r["error"] for r in errors] == ["OSError: no reply"]
+    fails.unlink()
+    assert set(labels().values()) == {"neutral"}
+    assert len(list(log.iterdir())) == 5  # only what failed was asked again
+    assert set(labels().values()) == {"neutral"} and len(list(log.iterdir())) == 5
+    assert annotate.auto_label(texts.where("false"), labeler).count() == 0
+
+
 def test_missing_reply_is_an_error(spark, texts):
     replies = spark.createDataFrame(
         [(0, '{"label": "positive", "confidence": 1}'), (77, "{}")], "row_id long, raw string"

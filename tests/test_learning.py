@@ -129,6 +129,57 @@ def test_two_classes_and_saved_model(spark, vectors, texts, tmp_path):
     assert sum(row["probs"]) == pytest.approx(1.0) and len(row["probs"]) == 2
 
 
+def test_scorer_equals_the_fitted_model(spark, vectors, tmp_path):
+    """Probabilities in expressions of the row against the model's own, for two and three classes, stored and loaded."""
+    vocabulary = spark.range(300).selectExpr("cast(id AS INT) AS ix", "concat('t', id) AS term")
+    for rows in (vectors, vectors.where("original_label <> 'neutral'")):
+        fitted = learn.fit_classifier(rows, "original_label")
+        own = {r["row_id"]: (r["probability"].toArray(), fitted.classes[int(r["prediction"])]) for r in fitted.model.transform(vectors).collect()}
+        path = str(tmp_path / f"scorer{len(fitted.classes)}")
+        sinks.save_scorer(learn.scorer_of(fitted), vocabulary, path)
+        for scorer in (fitted, sinks.load_scorer(spark, path)[0]):
+            got = learn.predict(scorer, vectors).collect()
+            assert len(got) == len(own)
+            for r in got:
+                assert r["probs"] == pytest.approx(own[r["row_id"]][0].tolist(), abs=1e-12)
+                assert r["prediction"] == own[r["row_id"]][1]
+    table = spark.createDataFrame([("a", 1, 2.0), ("b", None, 1.0)], "class string, ix int, weight double")
+    assert learn.scorer_from(table, ["a", "b", "c"], 3) == learn.Scorer(["a", "b", "c"], [[0.0, 2.0, 0.0], [0.0] * 3, [0.0] * 3], [0.0, 1.0, 0.0])
+    with pytest.raises(ValueError):
+        learn.scorer_from(table, ["a", "c"], 3)
+
+
+def test_fit_report_is_the_gradient(vectors):
+    for rows in (vectors, vectors.where("original_label <> 'neutral'")):
+        for tol in (1e-2, 1e-9):
+            fitted = learn.fit_classifier(rows, "original_label", tol=tol)
+            found = learn.fit_report(fitted, rows, "original_label").first()
+            data = rows.collect()
+            x = np.array([r["features"].toArray() for r in data])
+            y = np.array([fitted.classes.index(r["original_label"]) for r in data])
+            w, b = fitted.model.coefficientMatrix.toArray(), fitted.model.interceptVector.toArray()
+            z = x @ w.T + b
+            z = z if len(w) > 1 else np.hstack([np.zeros_like(z), z])
+            p = np.exp(z - z.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            away = p - np.eye(len(fitted.classes))[y]
+            away = away if len(w) > 1 else away[:, 1:]
+            n, loss = len(data), -np.log(p[np.arange(len(data)), y]).mean()
+            norm = np.sqrt(((away.T @ x / n + w / n) ** 2).sum() + (away.mean(0) ** 2).sum())
+            assert found["n"] == n and found["iterations"] > 0
+            assert found["mean_loss"] == pytest.approx(loss) and found["objective"] == pytest.approx(loss + (w**2).sum() / (2 * n))
+            assert found["gradient_norm"] == pytest.approx(norm, rel=1e-6, abs=1e-9)
+        assert found["gradient_norm"] < 1e-5
+
+
+def test_picks_of_a_cycle_are_the_best_of_what_is_left(vectors):
+    labeled, pool, test = (vectors.where(f"part = '{p}'").drop("part") for p in ("labeled", "pool", "test"))
+    records, picks = active.run_cycle(labeled, pool, test, "random", 3, 7, "original_label")
+    assert [r["n_labeled"] for r in records] == [50, 57, 64]
+    rows = [(r["iteration"], r["row_id"]) for r in picks.collect()]
+    assert sorted(i for i, _ in rows) == [0] * 7 + [1] * 7 and len({r for _, r in rows}) == 14
+
+
 def test_metrics_of_a_single_answer(spark):
     # 42 of 100 right with one answer in three classes, as in the published run.
     truth = ["a"] * 42 + ["b"] * 30 + ["c"] * 28
