@@ -31,8 +31,8 @@ from labelmill.llm.common import map_arrow, pieces, texts
 BETWEEN = "Ā"
 #: Pairs whose compatibility a worker remembers before it starts afresh.
 MEMO = 1 << 19
-#: Pieces of at most SHORT characters whose ids a worker remembers in the same way.
-PIECES, SHORT = 1 << 18, 64
+#: Pieces of at most SHORT characters whose ids a worker remembers; twice as many at most.
+PIECES, SHORT = 1 << 19, 64
 #: Bytes of text that are encoded at a time.
 PART_BYTES = 1_000_000
 NEVER = 1 << 62
@@ -68,6 +68,7 @@ class Vocabulary:
         self.size_of = {i: len(t) for i, t in self.bytes_of.items()}
         self.memo: dict[int, bool] = {}
         self.pieces: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     def _merged(self, token: bytes, limit: int) -> list[int]:
         """Ids after all merges of rank below ``limit``, lowest rank first, then leftmost."""
@@ -106,29 +107,33 @@ class Vocabulary:
             else:
                 until_right, right = right, self.halves[right][0]
 
-    def _backtracked(self, latin: str) -> list[int]:
-        """Ids of one piece."""
-        longest = [-1] * len(latin)
-        for end, (i, n) in self.automaton.iter(latin):
-            longest[end - n + 1] = i  # of one start, longer matches end later
+    def _backtracked(self, latin: str, greedy: list[int], ok: int) -> list[int]:
+        """Ids of one piece whose longest matches are compatible up to the one before place ``ok``."""
         size_of, shorter, known, whole = self.size_of, self.shorter, self.memo.get, len(latin)
+        out = greedy[:ok]
+        at, token = sum(map(size_of.__getitem__, out)), shorter[greedy[ok]]
+        longest: list[int] | None = None
         alive = bytearray(b"\1") * (whole + 1)
-        at, token, out = 0, longest[0], []
-        while at < whole:
-            end = at + size_of[token]
-            if alive[end] and (not out or (known(out[-1] << 32 | token) or self.compatible(out[-1], token))):
-                out.append(token)
-                at = end
-                token = longest[at] if at < whole else token
-                continue
-            token = shorter[token]
+        while True:
             while token is None:
                 # nothing goes on from here: shorten the token that led here
                 alive[at] = 0
                 token = out.pop()
                 at -= size_of[token]
                 token = shorter[token]
-        return out
+            end = at + size_of[token]
+            if alive[end] and (not out or known(out[-1] << 32 | token) or self.compatible(out[-1], token)):
+                out.append(token)
+                at = end
+                if at == whole:
+                    return out
+                if longest is None:
+                    longest = [-1] * whole
+                    for stop, (i, n) in self.automaton.iter(latin):
+                        longest[stop - n + 1] = i  # of one start, longer matches end later
+                token = longest[at]
+            else:
+                token = shorter[token]
 
     def encode_pieces(self, bodies: list[str]) -> list[list[int]]:
         """Ids of each piece."""
@@ -137,13 +142,16 @@ class Vocabulary:
         found = list(self.automaton.iter_long(BETWEEN.join(latin)))
         ids = [v[0] for _, v in found]
         bounds = [0, *np.searchsorted(np.fromiter((e for e, _ in found), np.int64, len(found)), stop).tolist()]
-        ok, out = self.compatible, []
+        known, out = self.memo.get, []
         for x, a, b in zip(latin, bounds, bounds[1:]):
             greedy = ids[a:b]
             if x in self.whole:
                 greedy = [self.whole[x]]
-            elif b - a > 1 and not all(map(ok, greedy, greedy[1:])):
-                greedy = self._backtracked(x)
+            else:
+                for i in range(1, b - a):
+                    if not (known(greedy[i - 1] << 32 | greedy[i]) or self.compatible(greedy[i - 1], greedy[i])):
+                        greedy = self._backtracked(x, greedy, i)
+                        break
             out.append(greedy)
         return out
 
@@ -153,13 +161,17 @@ class Vocabulary:
         number: dict[str, int] = defaultdict(count().__next__)
         codes = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64)
         known = self.pieces
-        ids = list(map(known.get, number))
-        new = [p for p, i in zip(number, ids) if i is None]
-        fresh = dict(zip(new, self.encode_pieces(new)))
-        ids = [fresh[p] if i is None else i for p, i in zip(number, ids)]
-        if len(known) + len(fresh) > PIECES:
-            known.clear()
+        found = list(map(known.get, number))
+        new = [p for p, i in zip(number, found) if i is None]
+        # what is in use is carried over when the others are forgotten
+        old = self.older
+        later = [p for p in new if p not in old]
+        fresh = dict(zip(later, self.encode_pieces(later)))
+        fresh |= {p: old[p] for p in new if p in old}
+        ids = [fresh[p] if i is None else i for p, i in zip(number, found)]
         known.update((p, i) for p, i in fresh.items() if len(p) <= SHORT)
+        if len(known) > PIECES:
+            self.older, self.pieces = known, {}
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         bounds, flat = np.cumsum(sizes) - sizes, np.fromiter(chain.from_iterable(ids), "<u4")
         counts = sizes[codes]

@@ -2,11 +2,20 @@
 
 import subprocess
 import sys
+import zlib
+from collections import defaultdict
 from pathlib import Path
 
 import corpus_pipeline
+import duckdb
+import numpy as np
+import public_tokenizers
+from test_near import brute
+from tokenizers import Tokenizer
+
 from labelmill.llm.decontaminate import contamination
 from labelmill.llm.near_dedup import near_duplicates
+from labelmill.llm.oracles import ORACLES
 
 ROOT = Path(corpus_pipeline.__file__).resolve().parent
 
@@ -34,6 +43,42 @@ def test_stages_keep_columns_and_take_effect(spark, sf_dir, tmp_path):
     assert corpus_pipeline.run(spark, sf_dir).count() == counts[4]
 
 
+def test_result_equals_plain_stages(spark, sf_dir):
+    """The pipeline's rows against each stage done by other means: SQL twins, all pairs, the tokenizers library."""
+    small = f"{sf_dir}/../sf0.001"
+    rows = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    rows = {i: t for i, t in rows.items() if any(c.isalpha() for c in t or "")}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW benchmark AS SELECT * FROM '{small}/benchmark.parquet'")
+
+    def sql(name):
+        con.execute("CREATE OR REPLACE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        con.executemany("INSERT INTO documents VALUES (?, ?)", list(rows.items()))
+        found = con.sql(ORACLES[name])
+        return [dict(zip(found.columns, r)) for r in found.fetchall()]
+
+    rows = {r["doc_id"]: r["text"] for r in sql("op9_line_dedup")}
+    rows = {i: rows[i] for i, n, comp in brute(sorted(rows.items()), 5, 80) if not n or i == comp}
+    hit = {r["doc_id"] for r in sql("op5_decontamination") if r["contaminated"]}
+    rows = {i: t for i, t in rows.items() if i not in hit}
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = {i: np.array([*whole.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for i, t in rows.items()}
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for r in corpus_pipeline.run(spark, small).collect():
+        pieces[r.doc_id].append((r.start, r.length, r.ids_crc32, r.doc_tokens))
+        windows[r.sequence_id].append((r.offset, r.length))
+    assert pieces.keys() == expected.keys()
+    for i, ids in expected.items():
+        at = 0
+        for start, length, crc, total in sorted(pieces[i]):
+            assert start == at and total == len(ids) and crc == zlib.crc32(ids[start : start + length].tobytes())
+            at += length
+        assert at == len(ids)
+    for spans in windows.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and sum(spans[-1]) <= 1024
+
+
 def test_odd_rows_pass_every_stage(spark, sf_dir, odd, nothing):
     for docs in (odd, nothing):
         for _, work in corpus_pipeline.STAGES[:-1]:
