@@ -148,8 +148,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFra
         (F.count("*") / len(scans)).cast("int").alias("times"),
     )
     # rows that repeat id and text are one group here, whose result stands for each of them
-    out = out.select("doc_id", "rk", "n_words", _joined(F.array_sort("ranges")).alias("ranges"), F.array_sort("items").alias("items"), F.explode(F.sequence(F.lit(1), F.col("times"))).alias("time"))
-    return out.drop("time")
+    out = out.withColumn("ranges", F.array_sort("ranges")).withColumn("ranges", _joined(F.col("ranges"))).withColumn("items", F.array_sort("items"))
+    out = out.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return out.drop("times", "time")
 
 
 def _joined(ranges):
