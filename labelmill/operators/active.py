@@ -12,12 +12,7 @@ from pyspark.sql import functions as F
 
 from labelmill.functions.columns import LABEL, ROW_ID, TEXT, bound, seeded_uniform
 from labelmill.functions.ranks import first_scored
-from labelmill.operators.features import (
-    MAX_FEATURES,
-    stage_vectors,
-    tfidf_fit,
-    tfidf_transform,
-)
+from labelmill.operators.features import MAX_FEATURES, tfidf_vectors
 from labelmill.operators.filters import filter_valid_labels
 from labelmill.operators.history import history_table, sample_savings
 from labelmill.operators.learn import Classifier, evaluate_fitted, fit_classifier, predict
@@ -183,12 +178,10 @@ def compare_strategies(
     sizes = dict(sizes or learning_sizes(n, n_start))
     parts = split_by_rank(rows, sizes, id_col, seed, total=n)
     n_test = n - sizes["labeled"] - sizes["pool"]
-    if fit_on == "all":
-        vocabulary = tfidf_fit(rows, text, max_features, n)
-    else:
-        vocabulary = tfidf_fit(parts.where(F.col("part") != "test"), text, max_features, n - n_test)
-    features = tfidf_transform(parts, vocabulary, text, id_col, [label, "part"])
-    vectors = stage_vectors(features, vocabulary.count(), "part")
+    fitted, n_fitted = (None, n) if fit_on == "all" else (F.col("part") != "test", n - n_test)
+    vocabulary, vectors = tfidf_vectors(
+        parts, text, max_features, id_col, [label, "part"], "part", fitted, n_fitted
+    )
     labeled, pool, test = (
         vectors.where(F.col("part") == p).drop("part") for p in ("labeled", "pool", "test")
     )
@@ -199,9 +192,15 @@ def compare_strategies(
             labeled, pool, test, strategy, n_iterations, batch_size, label, id_col, seed, **fit
         )[0]
 
-    # The cycles do not depend on one another, so their jobs may share the cluster.
-    with ThreadPoolExecutor(max_workers=len(strategies)) as threads:
+    @inheritable_thread_target(spark)
+    def fit_all() -> Classifier:
+        return fit_classifier(vectors, label, **fit)
+
+    # The cycles and the final fit do not depend on one another, so their jobs may share the cluster.
+    with ThreadPoolExecutor(max_workers=len(strategies) + 1) as threads:
+        final = threads.submit(fit_all)
         histories = dict(zip(strategies, threads.map(cycle, strategies)))
+        classifier = final.result()
     history = history_table(spark, histories)
     config = {
         "n_start": sizes["labeled"], "n_iterations": n_iterations, "batch_size": batch_size,
@@ -209,8 +208,7 @@ def compare_strategies(
         "test_size": n_test,
     }
     return Comparison(
-        history, sample_savings(history), config, fit_classifier(vectors, label, **fit),
-        vocabulary, vectors,
+        history, sample_savings(history), config, classifier, vocabulary, vectors,
     )
 
 
@@ -235,9 +233,7 @@ def select_informative(
     if n < MIN_SELECTABLE:
         return valid
     parts = split_by_rank(valid, seed_pool_sizes(n), id_col, seed, total=n)
-    vocabulary = tfidf_fit(valid, text, max_features, n)
-    features = tfidf_transform(parts, vocabulary, text, id_col, [label, "part"])
-    vectors = stage_vectors(features, vocabulary.count(), "part")
+    _vocabulary, vectors = tfidf_vectors(parts, text, max_features, id_col, [label, "part"], "part", n=n)
     classifier = fit_classifier(vectors.where(F.col("part") == "seed"), label, **fit)
     pool = vectors.where(F.col("part") == "pool")
     picked = query_pool(predict(classifier, pool), "entropy", k, id_col)

@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelmill.functions.columns import BROADCAST_ROWS, ROW_ID, TEXT, as_text, lookup, small_side
 from labelmill.functions.ranks import commonest
-from labelmill.storage import new_stage_path
+from labelmill.storage import new_stage_path, stage
 
 MAX_FEATURES = 5000
 # Fixed value: a term is a run of at least two word characters.
@@ -24,8 +24,11 @@ MAX_VOCABULARY = BROADCAST_ROWS
 
 def terms(text: Column) -> Column:
     """Lower-cased terms of a text in order, repeats included."""
-    runs = F.split(F.lower(as_text(text)), NOT_WORD)
-    return F.filter(runs, lambda t: F.length(t) >= MIN_TERM_CHARS)
+    return F.filter(_runs(text), lambda t: F.length(t) >= MIN_TERM_CHARS)
+
+
+def _runs(text: Column) -> Column:
+    return F.split(F.lower(as_text(text)), NOT_WORD)
 
 
 def tokenize(df: DataFrame, text: str = TEXT, name: str = "terms") -> DataFrame:
@@ -47,7 +50,7 @@ def tfidf_fit(
     """
     if max_features > MAX_VOCABULARY:
         raise ValueError(f"max_features above {MAX_VOCABULARY} cannot be broadcast")
-    split = df.select(F.split(F.lower(as_text(F.col(text))), NOT_WORD).alias("all"))
+    split = df.select(_runs(F.col(text)).alias("all"))
     mark = lambda first: lambda t: F.struct(t.alias("term"), F.lit(first).alias("first"))
     marked = F.concat(F.transform("all", mark(0)), F.transform(F.array_distinct("all"), mark(1)))
     counts = (
@@ -58,9 +61,14 @@ def tfidf_fit(
     )
     rows = commonest(counts, "total", "term", max_features).collect()
     n = df.count() if n is None else n
-    vocabulary = df.sparkSession.createDataFrame(
-        [(i, r["term"], r["doc_freq"], r["total"])
-         for i, r in enumerate(sorted(rows, key=lambda r: r["term"]))],
+    found = [(r["term"], r["doc_freq"], r["total"]) for r in sorted(rows, key=lambda r: r["term"])]
+    return _vocabulary(df.sparkSession, found, n)
+
+
+def _vocabulary(spark: SparkSession, found: Sequence[tuple[str, int, int]], n: int) -> DataFrame:
+    """(ix, term, doc_freq, total, idf) from (term, doc_freq, total) in order, over ``n`` rows."""
+    vocabulary = spark.createDataFrame(
+        [(i, *entry) for i, entry in enumerate(found)],
         "ix int, term string, doc_freq bigint, total bigint",
     )
     idf = F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("doc_freq"))) + F.lit(1.0)
@@ -82,14 +90,27 @@ def tfidf_transform(
     known = vocabulary.select("ix", "term", "idf").orderBy("ix").limit(MAX_VOCABULARY + 1).collect()
     if len(known) > MAX_VOCABULARY:
         raise ValueError(f"a vocabulary of more than {MAX_VOCABULARY} terms")
-    counter = CountVectorizerModel.from_vocabulary([r["term"] for r in known], "_terms", "_counts")
+    counted = term_counts(df, [r["term"] for r in known], text, id_col, keep)
+    return weighted(counted, [r["idf"] for r in known], id_col, keep)
+
+
+def term_counts(
+    df: DataFrame, known: Sequence[str], text: str = TEXT, id_col: str = ROW_ID, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Rows (id, keep…, indices, counts) of the listed terms that occur in each text."""
+    counter = CountVectorizerModel.from_vocabulary(list(known), "_terms", "_counts")
     counted = counter.transform(df.select(id_col, *keep, terms(F.col(text)).alias("_terms")))
     sparse = counted.select(id_col, *keep, F.unwrap_udt("_counts").alias("c"))
+    return sparse.select(id_col, *keep, F.col("c.indices").alias("indices"), F.col("c.values").alias("counts"))
+
+
+def weighted(counted: DataFrame, idf: Sequence[float], id_col: str = ROW_ID, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows (id, keep…, indices, values) of ``term_counts`` rows: sublinear, times idf, normalised."""
     raw = F.zip_with(
-        "c.indices", "c.values",
-        lambda ix, tf: (F.lit(1.0) + F.log(tf)) * F.get(lookup([r["idf"] for r in known]), ix),
+        "indices", "counts",
+        lambda ix, tf: (F.lit(1.0) + F.log(tf)) * F.get(lookup(idf), ix),
     )
-    rows = sparse.select(id_col, *keep, F.col("c.indices").alias("indices"), raw.alias("raw"))
+    rows = counted.select(id_col, *keep, "indices", raw.alias("raw"))
     norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda acc, w: acc + w * w))
     # The norm is an argument, not part of the lambda, so it is computed once per row.
     norms = F.array_repeat(norm, F.size("raw"))
@@ -98,6 +119,41 @@ def tfidf_transform(
     )
 
 
+def tfidf_vectors(
+    df: DataFrame,
+    text: str = TEXT,
+    max_features: int = MAX_FEATURES,
+    id_col: str = ROW_ID,
+    keep: Sequence[str] = (),
+    part: str | None = None,
+    fitted: Column | None = None,
+    n: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Vocabulary of ``tfidf_fit`` and staged vectors of ``tfidf_transform`` over the same rows.
+
+    Texts are split twice, not three times over: once for the totals of all terms, and
+    once for the counts of the chosen ones, which are written; doc_freq and the weights
+    are taken from these narrow rows. ``fitted`` says which rows the vocabulary is fitted
+    on (all, if None), ``n`` their number; it uses kept columns only.
+    """
+    if max_features > MAX_VOCABULARY:
+        raise ValueError(f"max_features above {MAX_VOCABULARY} cannot be broadcast")
+    mine = df if fitted is None else df.where(fitted)
+    # the split is an argument of explode, not a column: Spark would filter by it and split once more
+    every = mine.select(F.explode(_runs(F.col(text))).alias("term")).where(F.length("term") >= MIN_TERM_CHARS)
+    totals = every.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    rows = sorted(commonest(totals, "total", "term", max_features).collect(), key=lambda r: r["term"])
+    counted = stage(term_counts(df, [r["term"] for r in rows], text, id_col, keep), "counted")
+    seen = counted if fitted is None else counted.where(fitted)
+    met = seen.select(F.explode("indices").alias("ix")).groupBy("ix").agg(F.count(F.lit(1)).alias("n")).collect()
+    doc_freq = {r["ix"]: r["n"] for r in met}
+    n = mine.count() if n is None else n
+    vocabulary = _vocabulary(df.sparkSession, [(r["term"], doc_freq[i], r["total"]) for i, r in enumerate(rows)], n)
+    idf = [r["idf"] for r in vocabulary.select("ix", "idf").orderBy("ix").collect()]
+    features = weighted(counted, idf, id_col, keep)
+    return vocabulary, stage_vectors(features, len(rows), part)
+
+
 def feature_table(features: DataFrame, vocabulary: DataFrame, id_col: str = ROW_ID) -> DataFrame:
     """Sparse rows as a long table (id, term, weight)."""
     pairs = F.arrays_zip(F.col("indices").alias("ix"), F.col("values").alias("weight"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from labelmill.operators.profile import quality_report
 from labelmill.operators.report import Stages, counts_of, data_card, final_metrics, run_metrics
 from labelmill.operators.review import apply_corrections, replace_with_reviewed, review_queue
 from labelmill.operators.schema import normalize_columns, resolve_label, resolve_text
-from labelmill.storage import stage_counted
+from labelmill.storage import stage, stage_counted
 
 
 @dataclass
@@ -65,7 +67,9 @@ def curation_flow(
     Each stage table is written once to the shared folder, its rows are counted while
     they are written, and everything after reads it from there.
     """
-    raw = normalize_columns(df)
+    spark = df.sparkSession
+    # Read more than ten times, mostly for its numbers: the input's joins and texts are not gone through again.
+    raw = stage(normalize_columns(df), "raw")
     text, human = resolve_text(raw), resolve_label(raw)
     cleaned, counts = stage_counted(clean(raw, strategy, id_col=id_col), "clean", **counts_of("clean"))
     annotated = annotate(cleaned, labeler, text, human, n=n_label, id_col=id_col)
@@ -85,19 +89,27 @@ def curation_flow(
     if reviewed is not None:
         final, seen = stage_counted(replace_with_reviewed(selected, reviewed), "final", **of_final)
     counts |= seen
-    comparison = compare_strategies(
-        filter_valid_labels(final),
-        n_start=min(20, max(5, counts["usable"] // 4)),
-        n_iterations=n_iterations, batch_size=batch_size,
-        text=text, label=LABEL, id_col=id_col, **fit,
-    )
+
+    @inheritable_thread_target(spark)
+    def profiled() -> DataFrame:
+        return quality_report(raw, cleaned, dict(strategy), id_col)
+
+    # The profile needs the first two tables only, and small fits leave most cores idle.
+    with ThreadPoolExecutor(max_workers=1) as threads:
+        quality = threads.submit(profiled)
+        comparison = compare_strategies(
+            filter_valid_labels(final),
+            n_start=min(20, max(5, counts["usable"] // 4)),
+            n_iterations=n_iterations, batch_size=batch_size,
+            text=text, label=LABEL, id_col=id_col, **fit,
+        )
     stages = Stages(
         raw, cleaned, labeled, merged, final, corrections, reviewed, threshold, n_select,
         dict(strategy), approved, counts,
     )
     return Curated(
         stages=stages,
-        quality=quality_report(raw, cleaned, dict(strategy), id_col),
+        quality=quality.result(),
         annotated=annotated,
         queue=review_queue(filter_low_confidence(labeled, threshold), id_col),
         selected=selected,

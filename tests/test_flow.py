@@ -62,3 +62,22 @@ def test_flow_without_reviews(spark, sf_dir):
     actions = {r["step"]: r["text"] for r in done.metrics.where("metric = 'action'").collect()}
     assert actions == {"clean_review": "skipped", "review": "auto_skipped", "al_review": "skipped"}
     assert done.stages.labeled.count() == 150
+
+
+def test_the_input_is_read_once(spark, sf_dir):
+    """The joins and texts of the input are gone through once, however many steps read it."""
+    met = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            met.add(len(frame))
+            yield frame
+
+    raw = view(spark, sf_dir, "reviews").where("original_label IS NOT NULL").limit(120).localCheckpoint()
+    replies = raw.select("row_id", F.format_string(
+        '{"label": "%s", "confidence": 0.9}', "original_label").alias("raw"))
+    done = curation_flow(
+        raw.mapInPandas(counted, raw.schema), annotate.stored_replies(replies), n_iterations=1, tol=1e-3, max_features=50,
+    )
+    assert done.report.count() > 0 and done.quality.count() > 0 and done.card.count() > 0
+    assert met.value == 120

@@ -56,6 +56,38 @@ def test_vocabulary_limit(texts):
         features.tfidf_fit(texts, max_features=10**9)
 
 
+@pytest.mark.parametrize("fitted", [None, "row_id > 3"])
+@pytest.mark.parametrize("max_features", [3, 100])
+def test_vectors_equal_fit_and_transform(texts, max_features, fitted):
+    rows = texts.withColumn("part", F.when(F.col("row_id") % 2 == 0, "even").otherwise("odd"))
+    mine = rows.where(fitted) if fitted else rows
+    vocabulary = features.tfidf_fit(mine, max_features=max_features)
+    expected = features.stage_vectors(features.tfidf_transform(rows, vocabulary, keep=["part"]), vocabulary.count(), "part")
+    got, vectors = features.tfidf_vectors(
+        rows, max_features=max_features, keep=["part"], part="part", fitted=F.expr(fitted) if fitted else None
+    )
+    assert got.orderBy("ix").collect() == vocabulary.orderBy("ix").collect()
+    assert vectors.orderBy("row_id").collect() == expected.orderBy("row_id").collect()
+
+
+def test_vectors_without_terms(spark):
+    rows = spark.createDataFrame([(1, "?"), (2, "")], "row_id long, text string")
+    with pytest.raises(ValueError, match="empty"):
+        features.tfidf_vectors(rows)
+
+
+def test_texts_are_split_once_for_the_totals(spark, monkeypatch):
+    """Of each text the terms are counted in one split, and Spark adds no filter that splits again."""
+    seen = []
+    first = features.commonest
+    monkeypatch.setattr(features, "commonest", lambda counts, *a: seen.append(counts) or first(counts, *a))
+    rows = spark.createDataFrame([(1, "one two two"), (2, "two three")], "row_id long, text string")
+    vocabulary, _vectors = features.tfidf_vectors(rows)
+    assert {(r["term"], r["doc_freq"], r["total"]) for r in vocabulary.collect()} == {("one", 1, 1), ("two", 2, 3), ("three", 1, 1)}
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
 @pytest.fixture(scope="module")
 def vectors(spark, sf_dir):
     rows = view(spark, sf_dir, "reviews").where("original_label IS NOT NULL")
