@@ -73,13 +73,13 @@ def query_pool(
 
     Scores are rounded to SCORE_DIGITS, so that equal ones do not differ by the order
     in which they were summed. A row without a score comes last. Scores are computed once
-    for each row of the pool, into a written table of (id, score).
+    for each row of the pool, into a written table of (id, score). Rows are in that order.
     """
     if strategy not in SCORES:
         raise ValueError(f"unknown strategy: {strategy!r}")
     score = SCORES[strategy](F.col(probs), id_col, seed)
     scored = pool.select(id_col, F.round(score, SCORE_DIGITS).alias("score"))
-    return first_scored(scored, k, id_col)
+    return first_scored(scored, k, id_col).orderBy(F.desc_nulls_last("score"), id_col)
 
 
 def run_cycle(
