@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from labelmill.llm import induced
 from labelmill.llm.common import joined
-from labelmill.llm.suffix_dedup import drop_repeats, least
+from labelmill.llm.suffix_dedup import drop_repeats, least, sharing_halves
 
 
 @settings(max_examples=150, deadline=None)
@@ -73,3 +73,25 @@ def test_given_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/../sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert mine(docs, 400) == brute(rows, 400)
+
+
+def test_a_half_of_many_contexts_is_split(spark, capsys):
+    """The join on half prints deals out a half that many contexts share; others stay right."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    rows = [(1, i, 7, 100 + i) for i in range(4000)] + [(2, i, 0, i % 30) for i in range(59)] + [(3, 1, 5, 6), (3, 2, 6, 5)]
+    was = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        shared = sharing_halves(spark.createDataFrame(rows, "key long, print long, lefts long, rights long").repartition(8))
+        got = sorted(map(tuple, shared.collect()))
+        shared.explain()
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    # prints 1 to 28 of key 2 have a partner, 0 has no half and 29 stands alone
+    assert got == [(1, i) for i in range(4000)] + [(2, i) for i in range(59) if i % 30 not in (0, 29)]
+    assert "skew=true" in capsys.readouterr().out
